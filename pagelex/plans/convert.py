@@ -58,12 +58,14 @@ def prepare(articles: DataFrame) -> DataFrame:
     """Newline collapse (SCL-11) and the columns the tokenizer carries."""
     cols = articles.columns
     ap = F.col("articlepath") if "articlepath" in cols else F.lit(None).cast("string")
+    aliases = F.col("aliases") if "aliases" in cols else F.array().cast("array<struct<key:string,fragment:string>>")
     return articles.select(
         F.col("article_id").cast("long").alias("article_id"),
         F.regexp_replace(F.col("text"), r"\n{2,}", "\n").alias("text"),
         F.col("title").alias("__title"),
         ap.alias("__ap"),
         F.col("text").isNotNull().alias("__has_text"),
+        aliases.alias("__aliases"),
     )
 
 
@@ -91,11 +93,12 @@ def clean_nodes(articles: DataFrame, dims: Dims, opts: ConvertOptions, header: b
     if opts.html_encoding.lower() not in CHARSETS:
         raise ValueError(f"unsupported html encoding: {opts.html_encoding}")
     prep = prepare(articles)
-    nodes = N.tokenize(prep, "text", carry=["__title", "__ap", "__has_text"])
+    nodes = N.tokenize(prep, "text", carry=["__title", "__ap", "__has_text", "__aliases"])
     nodes = C.sanitise_rows(nodes)
     nodes = rewrite_node_links(nodes, dims, opts)
     doc = F.col("kind") == "doc"
-    nodes = nodes.withColumn("__title", F.when(doc, F.col("__title"))).withColumn("__ap", F.when(doc, F.col("__ap")))
+    for c in ("__title", "__ap", "__aliases"):
+        nodes = nodes.withColumn(c, F.when(doc, F.col(c)))
     # ---- after this point every step is a window over the article (one exchange)
     nodes = X.capture_online_link(nodes)
     nodes = C.geo_links(nodes)
@@ -129,6 +132,7 @@ def convert_articles(articles: DataFrame, dims: Dims, opts: ConvertOptions | Non
     doc = F.col("kind") == "doc"
     body = N.serialise(nodes, wrap_tag="div", extra_aggs=[
         F.max(F.when(doc, F.col("__title"))).alias("title"),
+        F.first(F.when(doc, F.col("__aliases")), ignorenulls=True).alias("aliases"),
         F.max(F.when(doc, F.col("__has_text"))).alias("has_text"),
         F.max(F.col("__has_math")).alias("has_math"),
         F.max(F.when(F.col("kind") == "error", F.col("text"))).alias("error"),
@@ -137,7 +141,7 @@ def convert_articles(articles: DataFrame, dims: Dims, opts: ConvertOptions | Non
     math = F.when(F.coalesce(F.col("has_math"), F.lit(False)) & F.lit(not opts.no_math), F.lit(MATH_SCRIPTS)).otherwise(F.lit(""))
     content = F.encode(F.concat(F.lit(CSS_LINKS), math, html), opts.html_encoding)
     out = body.select(
-        "article_id", "title", F.coalesce("has_math", F.lit(False)).alias("has_math"), "error",
+        "article_id", "title", "aliases", F.coalesce("has_math", F.lit(False)).alias("has_math"), "error",
         F.when(F.col("error").isNotNull() | ~F.col("has_text"), F.lit(None)).otherwise(content).alias("content"),
     )
     status = F.when(F.col("error").isNotNull(), F.lit("F")) \

@@ -66,10 +66,11 @@ def parse_siteinfo(json_col) -> "F.Column":
     return F.from_json(json_col, SITEINFO_SCHEMA)
 
 
-def site_columns(info: DataFrame) -> DataFrame:
+def site_columns(info: DataFrame, keep: list[str] | tuple = ()) -> DataFrame:
     """Site scalars per site-info row (SCL-8 add_http, SCL-9 article path, SCL-10 rtl)."""
     g = F.col("general")
     return info.select(
+        *keep,
         g["sitename"].alias("sitename"),
         g["lang"].alias("sitelang"),
         F.coalesce(F.map_contains_key(g, "rtl"), F.lit(False)).alias("rtl"),
