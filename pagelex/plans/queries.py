@@ -248,8 +248,8 @@ def geo_points(spark, d):
 
 @query("newline_collapse", """
 WITH t AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN replace(text, chr(10), chr(10) || chr(10) || chr(10)) ELSE text END AS text FROM documents)
-SELECT doc_id, CAST(length(regexp_replace(text, '\\n{2,}', '\\n', 'g')) AS BIGINT) AS n_chars,
-       md5(regexp_replace(text, '\\n{2,}', '\\n', 'g')) AS digest
+SELECT doc_id, CAST(length(regexp_replace(text, '\\n{2,}', chr(10), 'g')) AS BIGINT) AS n_chars,
+       md5(regexp_replace(text, '\\n{2,}', chr(10), 'g')) AS digest
 FROM t
 """)
 def newline_collapse(spark, d):
