@@ -338,6 +338,9 @@ def with_inserts(nodes: DataFrame, new_rows: Column) -> DataFrame:
     ``explode`` keeps the article partitioning, so inserted rows need no exchange; the next
     window re-sorts locally.
     """
-    me = F.struct(*[F.col(c) for c in nodes.columns])
+    cols = [c for c in nodes.columns if c != "article_id"]
+    me = F.struct(*[F.col(c) for c in cols])
+    new_rows = F.transform(new_rows, lambda r: F.struct(*[r[c].alias(c) for c in cols]))
     rows = F.when(new_rows.isNull() | (F.size(new_rows) == 0), F.array(me)).otherwise(F.concat(F.array(me), new_rows))
-    return nodes.select(F.explode(rows).alias("__r")).select("__r.*")
+    # article_id stays the same attribute, so the article partitioning is still known
+    return nodes.select("article_id", F.explode(rows).alias("__r")).select("article_id", *[F.col("__r")[c].alias(c) for c in cols])

@@ -28,6 +28,7 @@ def get_spark(master: str | None = None, app: str = "pagelex", partitions: int =
         # HTML articles can be large: keep Arrow batches into the tokenizer small.
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
