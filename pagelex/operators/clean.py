@@ -143,7 +143,7 @@ def geo_links(nodes: DataFrame) -> DataFrame:
     fmt_a = is_geo & F.col("__in_gnd").isNotNull() & semi
     fmt_c = is_geo & F.col("__in_gnd").isNull() & F.col("__in_dms").isNotNull() & semi
     # (b): bounded look-ahead for .latitude/.longitude children (the microformat is a few tokens)
-    look = 12
+    look = 8
     lat = lon = None
     for k in range(1, look + 1):
         inside = F.lead("pos", k).over(w) <= F.col("close_pos")

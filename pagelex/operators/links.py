@@ -21,6 +21,7 @@ the bound the candidates are exploded, joined and re-collected instead.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -127,12 +128,13 @@ def rewrite_urls(df: DataFrame, url_col: str, out_col: str, dims: Dims, params:
     """Add ``out_col`` (and optionally ``kind_col``) with the rewritten URL of ``url_col``.
 
     Two broadcast left joins (namespace keys, interwiki prefixes); rows with a NULL URL
-    keep a NULL result.  Partitioning of ``df`` is preserved.
+    keep a NULL result.  Partitioning of ``df`` is preserved.  The split parts and the
+    decided kind are materialised as columns first, so each is computed once and the
+    generated code stays small.
     """
     p = params or LinkParams.from_dims(dims)
     cols = [c for c in df.columns if c not in (out_col, kind_col)]
-    parts = F.col("__u")
-    ns_key, iw_key = _probe_keys(parts, p)
+    ns_key, iw_key = _probe_keys(F.col("__u"), p)
     ns, iw = _dim_sides(dims)
     j = (
         df.withColumn("__u", U.split_url(F.col(url_col)))
@@ -142,31 +144,57 @@ def rewrite_urls(df: DataFrame, url_col: str, out_col: str, dims: Dims, params:
         .join(iw, "__iwk", "left")
     )
     title = F.col(title_col) if title_col else None
-    out, kind = _decide(F.col(url_col), parts, title, F.col("__ns_hit"), F.col("__iw"), p)
-    null_url = F.col(url_col).isNull()
-    sel = [F.col(c) for c in cols] + [F.when(null_url, F.lit(None)).otherwise(out).alias(out_col)]
+    _, kind = _decide(F.col(url_col), F.col("__u"), title, F.col("__ns_hit"), F.col("__iw"), p)
+    j = j.withColumn("__kind", F.when(F.col(url_col).isNotNull(), kind))
+    out = _assemble(F.col(url_col), F.col("__u"), F.col("__iw"), F.col("__kind"), p)
+    sel = [F.col(c) for c in cols] + [out.alias(out_col)]
     if kind_col:
-        sel.append(F.when(null_url, F.lit(None)).otherwise(kind).alias(kind_col))
+        sel.append(F.col("__kind").alias(kind_col))
     return j.select(*sel)
 
 
+def _assemble(raw: Column, parts: Column, iw: Column, kind: Column, p: LinkParams) -> Column:
+    """The rewritten URL for an already decided kind."""
+    ap = U.col_or_lit(p.articlepath)
+    srv = F.coalesce(U.col_or_lit(p.server), F.lit(""))
+    scheme, netloc, path, query, frag = (parts[k] for k in ("scheme", "netloc", "path", "query", "fragment"))
+    qs, fs = U.prefixed("?", query), U.prefixed("#", frag)
+    path_q = F.concat(path, qs)
+    big = F.greatest(F.length(path_q), F.lit(1))
+    under = ap.isNotNull() & F.startswith(path_q, ap)
+    rest_noq = F.when(under, path.substr(F.length(ap) + 1, big)).otherwise(path)
+    absolute = F.concat(
+        F.coalesce(F.nullif(scheme, F.lit("")), F.lit("http")), F.lit("://"), netloc,
+        F.when(F.endswith(netloc, F.lit(U.THUMB_HOST_SUFFIX)), U.fix_thumb_width(path)).otherwise(path), qs, fs)
+    iw_path = F.replace(iw["iw_path"], F.lit("$1"), path_q)
+    iw_path = F.when(iw["iw_slash"] & (iw_path != "") & ~F.startswith(iw_path, F.lit("/")),
+                     F.concat(F.lit("/"), iw_path)).otherwise(iw_path)
+    return (
+        F.when(kind == "absolute", absolute)
+        .when(kind.isin("image", "namespace"), U.mk_ext_url(srv, ap, p.site_articlepath, raw))
+        .when(kind == "interwiki", F.concat(iw["iw_head"], iw_path, iw["iw_tail"], fs))
+        .when(kind == "passthrough", raw)
+        .when(kind == "self", F.concat(qs, F.lit("#"), frag))
+        .when(kind == "article", F.concat(U.encode_article_path(rest_noq), qs, fs))
+    )
+
+
 def _literal_maps(dims: Dims):
-    """(ns_map, iw_map) literal map columns, or None when the dims are above the bound."""
+    """(ns_map, iw_map) literal map columns, or None when the dims are above the bound.
+
+    Each map is one JSON literal parsed by ``from_json``; the optimizer folds it to a
+    constant once, so rows only do map lookups.
+    """
     ns_rows = dims.ns_lookup.select("name").limit(MAP_LITERAL_MAX + 1).collect()
     iw_rows = dims.interwiki.limit(MAP_LITERAL_MAX + 1).collect()
     if len(ns_rows) > MAP_LITERAL_MAX or len(iw_rows) > MAP_LITERAL_MAX:
         return None
-    ns_map = F.create_map(*[x for r in ns_rows for x in (F.lit(r.name), F.lit(True))]) if ns_rows \
-        else F.create_map().cast("map<string,boolean>")
+    ns_json = json.dumps({r.name: True for r in ns_rows})
+    iw_json = json.dumps({r.prefix: {"iw_head": r.iw_head, "iw_slash": r.iw_slash, "iw_path": r.iw_path,
+                                     "iw_tail": r.iw_tail} for r in iw_rows})
     iw_struct = "struct<iw_head:string,iw_slash:boolean,iw_path:string,iw_tail:string>"
-    if iw_rows:
-        iw_map = F.create_map(*[x for r in iw_rows for x in (
-            F.lit(r.prefix),
-            F.struct(F.lit(r.iw_head).alias("iw_head"), F.lit(r.iw_slash).alias("iw_slash"),
-                     F.lit(r.iw_path).alias("iw_path"), F.lit(r.iw_tail).alias("iw_tail")))])
-    else:
-        iw_map = F.create_map().cast(f"map<string,{iw_struct}>")
-    return ns_map, iw_map
+    return (F.from_json(F.lit(ns_json), "map<string,boolean>"),
+            F.from_json(F.lit(iw_json), f"map<string,{iw_struct}>"))
 
 
 def rewrite_srcset(df: DataFrame, srcset_col: str, out_col: str, dims: Dims,
