@@ -150,19 +150,26 @@ def article_header(nodes: DataFrame, server, articlepath, site_articlepath) -> D
 
 
 def headings(nodes: DataFrame) -> DataFrame:
-    """EXT-2: headings(article_id, pos, level, id, text, parent_pos) for h2..h4 with an id;
-    ``parent_pos`` is the listed heading one level up (NULL for h2 and for unlisted ones)."""
+    """EXT-2: headings(article_id, pos, level, id, text, parent_pos, listed) for h2..h4 with an id;
+    ``parent_pos`` is the listed heading one level up (NULL for h2 and for unlisted ones).
+
+    One ``groupBy(article_id, heading)`` over the heading rows and the text rows inside them
+    (headings never nest), on the article partitioning: no join back, no second pass over
+    the node table.
+    """
     nodes = heading_levels(nodes)
-    h = is_open() & F.col("__level").isNotNull() & (F.coalesce(F.col("attrs")["id"], F.lit("")) != "")
-    nodes = nodes.withColumn("__in_h", N.enclosing(is_open() & F.col("__level").isNotNull(), F.col("pos")))
-    texts = nodes.where((F.col("kind") == "text") & F.col("__in_h").isNotNull()).groupBy("article_id", "__in_h").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "").alias("text"))
-    heads = nodes.where(h).select(
-        "article_id", "pos", F.col("__level").alias("level"), F.col("attrs")["id"].alias("id"),
-        F.when(F.col("__listed") & (F.col("__level") > 2), F.col("__hparent")).alias("parent_pos"),
-        F.col("__listed").alias("listed"))
-    return heads.join(texts.withColumnRenamed("__in_h", "pos"), ["article_id", "pos"], "left") \
-        .select("article_id", "pos", "level", "id", F.coalesce("text", F.lit("")).alias("text"), "parent_pos", "listed")
+    is_h = is_open() & F.col("__level").isNotNull()
+    nodes = nodes.withColumn("__in_h", N.enclosing(is_h, F.col("pos")))
+    rows = nodes.where(F.col("__in_h").isNotNull() & (is_h | (F.col("kind") == "text")))
+    out = rows.groupBy("article_id", F.col("__in_h").alias("pos")).agg(
+        F.max(F.when(is_h, F.col("__level"))).alias("level"),
+        F.max(F.when(is_h, F.col("attrs")["id"])).alias("id"),
+        F.max(F.when(is_h & F.col("__listed") & (F.col("__level") > 2), F.col("__hparent"))).alias("parent_pos"),
+        F.max(F.when(is_h, F.col("__listed"))).alias("listed"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == "text", F.struct("pos", "text")))),
+                                 lambda x: x["text"]), "").alias("text"))
+    return out.where(F.coalesce(F.col("id"), F.lit("")) != "") \
+        .select("article_id", "pos", "level", "id", "text", "parent_pos", "listed")
 
 
 def toc_html(heads: DataFrame) -> DataFrame:

@@ -239,17 +239,16 @@ def rewrite_srcset(df: DataFrame, srcset_col: str, out_col: str, dims: Dims,
 def links_table(nodes: DataFrame, dims: Dims, params: LinkParams | None = None) -> DataFrame:
     """EXT-1: every href / src value of the node table with its rewrite and kind.
 
-    Output: (article_id, pos, tag, attr, raw_url, new_url, kind).
+    Output: (article_id, pos, tag, attr, raw_url, new_url, kind).  One pass over the nodes
+    (an explode of the two attributes), so the node table is read once.
     """
-    opens = nodes.where(F.col("kind") == "open")
     title = "title" if "title" in nodes.columns else None
-    href = opens.where(F.map_contains_key("attrs", "href")).select(
-        "article_id", "pos", "tag", F.lit("href").alias("attr"), F.col("attrs")["href"].alias("raw_url"),
-        *( [F.col("title")] if title else []))
-    src = opens.where(F.map_contains_key("attrs", "src")).select(
-        "article_id", "pos", "tag", F.lit("src").alias("attr"), F.col("attrs")["src"].alias("raw_url"),
-        *( [F.col("title")] if title else []))
-    both = href.unionByName(src)
-    # srcset never gets the self-link rule; href does, src does too (same call in the reference)
+    a = F.col("attrs")
+    pairs = F.filter(F.array(F.struct(F.lit("href").alias("attr"), a["href"].alias("raw_url")),
+                             F.struct(F.lit("src").alias("attr"), a["src"].alias("raw_url"))),
+                     lambda x: x["raw_url"].isNotNull())
+    both = nodes.where(F.col("kind") == "open").select(
+        "article_id", "pos", "tag", *([F.col("title")] if title else []), F.explode(pairs).alias("l")
+    ).select("article_id", "pos", "tag", *([F.col("title")] if title else []), "l.attr", "l.raw_url")
     out = rewrite_urls(both, "raw_url", "new_url", dims, params, title_col=title, kind_col="kind")
     return out.drop("title") if title else out
