@@ -1,8 +1,7 @@
-"""pagelex: wiki-article HTML corpora compiled into a key -> content dictionary with Spark.
+"""Functions of this package are pickled by value, so that executors need no copy of it on their path."""
 
-Every job is a DataFrame -> DataFrame function.  HTML is tokenized once per article
-(``operators.nodes.tokenize``); everything afterwards is Spark expressions, broadcast
-joins, windows over one ``article_id`` exchange, and aggregates.
-"""
+import sys
 
-__version__ = "0.1.0"
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
