@@ -1,10 +1 @@
-"""Operators for preparing training data; nothing outside this package imports it.
-
-The package is pickled by value, so that executors need no copy of it on their path.
-"""
-
-import sys
-
-from pyspark import cloudpickle
-
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+"""Operators for preparing training data; nothing outside this package imports it."""

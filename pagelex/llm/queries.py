@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pagelex.llm import language, quality, toxicity
+from pagelex.llm import language, line_dedup, ngram_join, quality, toxicity
 
 QUERIES = {
+    "op3_ngram_join": ngram_join.query,
+    "op4_line_dedup": line_dedup.query,
     "op7_quality": quality.query,
     "op9_language": language.query,
     "op10_toxicity": toxicity.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op3_ngram_join": ngram_join.ORACLE,
+    "op4_line_dedup": line_dedup.ORACLE,
+}

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 512 << 10
+BLOCK_BYTES = 256 << 10
 U = np.uint64
 _P = U(0x9E3779B97F4A7C15)
 _Q = U(0xD6E8FEB86659FD93)
@@ -23,6 +23,20 @@ def _inverse(odd: int) -> np.uint64:
     return U(pow(odd, -1, 1 << 64))
 
 
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """1, base, base**2 ... modulo 2**64, n of them; kept while they are short."""
+    got = _powers.get(int(base))
+    if got is None or len(got) < n:
+        got = np.ones(max(n, BLOCK_BYTES + 1), U)
+        np.cumprod(np.full(len(got) - 1, base, U), out=got[1:])
+        if n <= 4 * BLOCK_BYTES:
+            _powers[int(base)] = got
+    return got[:n]
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread every bit of a 64-bit value over all others (a bijection)."""
     h = (h ^ (h >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -89,13 +103,9 @@ class Runs:
         self.start = np.flatnonzero(inside & (~before | edge[:-1]))
         self.end = np.flatnonzero(inside & (~after | edge[1:])) + 1
         self.first = np.searchsorted(self.start, offsets)
-        powers = np.ones(n + 1, U)
-        np.cumprod(np.full(n, _P, U), out=powers[1:])
         self._sum = np.zeros(n + 1, U)
-        np.cumsum((data.astype(U) + U(1)) * powers[:-1], out=self._sum[1:])
-        inverse = np.ones(n + 1, U)
-        np.cumprod(np.full(n, _inverse(int(_P)), U), out=inverse[1:])
-        self._scale = inverse[self.start]
+        np.cumsum((data.astype(U) + U(1)) * powers(_P, n), out=self._sum[1:])
+        self._scale = powers(_inverse(int(_P)), n + 1)[self.start]
 
     def hashes(self, longest: int | None = None, which=slice(None)) -> np.ndarray:
         start, end = self.start[which], self.end[which]
