@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pagelex.llm import language, line_dedup, ngram_join, quality, toxicity
+from pagelex.llm import decontaminate, fingerprint, language, line_dedup, ngram_join, quality, toxicity
 
 QUERIES = {
+    "op2_fingerprint": fingerprint.query,
     "op3_ngram_join": ngram_join.query,
     "op4_line_dedup": line_dedup.query,
+    "op5_decontaminate": decontaminate.query,
     "op7_quality": quality.query,
     "op9_language": language.query,
     "op10_toxicity": toxicity.query,
 }
 
 ORACLE = {
+    "op2_fingerprint": fingerprint.ORACLE,
     "op3_ngram_join": ngram_join.ORACLE,
     "op4_line_dedup": line_dedup.ORACLE,
+    "op5_decontaminate": decontaminate.ORACLE,
 }
