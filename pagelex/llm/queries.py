@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagelex.llm import decontaminate, fingerprint, language, line_dedup, ngram_join, quality, toxicity
+from pagelex.llm import decontaminate, fingerprint, language, line_dedup, ngram_join, quality, toxicity, warc
 
 QUERIES = {
     "op2_fingerprint": fingerprint.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_line_dedup": line_dedup.query,
     "op5_decontaminate": decontaminate.query,
     "op7_quality": quality.query,
+    "op8_warc": warc.query,
     "op9_language": language.query,
     "op10_toxicity": toxicity.query,
 }
@@ -19,4 +20,5 @@ ORACLE = {
     "op3_ngram_join": ngram_join.ORACLE,
     "op4_line_dedup": line_dedup.ORACLE,
     "op5_decontaminate": decontaminate.ORACLE,
+    "op8_warc": warc.ORACLE,
 }
