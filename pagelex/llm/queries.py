@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pagelex.llm import decontaminate, fingerprint, language, line_dedup, ngram_join, quality, toxicity, warc
+from pagelex.llm import bpe, decontaminate, fingerprint, language, line_dedup, ngram_join, quality, toxicity, warc
 
 QUERIES = {
+    "op1_byte_bpe": bpe.query,
     "op2_fingerprint": fingerprint.query,
     "op3_ngram_join": ngram_join.query,
     "op4_line_dedup": line_dedup.query,

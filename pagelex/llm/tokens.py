@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 
 BLOCK_BYTES = 256 << 10
 U = np.uint64
+INDEX_BITS = 20
 _P = U(0x9E3779B97F4A7C15)
 _Q = U(0xD6E8FEB86659FD93)
 
@@ -134,3 +135,25 @@ def shingle_hashes(h: np.ndarray, first: np.ndarray, k: int = 5) -> tuple[np.nda
     for j in range(k):
         out = out * _Q + np.where(j < size, padded[at + j], U(0))
     return mix(out + size.astype(U) * _P), out_first
+
+
+def hash_index(h: np.ndarray) -> np.ndarray:
+    """For sorted hashes: where each value of their top bits begins."""
+    return np.searchsorted(h >> U(64 - INDEX_BITS), np.arange((1 << INDEX_BITS) + 1)).astype(np.int32)
+
+
+def find(sorted_hashes: np.ndarray, top: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The place of each hash among the sorted ones, or -1."""
+    out = np.full(len(h), -1, np.int64)
+    if not len(sorted_hashes):
+        return out
+    bucket = (h >> U(64 - INDEX_BITS)).astype(np.int64)
+    at, end = top[bucket].astype(np.int64), top[bucket + 1]
+    left = np.flatnonzero(at < end)
+    while len(left):
+        hit = sorted_hashes[at[left]] == h[left]
+        out[left[hit]] = at[left[hit]]
+        left = left[~hit]
+        at[left] += 1
+        left = left[at[left] < end[left]]
+    return out
