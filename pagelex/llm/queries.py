@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagelex.llm import bpe, decontaminate, fingerprint, language, line_dedup, ngram_join, quality, toxicity, warc
+from pagelex.llm import bpe, decontaminate, fingerprint, language, line_dedup, lm_score, ngram_join, quality, toxicity, warc
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_ngram_join": ngram_join.query,
     "op4_line_dedup": line_dedup.query,
     "op5_decontaminate": decontaminate.query,
+    "op6_lm_score": lm_score.query,
     "op7_quality": quality.query,
     "op8_warc": warc.query,
     "op9_language": language.query,
