@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import uuid
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,22 +36,12 @@ def get_spark(master: str | None = None, app: str = "pagelex", partitions: int =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a local one only when none is configured.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    """
+    """The folder of checkpoints and intermediate tables: the one that ``spark.checkpoint.dir`` names, on a cluster a
+    shared one; where it is unset, as in tests, a new local one."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        current = os.path.join(os.environ.get("PAGELEX_LOCAL_CHECKPOINT", "/tmp"), "pagelex-checkpoints")
-    sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="pagelex-checkpoints-"))
+    return sc.getCheckpointDir()
 
 
 def small_dim(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
