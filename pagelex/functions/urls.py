@@ -28,7 +28,7 @@ USES_NETLOC = (
 # ---------------------------------------------------------------------------
 
 # RFC-3986 style split: scheme, //netloc, path, ?query, #fragment.  RE2-compatible.
-URL_SPLIT_RE = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+URL_SPLIT_RE = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
 
 def col_or_lit(x) -> Column:
@@ -46,14 +46,12 @@ def clean_url(url) -> Column:
 
 def split_url(url) -> Column:
     """struct<scheme (lower-cased), netloc, path, query, fragment>; absent parts are ''."""
-    u = clean_url(url)
-    return F.struct(
-        F.lower(F.regexp_extract(u, URL_SPLIT_RE, 1)).alias("scheme"),
-        F.regexp_extract(u, URL_SPLIT_RE, 2).alias("netloc"),
-        F.regexp_extract(u, URL_SPLIT_RE, 3).alias("path"),
-        F.regexp_extract(u, URL_SPLIT_RE, 4).alias("query"),
-        F.regexp_extract(u, URL_SPLIT_RE, 5).alias("fragment"),
-    )
+
+    def parts(u: Column) -> Column:
+        return F.struct(*[(F.lower if name == "scheme" else lambda x: x)(F.regexp_extract(u, URL_SPLIT_RE, i + 1)).alias(name)
+                          for i, name in enumerate(("scheme", "netloc", "path", "query", "fragment"))])
+
+    return F.get(F.transform(F.array(clean_url(url)), parts), 0)  # cleaned once
 
 
 def prefixed(sep: str, part: Column) -> Column:

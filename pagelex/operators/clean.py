@@ -58,6 +58,10 @@ MAP_CLASS = "mw-kartographer-map"
 MAP_ATTRS_REQUIRED = ("data-overlays", "data-style", "data-height", "data-width")
 # ---------------------------------------------------------------------------
 
+# Tags that keep a row of their own when a document is tokenized for conversion.
+KEPT_TAGS = frozenset(KNOWN_TAGS) - frozenset(UNWRAP_TAGS)
+
+
 def is_open() -> Column:
     return F.col("kind") == "open"
 
@@ -133,59 +137,48 @@ def geo_links(nodes: DataFrame) -> DataFrame:
     Adds ``__geo_drop`` (subtree drop flag for the next pass) and the inserted link rows;
     also ``__geo_lat`` / ``__geo_lon`` / ``__geo_fmt`` on the rows that produced a link (EXT-3).
     """
-    w = N.article_window()
+    key = "struct<a:bigint,b:bigint,c:bigint>"
+    for c in ("okey", "ckey"):
+        if c not in nodes.columns:
+            nodes = nodes.withColumn(c, F.lit(None).cast(key))
     is_gnd, is_geo, is_dms, is_dec = has_class("geo-nondefault"), has_class("geo"), has_class("geo-geo-dms"), has_class("geo-dec")
-    nodes = nodes.withColumn("__ftext", first_text()) \
-        .withColumn("__in_gnd", N.enclosing(is_gnd, F.col("pclose"))) \
-        .withColumn("__in_dms", N.enclosing(is_dms, F.col("pclose")))
+    nodes = nodes.withColumns({
+        "__ftext": first_text(), "__in_gnd": N.enclosing(is_gnd, F.col("pclose")), "__in_dms": N.enclosing(is_dms, F.col("pclose")),
+        "__geo_of": N.enclosing(is_geo, F.col("pos")),
+    })
+    # the first .latitude and .longitude anywhere inside a .geo (the article's partitioning serves this window too)
+    inside = Window.partitionBy("article_id", "__geo_of").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = lambda name: F.first(F.when(has_class(name), F.col("__ftext")), ignorenulls=True).over(inside)
+    nodes = nodes.withColumns({"__b_lat": first("latitude"), "__b_lon": first("longitude")})
     semi = F.contains(F.coalesce(F.col("__ftext"), F.lit("")), F.lit(";"))
-    # (a) and (c): .geo with "lat;lon" text inside the container
+    # (a) and (c): .geo with "lat;lon" text inside the container; (b): with .latitude and .longitude
     fmt_a = is_geo & F.col("__in_gnd").isNotNull() & semi
+    fmt_b = is_geo & F.col("__in_gnd").isNull() & F.col("__b_lat").isNotNull() & F.col("__b_lon").isNotNull()
     fmt_c = is_geo & F.col("__in_gnd").isNull() & F.col("__in_dms").isNotNull() & semi
-    # (b): bounded look-ahead for .latitude/.longitude children (the microformat is a few tokens)
-    look = 8
-    lat = lon = None
-    for k in range(1, look + 1):
-        inside = F.lead("pos", k).over(w) <= F.col("close_pos")
-        la = F.when(inside & F.lead("__is_lat", k).over(w), F.lead("__ftext", k).over(w))
-        lo = F.when(inside & F.lead("__is_lon", k).over(w), F.lead("__ftext", k).over(w))
-        lat = la if lat is None else F.coalesce(lat, la)
-        lon = lo if lon is None else F.coalesce(lon, lo)
-    nodes = nodes.withColumn("__is_lat", has_class("latitude")).withColumn("__is_lon", has_class("longitude"))
-    nodes = nodes.withColumn("__b_lat", F.when(is_geo & F.col("__in_gnd").isNull(), lat)) \
-        .withColumn("__b_lon", F.when(is_geo & F.col("__in_gnd").isNull(), lon))
-    fmt_b = F.col("__b_lat").isNotNull() & F.col("__b_lon").isNotNull()
-    ac_lat = F.split(F.col("__ftext"), ";", 2)
     nodes = nodes.withColumn("__geo_fmt", F.when(fmt_a, "nondefault").when(fmt_b, "microformat").when(fmt_c, "dms"))
-    nodes = nodes.withColumn("__geo_lat", F.when(F.col("__geo_fmt") == "microformat", F.col("__b_lat"))
-                             .when(F.col("__geo_fmt").isNotNull(), ac_lat.getItem(0)))
-    nodes = nodes.withColumn("__geo_lon", F.when(F.col("__geo_fmt") == "microformat", F.col("__b_lon"))
-                             .when(F.col("__geo_fmt").isNotNull(), ac_lat.getItem(1)))
-    # slot of this link among the links of the same container (later links first, as addnext does)
-    ac = F.col("__geo_fmt").isin("nondefault", "dms")
-    nodes = nodes.withColumn("__gl", F.sum(F.when(ac, 1).otherwise(0)).over(N.running()))
-    nodes = nodes.withColumn("__gl0", N.enclosing(is_gnd | is_dms, F.col("__gl")))
-    j = F.least(F.col("__gl") - F.col("__gl0") - 1, F.lit(4))
-    anchor = F.when(F.col("__geo_fmt") == "nondefault", F.col("__in_gnd")) \
-        .when(F.col("__geo_fmt") == "dms", F.col("__in_dms")) \
-        .when(F.col("__geo_fmt") == "microformat", F.col("close_pos"))
-    base = F.when(F.col("__geo_fmt") == "microformat", anchor + 1).otherwise(anchor + 1 + 3 * (4 - j))
+    pair = F.split(F.col("__ftext"), ";", 2)
+    micro = F.col("__geo_fmt") == "microformat"
+    anchor = F.when(F.col("__geo_fmt") == "nondefault", F.col("__in_gnd")).when(F.col("__geo_fmt") == "dms", F.col("__in_dms")).when(micro, F.col("close_pos"))
+    nodes = nodes.withColumns({
+        "__geo_lat": F.when(micro, F.col("__b_lat")).when(F.col("__geo_fmt").isNotNull(), pair.getItem(0)),
+        "__geo_lon": F.when(micro, F.col("__b_lon")).when(F.col("__geo_fmt").isNotNull(), pair.getItem(1)),
+        "__geo_drop": is_gnd | (is_dec & F.col("__in_dms").isNotNull()) | F.coalesce(micro, F.lit(False)),
+        "__anchor": anchor,
+    }).drop("__ftext", "__in_gnd", "__in_dms", "__b_lat", "__b_lon", "__geo_of")
     href = F.concat(F.lit("geo:"), U.strip_ws(F.col("__geo_lat")), F.lit(","), U.strip_ws(F.col("__geo_lon")))
-    drop = is_gnd | (is_dec & F.col("__in_dms").isNotNull()) | (F.col("__geo_fmt") == "microformat")
-    helper = ["__ftext", "__in_gnd", "__in_dms", "__is_lat", "__is_lon", "__b_lat", "__b_lon", "__gl", "__gl0"]
-    nodes = nodes.withColumn("__geo_drop", drop).withColumn("__gbase", base).withColumn("__ghref", href).drop(*helper)
-    b = F.col("__gbase")
-    link_a = N.new_node(nodes, pos=b, kind="open", tag="a",
-                        attrs=F.create_map(F.lit("href"), F.col("__ghref")), close_pos=b + 2, parent_pos=F.lit(-1),
-                        depth=F.col("depth"), raw=F.lit(False), pclose=F.lit(-1))
+    nodes = nodes.withColumn("__ghref", href)
+    # links stand right behind the anchor's end; of several, the later one first, as if each were put next to the anchor
+    at = F.col("__anchor") + 1
+    place = lambda k: F.struct(F.col("__anchor").alias("a"), F.lit(1).cast("long").alias("b"), (k - 4 * F.col("pos")).alias("c"))
+    link_a = N.new_node(nodes, pos=at, kind="open", tag="a", attrs=F.create_map(F.lit("href"), F.col("__ghref")), close_pos=at,
+                        parent_pos=F.lit(-1), depth=F.col("depth"), raw=F.lit(False), pclose=F.lit(-1), okey=place(0), ckey=place(2))
     # the icon's src goes through the link rewrite like every src (it is a relative path)
-    link_img = N.new_node(nodes, pos=b + 1, kind="open", tag="img",
+    link_img = N.new_node(nodes, pos=at, kind="open", tag="img",
                           attrs=F.create_map(F.lit("class"), F.lit(GEO_ICON_CLASS), F.lit("src"),
                                              U.encode_article_path(F.lit(GEO_ICON_SRC))),
-                          close_pos=b + 1, parent_pos=b, depth=F.col("depth") + 1, ptag=F.lit("a"),
-                          raw=F.lit(False), pclose=b + 2)
+                          close_pos=at, parent_pos=at, depth=F.col("depth") + 1, ptag=F.lit("a"), raw=F.lit(False), pclose=at, okey=place(1))
     ins = F.when(F.col("__geo_fmt").isNotNull(), F.array(link_a, link_img))
-    return N.with_inserts(nodes, ins).drop("__gbase", "__ghref")
+    return N.with_inserts(nodes, ins).drop("__anchor", "__ghref")
 
 
 # --------------------------------------------------------------------------- DOC-3 rules
@@ -199,6 +192,8 @@ def apply_rules(nodes: DataFrame, rules: list[str], first_pass_hit: Column | Non
     """
     sels = S.parse_rules(rules)
     passes = S.plan_passes(sels) or [[]]
+    if first_pass_hit is not None and passes[0] and passes[0][0].structural:
+        passes.insert(0, [])  # a structural rule sees the tree without what these drop
     for i, group in enumerate(passes):
         if group:
             nodes = S.hits(nodes, group, "__hit")
@@ -228,14 +223,20 @@ def strip_background(nodes: DataFrame, selector_list: str | None) -> DataFrame:
     ``name: value`` joined by ``;\\n``.  Elements without ``style`` are left alone."""
     if not selector_list:
         return nodes
-    hit = sel(selector_list) & F.map_contains_key("attrs", "style")
-    decls = F.filter(F.split(F.col("attrs")["style"], ";"), lambda d: F.trim(d) != "")
-    kept = F.filter(decls, lambda d: ~F.lower(F.trim(F.substring_index(d, ":", 1))).isin("background", "background-color"))
-    norm = F.transform(kept, lambda d: F.when(F.contains(d, F.lit(":")), F.concat(
-        F.lower(F.trim(F.substring_index(d, ":", 1))), F.lit(": "),
-        F.trim(F.regexp_extract(d, r"^[^:]*:(.*)$", 1)))).otherwise(F.trim(d)))
-    style = F.array_join(norm, ";\n")
-    return nodes.withColumn("attrs", F.when(hit, set_attr(F.col("attrs"), "style", style)).otherwise(F.col("attrs")))
+    selectors = S.parse_rules([selector_list])
+    hit = S.row_local_pred(selectors)
+    if hit is None:  # descendant steps need windows
+        nodes = S.hits(nodes, selectors, "__bg")
+        hit = F.col("__bg")
+    # declarations end at a semicolon outside quotes and parentheses
+    parts = F.regexp_extract_all(F.col("attrs")["style"], F.lit(r"""(?s)((?:[^;"'(]|"[^"]*"|'[^']*'|\([^)]*\))+)"""), F.lit(1))
+    name = lambda d: F.lower(U.strip_ws(F.substring_index(d, ":", 1)))
+    kept = F.filter(F.filter(parts, lambda d: U.strip_ws(d) != ""), lambda d: ~name(d).isin("background", "background-color"))
+    value = lambda d: U.strip_ws(d.substr(F.length(F.substring_index(d, ":", 1)) + 2, F.length(d)))
+    norm = F.transform(kept, lambda d: F.when(F.contains(d, F.lit(":")), F.concat(name(d), F.lit(": "), value(d))).otherwise(U.strip_ws(d)))
+    styled = hit & F.map_contains_key("attrs", "style")
+    new = set_attr(F.col("attrs"), "style", F.array_join(norm, ";\n"))
+    return nodes.withColumn("attrs", F.when(styled, new).otherwise(F.col("attrs"))).drop("__bg")
 
 
 # --------------------------------------------------------------------------- DOC-13 maps

@@ -32,7 +32,10 @@ def capture_online_link(nodes: DataFrame) -> DataFrame:
     is dropped (decision Q10)."""
     is_link = is_open() & (F.col("tag") == "link") & (F.col("attrs")["rel"] == "dc:isVersionOf") \
         & F.map_contains_key("attrs", "href")
-    first = F.min(F.when(is_link, F.struct(F.col("pos").alias("p"), F.col("attrs")["href"].alias("h")))).over(whole())
+    href = F.col("attrs")["href"]
+    if "__href2" in nodes.columns:
+        href = F.coalesce(F.col("__href2"), href)
+    first = F.min(F.when(is_link, F.struct(F.col("pos").alias("p"), href.alias("h")))).over(whole())
     return nodes.withColumn("__online", first["h"])
 
 
@@ -60,14 +63,14 @@ def heading_levels(nodes: DataFrame) -> DataFrame:
     return nodes.drop("__l2", "__h3p", "__l3", "__h4p")
 
 
-def _drop_empty_heading_spans(nodes: DataFrame) -> DataFrame:
-    """``span:empty`` inside headings is removed while the contents are built."""
+def _drop_empty_heading_spans(nodes: DataFrame, generated: Column) -> DataFrame:
+    """``span:empty`` inside headings is removed where the contents are generated."""
     w = N.article_window()
     nxt = F.lead("pos").over(w)
     nodes = nodes.withColumn("__e", is_open() & (F.col("tag") == "span") & (nxt.isNull() | (nxt > F.col("close_pos"))))
     in_h = N.has_enclosing(is_open() & F.col("tag").isin("h2", "h3", "h4"))
     nodes = nodes.withColumn("__inh", in_h)
-    return nodes.where(~(F.col("__e") & F.col("__inh"))).drop("__e", "__inh")
+    return nodes.where(~(F.col("__e") & F.col("__inh") & F.coalesce(generated, F.lit(False)))).drop("__e", "__inh")
 
 
 def article_header(nodes: DataFrame, server, articlepath, site_articlepath) -> DataFrame:
@@ -94,7 +97,7 @@ def article_header(nodes: DataFrame, server, articlepath, site_articlepath) -> D
     gen = F.col("__applies") & F.col("__toc").isNull()
 
     # generated contents: only when needed
-    nodes = _drop_empty_heading_spans(nodes)
+    nodes = _drop_empty_heading_spans(nodes, gen)
     nodes = heading_levels(nodes)
     listed = is_open() & F.col("__listed")
     before = N.article_window().rowsBetween(Window.unboundedPreceding, -1)
@@ -106,8 +109,9 @@ def article_header(nodes: DataFrame, server, articlepath, site_articlepath) -> D
     # moved #toc: its rows take keys in the header region
     anchor = F.col("__anchor")
     in_moved = moved_toc & (F.col("pos") >= F.col("__toc.p")) & (F.col("pos") <= F.col("__toc.c"))
-    nodes = nodes.withColumn("okey", F.when(in_moved, _key(anchor, 1, F.col("pos"))).otherwise(_key(F.col("pos"), 0, F.lit(0))))
-    nodes = nodes.withColumn("ckey", F.when(in_moved, _key(anchor, 1, F.col("close_pos"))).otherwise(_key(F.col("close_pos"), 0, F.lit(0))))
+    own = lambda key, at: F.coalesce(F.col(key), _key(F.col(at), 0, F.lit(0))) if key in nodes.columns else _key(F.col(at), 0, F.lit(0))
+    keys = {k: F.when(in_moved, _key(anchor, 1, F.col(at))).otherwise(own(k, at)) for k, at in (("okey", "pos"), ("ckey", "close_pos"))}
+    nodes = nodes.withColumns(keys)
 
     lv, pv = F.col("__level"), F.col("__prev_lv")
     close_levels = F.concat(F.lit("</li>"), F.repeat(F.lit("</ol></li>"), F.greatest(pv - lv, F.lit(0))))

@@ -13,7 +13,7 @@ The decision list, first match wins:
 7. otherwise                      -> remaining path with '/', ':', '_' encoded; query and fragment once (article)
 
 Rows 1-4, 6, 7 are the reference's rules; row 5 and "query once" are the decisions Q15 / Q1
-of the survey.  Dims are joined with a size-checked broadcast (``small_dim``), so the link
+of the survey.  Dims (a site's configuration) are joined by broadcast, so the link
 rows never shuffle.  ``srcset`` candidates are rewritten inside ``transform`` with the same
 decision, looking the dims up in literal maps that are built only after a size check; above
 the bound the candidates are exploded, joined and re-collected instead.
@@ -28,12 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
-from ..session import small_dim
 from ..sources.siteinfo import Dims
 
-# Largest dim (entries) embedded as a literal map in the plan for srcset rewriting.
-MAP_LITERAL_MAX = 50_000
-
 KINDS = ("absolute", "image", "namespace", "interwiki", "passthrough", "self", "article")
 
 
@@ -112,14 +108,14 @@ def _probe_keys(parts: Column, p: LinkParams) -> tuple[Column, Column]:
 
 
 def _dim_sides(dims: Dims) -> tuple[DataFrame, DataFrame]:
-    """Join sides of both dims, size-checked once per ``Dims`` object."""
+    """Join sides of both dims, made once per ``Dims`` object."""
     if getattr(dims, "_sides", None) is None:
         ns = dims.ns_lookup.select(F.col("name").alias("__nsk"), F.lit(True).alias("__ns_hit"))
         iw = dims.interwiki.select(
             F.col("prefix").alias("__iwk"),
             F.struct("iw_head", "iw_slash", "iw_path", "iw_tail").alias("__iw"),
         )
-        dims._sides = (small_dim(ns), small_dim(iw))
+        dims._sides = (F.broadcast(ns), F.broadcast(iw))  # a site's configuration: some hundreds of rows
     return dims._sides
 
 
@@ -180,60 +176,34 @@ def _assemble(raw: Column, parts: Column, iw: Column, kind: Column, p: LinkParam
 
 
 def _literal_maps(dims: Dims):
-    """(ns_map, iw_map) literal map columns, or None when the dims are above the bound.
-
-    Each map is one JSON literal parsed by ``from_json``; the optimizer folds it to a
-    constant once, so rows only do map lookups.
-    """
-    ns_rows = dims.ns_lookup.select("name").limit(MAP_LITERAL_MAX + 1).collect()
-    iw_rows = dims.interwiki.limit(MAP_LITERAL_MAX + 1).collect()
-    if len(ns_rows) > MAP_LITERAL_MAX or len(iw_rows) > MAP_LITERAL_MAX:
-        return None
-    ns_json = json.dumps({r.name: True for r in ns_rows})
+    """(ns_map, iw_map): the site's configuration as literal map columns."""
+    ns_json = json.dumps({r.name: True for r in dims.ns_lookup.select("name").collect()})
     iw_json = json.dumps({r.prefix: {"iw_head": r.iw_head, "iw_slash": r.iw_slash, "iw_path": r.iw_path,
-                                     "iw_tail": r.iw_tail} for r in iw_rows})
+                                     "iw_tail": r.iw_tail} for r in dims.interwiki.collect()})
     iw_struct = "struct<iw_head:string,iw_slash:boolean,iw_path:string,iw_tail:string>"
     return (F.from_json(F.lit(ns_json), "map<string,boolean>"),
             F.from_json(F.lit(iw_json), f"map<string,{iw_struct}>"))
 
 
-def rewrite_srcset(df: DataFrame, srcset_col: str, out_col: str, dims: Dims,
-                   params: LinkParams | None = None, key_cols: list[str] | None = None) -> DataFrame:
-    """SCL-7: split on ", ", rewrite the first token of each candidate, keep descriptors."""
+def rewrite_srcset(df: DataFrame, srcset_col: str, out_col: str, dims: Dims, params: LinkParams | None = None) -> DataFrame:
+    """SCL-7: split on ", ", rewrite the first token of each candidate, keep what follows its first blank as it is."""
     p = params or LinkParams.from_dims(dims)
     if not hasattr(dims, "_maps"):
         dims._maps = _literal_maps(dims)
-    maps = dims._maps
-    if maps is not None:
-        ns_map, iw_map = maps
-
-        def one(cand: Column) -> Column:
-            c = U.strip_ws(cand)
-            url = F.substring_index(c, " ", 1)
-            parts = U.split_url(url)
-            ns_key, iw_key = _probe_keys(parts, p)
-            ns_hit = F.when(ns_key.isNotNull(), F.map_contains_key(ns_map, F.coalesce(ns_key, F.lit(""))))
-            iw = F.when(iw_key.isNotNull(), F.element_at(iw_map, F.coalesce(iw_key, F.lit(""))))
-            new, _ = _decide(url, parts, None, ns_hit, iw, p)
-            tail = F.when(F.contains(c, F.lit(" ")), F.concat(F.lit(" "), F.regexp_extract(c, r"^[^ ]* (.*)$", 1)))
-            return F.concat(new, F.coalesce(tail, F.lit("")))
-
-        src = F.col(srcset_col)
-        return df.withColumn(
-            out_col, F.when(src.isNull(), F.lit(None)).otherwise(F.array_join(F.transform(F.split(src, ", "), one), ", "))
-        )
-    # Large dims: explode candidates, rewrite with the broadcast joins, collect back by key.
-    if not key_cols:
-        raise ValueError("key_cols are required to rewrite srcset against large dims")
-    cand = df.select(*key_cols, F.posexplode(F.split(srcset_col, ", ")).alias("__pos", "__cand"))
-    cand = cand.withColumn("__c", U.strip_ws(F.col("__cand"))).withColumn("__url", F.substring_index("__c", " ", 1))
-    cand = rewrite_urls(cand, "__url", "__new", dims, p)
-    cand = cand.withColumn("__part", F.concat("__new", F.coalesce(F.when(F.contains(F.col("__c"), F.lit(" ")), F.concat(
-        F.lit(" "), F.regexp_extract("__c", r"^[^ ]* (.*)$", 1))), F.lit(""))))
-    back = cand.groupBy(*key_cols).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__pos", "__part"))), lambda x: x["__part"]), ", ").alias(out_col)
-    )
-    return df.drop(out_col).join(back, key_cols, "left")
+    ns_map, iw_map = dims._maps
+
+    def one(cand: Column) -> Column:
+        c = U.strip_ws(cand)
+        url = F.substring_index(c, " ", 1)
+        parts = U.split_url(url)
+        ns_key, iw_key = _probe_keys(parts, p)
+        ns_hit = F.when(ns_key.isNotNull(), F.map_contains_key(ns_map, F.coalesce(ns_key, F.lit(""))))
+        iw = F.when(iw_key.isNotNull(), F.element_at(iw_map, F.coalesce(iw_key, F.lit(""))))
+        new, _ = _decide(url, parts, None, ns_hit, iw, p)
+        return F.concat(new, c.substr(F.length(url) + 1, F.length(c)))
+
+    src = F.col(srcset_col)
+    return df.withColumn(out_col, F.when(src.isNotNull(), F.array_join(F.transform(F.split(src, ", "), one), ", ")))
 
 
 def links_table(nodes: DataFrame, dims: Dims, params: LinkParams | None = None) -> DataFrame:

@@ -26,11 +26,13 @@ from __future__ import annotations
 from html.parser import HTMLParser
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STEP = 16
+OUT_BYTES = 4 << 20
 
 # HTML void elements of the soup parser model (never have children).
 VOID_TAGS = frozenset((
@@ -58,17 +60,19 @@ _ARROW_TYPES = {
 class _Tokenizer(HTMLParser):
     """Token rows of one document as column lists."""
 
-    def __init__(self):
+    def __init__(self, keep_tags: frozenset[str] | None = None):
         super().__init__(convert_charrefs=True)
+        self.keep_tags = keep_tags
+        self.parents: list[tuple[str, int, str | None]] = []  # the open elements that have a row
         self.cols = {k: [] for k, _ in NODE_FIELDS}
-        self.stack: list[tuple[str, int, str | None]] = []  # (tag, row index, class)
+        self.stack: list[tuple[str, int | None, str | None]] = []  # (tag, row index or None, class)
         self.seq = 0
 
     def _row(self, kind, tag=None, attrs=None, text=None, raw=False):
         c = self.cols
         pos = self.seq * STEP
         self.seq += 1
-        parent = self.stack[-1] if self.stack else None
+        parent = self.parents[-1] if self.parents else None
         c["pos"].append(pos)
         c["kind"].append(kind)
         c["tag"].append(tag)
@@ -76,7 +80,7 @@ class _Tokenizer(HTMLParser):
         c["text"].append(text)
         c["close_pos"].append(pos)
         c["parent_pos"].append(c["pos"][parent[1]] if parent else -1)
-        c["depth"].append(len(self.stack))
+        c["depth"].append(len(self.parents))
         c["ptag"].append(parent[0] if parent else None)
         c["pclass"].append(parent[2] if parent else None)
         c["raw"].append(raw)
@@ -84,6 +88,10 @@ class _Tokenizer(HTMLParser):
         return len(c["pos"]) - 1
 
     def handle_starttag(self, tag, attrs):
+        if self.keep_tags is not None and tag not in self.keep_tags:  # its children are its parent's
+            if tag not in VOID_TAGS:
+                self.stack.append((tag, None, None))
+            return
         amap: dict[str, str] = {}
         for k, v in attrs:
             if k not in amap:
@@ -91,6 +99,7 @@ class _Tokenizer(HTMLParser):
         idx = self._row("open", tag, list(amap.items()))
         if tag not in VOID_TAGS:
             self.stack.append((tag, idx, amap.get("class")))
+            self.parents.append(self.stack[-1])
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -106,6 +115,9 @@ class _Tokenizer(HTMLParser):
 
     def _close(self):
         _, idx, _ = self.stack.pop()
+        if idx is None:
+            return
+        self.parents.pop()
         self.cols["close_pos"][idx] = self.seq * STEP
         self.seq += 1
 
@@ -114,7 +126,7 @@ class _Tokenizer(HTMLParser):
             return
         c = self.cols
         if c["kind"] and c["kind"][-1] == "text" and c["parent_pos"][-1] == (
-                c["pos"][self.stack[-1][1]] if self.stack else -1) and self.seq * STEP == c["pos"][-1] + STEP:
+                c["pos"][self.parents[-1][1]] if self.parents else -1) and self.seq * STEP == c["pos"][-1] + STEP:
             c["text"][-1] += data
             return
         raw = bool(self.stack) and self.stack[-1][0] in RAW_TEXT_TAGS
@@ -145,15 +157,28 @@ class _Tokenizer(HTMLParser):
         return self.cols
 
 
-def tokenize_one(html: str) -> dict:
+def tokenize_one(html: str, keep_tags: frozenset[str] | None = None) -> dict:
     """Column lists of one document's tokens (used by the Arrow task and by tests)."""
-    t = _Tokenizer()
+    t = _Tokenizer(keep_tags)
     t.feed(html)
     return t.finish()
 
 
-def _tokenize_batches(batches, carry: list[str]):
+def _small(batches):
+    """Slices whose texts have some megabytes at most (or one longer text), so that token rows stay bounded."""
     for batch in batches:
+        size = pa.compute.fill_null(pa.compute.binary_length(batch.column("__html")), 0).to_pylist()
+        start = total = 0
+        for i, n in enumerate(size):
+            if total and total + n > OUT_BYTES:
+                yield batch.slice(start, i - start)
+                start, total = i, 0
+            total += n
+        yield batch.slice(start)
+
+
+def _tokenize_batches(batches, carry: list[str], keep_tags: frozenset[str] | None = None):
+    for batch in _small(batches):
         ids = batch.column("article_id").to_pylist()
         htmls = batch.column("__html").to_pylist()
         carried = {c: batch.column(c) for c in carry}
@@ -169,7 +194,7 @@ def _tokenize_batches(batches, carry: list[str]):
             take.append(i)
             art.append(aid)
             try:
-                cols = tokenize_one(html)
+                cols = tokenize_one(html, keep_tags)
             except Exception as ex:  # failure isolation per article: an error row, never a failed task
                 for k, v in (("pos", 0), ("kind", "error"), ("tag", None), ("attrs", None),
                              ("text", f"{type(ex).__name__}: {ex}" or "error"), ("close_pos", 0),
@@ -204,18 +229,20 @@ def node_schema(articles: DataFrame, carry: list[str]) -> T.StructType:
     return T.StructType(fields)
 
 
-def tokenize(articles: DataFrame, html_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+def tokenize(articles: DataFrame, html_col: str = "text", carry: list[str] | None = None,
+             keep_tags: frozenset[str] | None = None) -> DataFrame:
     """DOC-1: articles (article_id, <html_col>, carried columns) -> node rows.
 
     Filters placed before this call are pushed to the scan; nothing is pushed through
     it, so callers filter first.  NULL HTML is not tokenized (FLT-7): such articles get
-    only their ``doc`` row.
+    only their ``doc`` row. Elements beyond ``keep_tags``, if given, have no row: what they hold
+    belongs to the element around them.
     """
     carry = [c for c in (carry or []) if c not in ("article_id", html_col)]
     src = articles.select(F.col("article_id").cast("long").alias("article_id"),
                           F.coalesce(F.col(html_col), F.lit("")).alias("__html"), *carry)
     schema = node_schema(articles, carry)
-    return src.mapInArrow(lambda it: _tokenize_batches(it, carry), schema)
+    return src.mapInArrow(lambda it: _tokenize_batches(it, carry, keep_tags), schema)
 
 
 # --------------------------------------------------------------------------- windows
@@ -245,11 +272,11 @@ def drop_subtrees(nodes: DataFrame, hit: Column) -> DataFrame:
 
 
 def enclosing(flag: Column, value: Column, w: Window | None = None) -> Column:
-    """Value of the nearest *preceding or current* open element where ``flag`` holds and whose
-    interval still covers the row (for non-nested flags such as map anchors or math spans)."""
-    last = F.last(F.when(flag & (F.col("kind") == "open"), F.struct(F.col("close_pos").alias("c"), value.alias("v"))),
-                  ignorenulls=True).over(running(w))
-    return F.when(last["c"] >= F.col("pos"), last["v"])
+    """Value of an element around the row (or of the row itself) where ``flag`` holds: the last one opened, or
+    where that is closed already, the outermost one that is still open."""
+    own = F.when(flag & (F.col("kind") == "open"), F.struct(F.col("close_pos").alias("c"), value.alias("v")))
+    last, widest = F.last(own, ignorenulls=True).over(running(w)), F.max(own).over(running(w))
+    return F.when(last["c"] >= F.col("pos"), last["v"]).when(widest["c"] >= F.col("pos"), widest["v"])
 
 
 def has_enclosing(flag: Column, strict: bool = True) -> Column:

@@ -143,6 +143,8 @@ def parse_selector(text: str) -> Selector:
     chain = [(combs[i], compounds[i]) for i in range(len(compounds) - 2, -1, -1)]
     if chain and chain[0][0] == ">" and not chain[0][1].parent_safe:
         raise SelectorError(f"'>' needs a tag/class-only parent compound: {text!r}")
+    if any(comb == ">" for comb, _ in chain[1:]):
+        raise SelectorError(f"'>' only right before the subject: {text!r}")
     for comb, c in chain:
         if c.structural:
             raise SelectorError(f":empty/:contains only on the subject: {text!r}")
@@ -270,8 +272,8 @@ def hits(nodes: DataFrame, sels: list[Selector], out_col: str = "__hit") -> Data
 
     Ancestor steps are evaluated from the farthest one towards the subject; each descendant
     step is one ancestor-flag window column.  All windows share the article window, so no
-    extra exchange or sort is planned.  A ``>`` step that is not right before the subject is
-    evaluated as a descendant step.
+    extra exchange or sort is planned.  A ``>`` step stands right before the subject (others are
+    refused when the rule is read).
     """
     nodes, struct_cols = with_structure(nodes, sels)
     preds, tmp = [], []

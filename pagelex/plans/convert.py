@@ -41,8 +41,11 @@ MATH_SCRIPTS = (
     '<script type="importmap">\n{"imports":{"mathjax/":"./~/MathJax/"}}</script>\n'
     '<script type="module" src="./~/MathJax/MediaWiki.js"></script>'
 )
-# Charsets the output encoder accepts (others are refused when the plan is built).
-CHARSETS = ("utf-8", "utf8", "iso-8859-1", "latin1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32")
+# Names of the charsets that the output encoder accepts, and the encoder's name for them (others are refused when
+# the plan is built), and the characters that the small ones lack.
+CHARSETS = {"utf-8": "utf-8", "utf8": "utf-8", "iso-8859-1": "iso-8859-1", "latin1": "iso-8859-1", "latin-1": "iso-8859-1", "us-ascii": "us-ascii",
+            "ascii": "us-ascii", "utf-16": "utf-16", "utf-16be": "utf-16be", "utf-16le": "utf-16le", "utf-32": "utf-32"}
+BEYOND = {"iso-8859-1": r"[^\x00-\xFF]", "us-ascii": r"[^\x00-\x7F]"}
 
 
 @dataclass
@@ -70,7 +73,8 @@ def prepare(articles: DataFrame) -> DataFrame:
 
 
 def rewrite_node_links(nodes: DataFrame, dims: Dims, opts: ConvertOptions) -> DataFrame:
-    """DOC-7 / DOC-8 before the exchange: href, src (self-links by title) and srcset."""
+    """DOC-7 / DOC-8 before the exchange: the new href, src (self-links by title) and srcset in columns beside the
+    attributes, which keep the raw values until the rules have seen them (``swap_links``)."""
     params = L.LinkParams(dims.site.server, F.coalesce(F.col("__ap"), F.lit(dims.site.articlepath)),
                           dims.site.articlepath, opts.ensure_ext_image_urls)
     a = F.col("attrs")
@@ -80,12 +84,17 @@ def rewrite_node_links(nodes: DataFrame, dims: Dims, opts: ConvertOptions) -> Da
     nodes = L.rewrite_urls(nodes, "__src", "__src2", dims, params, title_col="__title")
     srcset = F.when(F.col("__src").isNotNull() & (F.coalesce(a["srcset"], F.lit("")) != ""), a["srcset"])
     nodes = nodes.withColumn("__srcset", srcset)
-    nodes = L.rewrite_srcset(nodes, "__srcset", "__srcset2", dims, params, key_cols=["article_id", "pos"])
+    nodes = L.rewrite_srcset(nodes, "__srcset", "__srcset2", dims, params)
+    return nodes.drop("__href", "__src", "__srcset")
+
+
+def swap_links(nodes: DataFrame) -> DataFrame:
+    """The rewritten links take the place of the raw ones."""
+    a = F.col("attrs")
     new_attrs = F.transform_values(a, lambda k, v: F.when(k == "href", F.coalesce(F.col("__href2"), v))
                                    .when(k == "src", F.coalesce(F.col("__src2"), v))
                                    .when(k == "srcset", F.coalesce(F.col("__srcset2"), v)).otherwise(v))
-    return nodes.withColumn("attrs", F.when(is_open, new_attrs).otherwise(a)) \
-        .drop("__href", "__src", "__srcset", "__href2", "__src2", "__srcset2")
+    return nodes.withColumn("attrs", F.when(F.col("kind") == "open", new_attrs).otherwise(a)).drop("__href2", "__src2", "__srcset2")
 
 
 def clean_nodes(articles: DataFrame, dims: Dims, opts: ConvertOptions, header: bool = True) -> DataFrame:
@@ -93,7 +102,7 @@ def clean_nodes(articles: DataFrame, dims: Dims, opts: ConvertOptions, header: b
     if opts.html_encoding.lower() not in CHARSETS:
         raise ValueError(f"unsupported html encoding: {opts.html_encoding}")
     prep = prepare(articles)
-    nodes = N.tokenize(prep, "text", carry=["__title", "__ap", "__has_text", "__aliases"])
+    nodes = N.tokenize(prep, "text", carry=["__title", "__ap", "__has_text", "__aliases"], keep_tags=C.KEPT_TAGS)
     nodes = C.sanitise_rows(nodes)
     nodes = rewrite_node_links(nodes, dims, opts)
     doc = F.col("kind") == "doc"
@@ -106,6 +115,7 @@ def clean_nodes(articles: DataFrame, dims: Dims, opts: ConvertOptions, header: b
     nodes = nodes.drop("__geo_drop", "__geo_fmt", "__geo_lat", "__geo_lon")
     nodes = C.unwrap_rules(nodes)
     nodes = C.strip_background(nodes, opts.remove_embedded_bg)
+    nodes = swap_links(nodes)
     nodes = C.convert_maps(nodes)
     nodes = N.drop_subtrees(nodes, F.col("__map_drop")).drop("__map", "__map_drop")
     nodes = C.autonumber(nodes)
@@ -124,7 +134,7 @@ def convert_articles(articles: DataFrame, dims: Dims, opts: ConvertOptions | Non
                      header: bool = True) -> DataFrame:
     """DOC-17 + SCL-16 + PRJ-4: converted content and per-article status.
 
-    status: F = the article could not be tokenized (error kept separately from its text,
+    status: F = the article could not be tokenized or encoded (error kept separately from its text,
     decision Q8); E = no text or empty content; S = converted.
     """
     opts = opts or ConvertOptions()
@@ -139,10 +149,14 @@ def convert_articles(articles: DataFrame, dims: Dims, opts: ConvertOptions | Non
     ])
     html = U.wrap_rtl(F.col("html"), F.lit(dims.site.rtl))
     math = F.when(F.coalesce(F.col("has_math"), F.lit(False)) & F.lit(not opts.no_math), F.lit(MATH_SCRIPTS)).otherwise(F.lit(""))
-    content = F.encode(F.concat(F.lit(CSS_LINKS), math, html), opts.html_encoding)
+    charset = CHARSETS[opts.html_encoding.lower()]
+    whole = F.concat(F.lit(CSS_LINKS), math, html)
+    beyond = whole.rlike(BEYOND[charset]) if charset in BEYOND else F.lit(False)
+    error = F.coalesce(F.col("error"), F.when(beyond, F.lit(f"a character beyond {charset}")))
+    content = F.encode(F.when(error.isNull(), whole), charset)
     out = body.select(
-        "article_id", "title", "aliases", F.coalesce("has_math", F.lit(False)).alias("has_math"), "error",
-        F.when(F.col("error").isNotNull() | ~F.col("has_text"), F.lit(None)).otherwise(content).alias("content"),
+        "article_id", "title", "aliases", F.coalesce("has_math", F.lit(False)).alias("has_math"), error.alias("error"),
+        F.when(F.col("has_text"), content).alias("content"),
     )
     status = F.when(F.col("error").isNotNull(), F.lit("F")) \
         .when(F.col("content").isNull() | (F.octet_length("content") == 0), F.lit("E")).otherwise(F.lit("S"))

@@ -24,7 +24,7 @@ from ..sources import scrape as SC
 from ..sources import siteinfo as SI
 from . import dictionary as DI
 from . import fixtures as FX
-from .convert import ConvertOptions, convert_articles
+from .convert import CSS_LINKS, ConvertOptions, convert_articles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -183,7 +183,7 @@ def srcset_rewrite(spark, d):
     s = F.concat(F.lit("//upload.wikimedia.org/t/"), k, F.lit("/"), (F.col("p_size") * 10).cast("string"),
                  F.lit("px-a.jpg 1x, /wiki/File:"), F.replace(F.col("p_name"), F.lit(" "), F.lit("_")),
                  F.lit(".png 2x, asia:"), k, F.lit(" 3x"))
-    out = L.rewrite_srcset(p.select("p_partkey", s.alias("srcset")), "srcset", "new_srcset", dims, key_cols=["p_partkey"])
+    out = L.rewrite_srcset(p.select("p_partkey", s.alias("srcset")), "srcset", "new_srcset", dims)
     return out.select("p_partkey", "new_srcset")
 
 
@@ -471,10 +471,12 @@ def head_drop(spark, d):
     return _counts(n, ["head", "style", "a", "body"]).drop("n_comment")
 
 
-def _text_of(n: DataFrame) -> DataFrame:
+def _text_of(n: DataFrame, tags: list[str] = ()) -> DataFrame:
+    """The text of each article and how many elements of each tag it has, in one aggregation."""
+    of = [F.sum(F.when((F.col("kind") == "open") & (F.col("tag") == t), 1).otherwise(0)).cast("long").alias(f"n_{t}") for t in tags]
     return n.groupBy("article_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == "text", F.struct("pos", "text")))),
-                                 lambda x: x["text"]), "").alias("text"))
+                                 lambda x: x["text"]), "").alias("text"), *of)
 
 
 RULE_SQL = """
@@ -493,8 +495,7 @@ def rule_drop(spark, d):
     """DOC-3 + UDF-1 + WIN-3 + JOIN-10: selector rules (classes, :not, ^=, :empty, >,
     descendant) drop elements with their subtree, in rule order."""
     n = C.apply_rules(nodes_of(FX.v_rules_html(spark, d)), FX.RULES)
-    counts = _counts(n, ["div", "img", "a", "p", "li"]).drop("n_comment")
-    return _text_of(n).join(counts, "article_id")
+    return _text_of(n, ["div", "img", "a", "p", "li"])
 
 
 def _rules_html_sql() -> str:
@@ -523,7 +524,7 @@ FROM customer
 def unwrap(spark, d):
     """DOC-5: red links and IPA links lose their tag, keep their text."""
     n = C.unwrap_rules(nodes_of(FX.v_new_html(spark, d)))
-    return _text_of(n).join(_counts(n, ["a"]).drop("n_comment"), "article_id")
+    return _text_of(n, ["a"])
 
 
 def _attr_string(n: DataFrame) -> DataFrame:
@@ -562,16 +563,40 @@ FROM u
 """)
 def href_src_rewrite(spark, d):
     """DOC-7 + DOC-8: href, src and srcset of every element rewritten on the node table."""
-    from .convert import rewrite_node_links
+    from .convert import rewrite_node_links, swap_links
     dims = FX.query_dims(spark, d)
     arts = FX.v_links_html(spark, d)
     n = N.tokenize(arts.select(F.col("article_id").cast("long").alias("article_id"), "text", F.col("title").alias("__title"),
                                F.lit(None).cast("string").alias("__ap")), "text", carry=["__title", "__ap"])
-    n = rewrite_node_links(n, dims, ConvertOptions())
-    a = n.where((F.col("kind") == "open") & (F.col("tag") == "a")).select("article_id", F.col("attrs")["href"].alias("href"))
-    i = n.where((F.col("kind") == "open") & (F.col("tag") == "img")).select(
-        "article_id", F.col("attrs")["src"].alias("src"), F.col("attrs")["srcset"].alias("srcset"))
-    return a.join(i, "article_id")
+    n = swap_links(rewrite_node_links(n, dims, ConvertOptions()))
+    of = lambda tag, name: F.max(F.when((F.col("kind") == "open") & (F.col("tag") == tag), F.col("attrs")[name])).alias(name)
+    return n.groupBy("article_id").agg(of("a", "href"), of("img", "src"), of("img", "srcset"))
+
+
+CONTENT_SQL = {k: "'" + v.replace("'", "''") + "'" for k, v in {
+    "head": CSS_LINKS + '<div><body><p>red gone keep</p><div class="geo-box"><span>b</span></div><a href="geo:',
+    "icon": '"><img class="a2-geo-link-icon" src="~%2Fimages%2FGlobe.svg"></a>', "note": '<a href="#cite_note-', "tail": '">n</a><ul class="menu"></ul></body></div>',
+}.items()}
+
+
+@query("convert_content", f"""
+WITH c AS (SELECT c_custkey AS k, CAST(c_custkey AS VARCHAR) AS s FROM customer)
+SELECT k AS article_id, 'S' AS status, md5({CONTENT_SQL['head']} || s || ',2' || {CONTENT_SQL['icon']} || {CONTENT_SQL['note']} || s || {CONTENT_SQL['tail']}) AS content_md5 FROM c
+""")
+def convert_content(spark, d):
+    """DOC-17 + SCL-16 by content: rules see raw links and the tree without scripts, unwrapped tags hand their children
+    over, links are rewritten, geo links stand behind their container."""
+    s = F.col("c_custkey").cast("string")
+    html = F.concat(
+        F.lit('<html><head><title>x</title></head><body><p>red <a class="new" href="./X">gone</a> keep</p><p><script>x</script></p>'
+              '<div class="geo-box"><span>b</span><span class="geo-nondefault"><b><i><u><s><tt><em><span class="geo">'), s,
+        F.lit(';2</span></em></tt></s></u></i></b></span></div><a href="./C'), s, F.lit("#cite_note-"), s,
+        F.lit('">n</a><a href="#cite_ref">gone too</a><ul class="menu"><foo><li>dropped</li></foo></ul></body></html>'))
+    arts = spark.read.parquet(f"{d}/customer.parquet").select(
+        F.col("c_custkey").alias("article_id"), F.concat(F.lit("C"), s).alias("title"), html.alias("text"), F.lit("./").alias("articlepath"))
+    options = ConvertOptions(rules=["p:empty", 'a[href^="#cite"]', "ul.menu > li"])
+    out = convert_articles(arts, FX.query_dims(spark, d), options, header=False)
+    return out.select("article_id", "status", F.md5("content").alias("content_md5"))
 
 
 LINE_RANK_SQL = """

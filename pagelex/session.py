@@ -1,17 +1,10 @@
-"""Session helpers: builder defaults, checkpoint folder, size-checked broadcast."""
+"""Session helpers: builder defaults and the checkpoint folder."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Largest dimension (rows) we hint as broadcast.  Site dims (namespaces, interwiki,
-# rules, macros) are configuration sized; beyond this bound we let Spark plan a
-# shuffle join instead.
-BROADCAST_MAX_ROWS = 200_000
-
+from pyspark.sql import SparkSession
 
 def get_spark(master: str | None = None, app: str = "pagelex", partitions: int = 8) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -42,13 +35,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="pagelex-checkpoints-"))
     return sc.getCheckpointDir()
-
-
-def small_dim(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint ``broadcast`` for a dimension after checking its row count.
-
-    The count runs on the (small, configuration-sized) dim itself; a dim above the
-    bound is returned unhinted so Spark picks a shuffle join.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df

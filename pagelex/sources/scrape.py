@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.urls import strip_ws
-from ..session import small_dim
 from .dump import ALIAS_T
 
 ROW_SCHEMA = T.StructType([
@@ -89,11 +88,12 @@ def keys_from_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
 def by_key_list(articles: DataFrame, keys: DataFrame) -> DataFrame:
     """JOIN-3 + JOIN-4 + SET-2: requested documents, plus a NULL-text row per missing key.
 
-    The key list is joined with a size-checked broadcast; a large list shuffles instead.
+    Missing keys are those that no found title answers, so that the titles of all documents aren't shuffled for
+    them; Spark broadcasts a small key list by itself.
     """
-    k = small_dim(keys.select(F.col("key").alias("title")))
+    k = keys.select(F.col("key").alias("title"))
     found = articles.join(k, "title", "left_semi")
-    missing = k.join(articles.select("title"), "title", "left_anti").select(
+    missing = k.join(found.select("title"), "title", "left_anti").select(
         "title", F.lit(None).cast("string").alias("text"), F.array().cast(ALIAS_T).alias("aliases"))
     cols = ["title", "text", "aliases"]
     return found.select(*cols, F.lit(True).alias("found")).unionByName(missing.select(*cols, F.lit(False).alias("found")))

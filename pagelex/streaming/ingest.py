@@ -22,10 +22,12 @@ def start(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, dims:
           opts: ConvertOptions | None = None, trigger_once: bool = True):
     opts = opts or ConvertOptions()
     lines = spark.readStream.format("text").load(in_dir).select(
-        F.col("_metadata.file_path").alias("path"), "value")
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        decoded = decode_dump_lines(df.withColumn("article_id", F.xxhash64("path", "value")))
+        # equal lines of a file are articles of their own: the id comes from the place, not from the text
+        place = df.withColumn("article_id", F.xxhash64("path", "block", F.monotonically_increasing_id()))
+        decoded = decode_dump_lines(place.drop("block"))
         quarantine(decoded).write.mode("overwrite").parquet(f"{out_dir}/quarantine/batch={batch_id}")
         conv = convert_articles(dump_articles(good_lines(decoded)), dims, opts)
         conv.persist()

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pagelex.operators import clean as C
 from pagelex.operators import nodes as N
+from pagelex.operators import selectors as S
 from pagelex.plans.convert import ConvertOptions, convert_articles
 from tests.helpers import make_dims
 
@@ -110,3 +111,73 @@ def test_nested_hits_drop_once(spark):
     df = spark.createDataFrame([(1, '<div class="x">a<div class="x">b</div>c</div>d')], "article_id long, text string")
     n = C.apply_rules(N.tokenize(df), [".x"])
     assert N.serialise(n, wrap_tag=None).first().html == "d"
+
+
+def converted_body(spark, text, **options):
+    arts = spark.createDataFrame([(1, "Ab", text, "./")], "article_id long, title string, text string, articlepath string")
+    return convert_articles(arts, make_dims(spark), ConvertOptions(**options), header=False).first()
+
+
+def body(spark, text, **options):
+    return html(converted_body(spark, text, **options)).rpartition('title="Night">')[2]
+
+
+def test_rules_see_raw_links_and_no_scripts(spark):
+    got = body(spark, '<a href="./Ab#cite_1">n</a><a href="#cite_2">x</a><p><script>s</script></p>', rules=["p:empty", 'a[href^="#cite"]'])
+    assert got == '<div><a href="#cite_1">n</a></div>'
+
+
+def test_unwrapped_elements_hand_over_their_children(spark):
+    assert body(spark, '<ul class="menu"><foo><li>x</li></foo>y</ul>', rules=["ul.menu > li"]) == '<div><ul class="menu">y</ul></div>'
+
+
+def test_deep_child_steps_are_refused():
+    from pagelex.operators.selectors import SelectorError
+
+    with pytest.raises(SelectorError):
+        S.parse_rules(["div.a > b > i"])
+
+
+def geo(href):
+    return f'<a href="geo:{href}"><img class="a2-geo-link-icon" src="~%2Fimages%2FGlobe.svg"></a>'
+
+
+def test_geo_links_of_any_number_and_depth(spark):
+    many = "".join(f'<span class="geo">{i};{i}</span>' for i in range(12))
+    got = body(spark, f'<div><p><b class="geo-nondefault">{many}</b></p></div>')
+    assert got == "<div><div><p></p>" + "".join(geo(f"{i},{i}") for i in reversed(range(12))) + "</div></div>"
+    two = body(spark, '<p><b class="geo-nondefault"><i class="geo">1;2</i></b><b class="geo-nondefault"><i class="geo">3;4</i></b></p>')
+    assert two == "<div><p></p>" + geo("3,4") + geo("1,2") + "</div>"
+    deep = body(spark, '<span class="geo">' + "<b>" * 30 + '<i class="latitude">5</i>' + "</b>" * 30 + '<i class="longitude">6</i></span>t')
+    assert deep == "<div>" + geo("5,6") + "t</div>"
+
+
+@pytest.mark.parametrize("style,expected", [
+    ("color:red;\nbackground:blue", "color: red"),
+    ("background:url(data:image/png;base64,AAA);color:red", "color: red"),
+    ('content:";background:x";Background-Color : red ; margin:1px', 'content: &quot;;background:x&quot;;\nmargin: 1px'),
+])
+def test_background(spark, style, expected):
+    text = f"<table class='infobox'><td style='{style}'>x</td></table>"
+    assert f'<td style="{expected}">' in body(spark, text, remove_embedded_bg="table.infobox td")
+
+
+def test_charsets(spark):
+    lost = converted_body(spark, "<p>日</p>", html_encoding="latin1")
+    assert (lost.status, lost.content) == ("F", None)
+    assert bytes(converted_body(spark, "<p>é</p>", html_encoding="latin1").content).endswith("<p>é</p></div>".encode("latin-1"))
+    with pytest.raises(ValueError):
+        converted_body(spark, "x", html_encoding="klingon")
+
+
+def test_empty_heading_spans_stay_without_generated_contents(spark):
+    assert '<span id="old"></span>' in body(spark, '<h2 id="a"><span id="old"></span>A</h2>')
+
+
+def test_line_addresses():
+    from pagelex.sources.dump import line_address
+
+    assert [line_address(x) for x in ("7", "2:30")] == [(1, 7), (2, 30)]
+    for bad in ("", "a", "1:", "1:2:3", "-1"):
+        with pytest.raises(ValueError):
+            line_address(bad)
