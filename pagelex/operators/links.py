@@ -192,15 +192,21 @@ def rewrite_srcset(df: DataFrame, srcset_col: str, out_col: str, dims: Dims, par
         dims._maps = _literal_maps(dims)
     ns_map, iw_map = dims._maps
 
-    def one(cand: Column) -> Column:
-        c = U.strip_ws(cand)
+    def bound(value: Column, use) -> Column:  # each value once, so that the expression stays small
+        return F.get(F.transform(F.array(value), use), 0)
+
+    def rewritten(x: Column) -> Column:
+        ns_key, iw_key = _probe_keys(x["parts"], p)
+        hits = F.struct(F.when(ns_key.isNotNull(), F.map_contains_key(ns_map, F.coalesce(ns_key, F.lit("")))).alias("ns"),
+                        F.when(iw_key.isNotNull(), F.element_at(iw_map, F.coalesce(iw_key, F.lit("")))).alias("iw"))
+        return bound(hits, lambda h: F.concat(_decide(x["url"], x["parts"], None, h["ns"], h["iw"], p)[0], x["tail"]))
+
+    def split(c: Column) -> Column:
         url = F.substring_index(c, " ", 1)
-        parts = U.split_url(url)
-        ns_key, iw_key = _probe_keys(parts, p)
-        ns_hit = F.when(ns_key.isNotNull(), F.map_contains_key(ns_map, F.coalesce(ns_key, F.lit(""))))
-        iw = F.when(iw_key.isNotNull(), F.element_at(iw_map, F.coalesce(iw_key, F.lit(""))))
-        new, _ = _decide(url, parts, None, ns_hit, iw, p)
-        return F.concat(new, c.substr(F.length(url) + 1, F.length(c)))
+        return bound(F.struct(url.alias("url"), c.substr(F.length(url) + 1, F.length(c)).alias("tail"), U.split_url(url).alias("parts")), rewritten)
+
+    def one(cand: Column) -> Column:
+        return bound(U.strip_ws(cand), split)
 
     src = F.col(srcset_col)
     return df.withColumn(out_col, F.when(src.isNotNull(), F.array_join(F.transform(F.split(src, ", "), one), ", ")))
