@@ -8,8 +8,9 @@ A document's set holds the hashes of its distinct 5-word shingles (A-Z in lower
    with the group's most common-place set, its centre. Sets linked so far form one group (others are alone).
 2. Matrix. Rows (token, group) hold the union of the prefixes of a group's sets: tokens in order of
    rarity, of which similar sets share one at least. Only tokens that two groups hold matter.
-3. Bound. A query set meets the groups that share such a token and have a set of a fitting size. Its overlap
-   with the group's whole token union bounds its overlap with each member; groups under 75 % of the query's size stay shut.
+3. Bound. A query set meets the groups that share such a token, at positions and with sizes that leave room for
+   75 %. Each group of sets of like size has a bitmap of its whole token union; the query's bits in it, plus its tokens
+   that fall on one bit together, are at least its overlap with any member. Groups under 75 % of the query stay shut.
 4. The others are opened: the query is verified against each member of a fitting size.
 
 A group of thousands of near copies is one group after step 1, so it costs as many comparisons as it has
@@ -56,7 +57,7 @@ def _documents(docs: DataFrame, held) -> DataFrame:
                 if len(some):
                     low[some] = np.minimum.reduceat(tokens.mix(tok ^ np.uint64(seed)), first[some]).view(np.int64)
                 least.append(pa.array(low, mask=n == 0))
-            common = sets.segment_sums((tok >> np.uint64(48)).astype(np.float64), first) / np.maximum(n, 1)
+            common = sets.segment_sums((tok >> np.uint64(sets.LOW_BITS)).astype(np.float64), first) / np.maximum(n, 1)
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), pa.array(key, mask=n == 0), pa.array(n, pa.int32()), *least, pa.array(common),
                 sets.lists(tok, first, sets.prefix_sizes(n, PERCENT), fresh),
@@ -95,28 +96,35 @@ def linked(docs: DataFrame) -> DataFrame:
 
     # the matrix of tokens and groups
     query = rows.where("prefix is not null").select("key", "n", "prefix").join(group.withColumnRenamed("node", "key"), "key", "left")
-    query = query.select("key", "n", F.coalesce("component", "key").alias("g"), F.explode_outer("prefix").alias("tok"))
+    query = query.select("key", "n", F.coalesce("component", "key").alias("g"), F.posexplode_outer("prefix").alias("pos", "tok"))
     token = Window.partitionBy("tok")
     query = written(
-        query.withColumns({"least": F.min("g").over(token), "most": F.max("g").over(token)}).where("least < most").select("tok", "key", "n", "g").distinct(),
+        query.withColumns({"least": F.min("g").over(token), "most": F.max("g").over(token)}).where("least < most").groupBy("tok", "key").agg(
+            F.first("n").alias("n"), F.first("g").alias("g"), F.first("pos").alias("pos")
+        ),
         "matrix",
     )
-    matrix = query.groupBy("tok", F.col("g").alias("h")).agg(F.min("n").alias("smallest"), F.max("n").alias("largest"))
-    met = query.join(matrix, "tok").where(
-        f"g <> h and 100 * n >= {PERCENT} * smallest and 100 * largest >= {PERCENT} * n"
-    ).groupBy("key", "h").agg(F.first("n").alias("n"))
-    met = written(met, "met")
+    matrix = query.groupBy("tok", F.col("g").alias("h")).agg(F.min("n").alias("smallest"), F.max("n").alias("largest"), F.min("pos").alias("at"))
+    met = query.join(matrix, "tok").where(f"""g < h and 100 * n >= {PERCENT} * smallest and 100 * largest >= {PERCENT} * n
+        and {100 + PERCENT} * least(n - pos, largest - at) >= {PERCENT} * (n + smallest)""")
+    met = written(met.groupBy("key", "h").agg(F.first("n").alias("n")), "met")
 
     # bound a query's overlap with the union of a group, then open the group
     member = classes.select("key", F.col("n").alias("nb")).join(group.withColumnRenamed("node", "key"), "key", "left")
-    member = member.select(F.coalesce("component", "key").alias("h"), F.col("key").alias("b"), "nb").join(met.select("h").distinct(), "h", "left_semi")
-    member = written(member, "members")
-    some = written(sets.sets_of(docs, met.select("key").union(member.select("b")), "key", doc_sets), "sets")
-    union = member.join(some, member.b == some.key).select("h", F.explode_outer("tokens").alias("tok")).distinct()
-    bound = met.join(some.select("key", "tokens"), "key").select("key", "h", "n", F.explode_outer("tokens").alias("tok"))
-    opened = bound.join(union, ["h", "tok"]).groupBy("key", "h").agg(F.first("n").alias("n"), F.count("*").alias("overlap")).where(f"100 * overlap >= {PERCENT} * n")
-    pairs = opened.join(member, "h").where(_fits("n", "nb")).select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct()
-    found = sets.verified(pairs, some, PERCENT)
+    member = written(
+        member.select(F.coalesce("component", "key").alias("h"), F.col("key").alias("b"), "nb").join(met.select("h").distinct(), "h", "left_semi"), "members"
+    )
+    bits = written(sets.sets_of(docs, met.select("key").union(member.select("b")), "key", doc_sets, as_bits=True), "bits")
+    word = member.join(bits, member.b == bits.key).select("h", "nb", F.size("bits").alias("size"), F.posexplode_outer("bits").alias("at", "word"))
+    word = word.groupBy("h", "size", "at").agg(F.bit_or("word").alias("word"), F.min("nb").alias("smallest"), F.max("nb").alias("largest"))
+    union = word.groupBy("h", "size").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]).alias("union"), F.min("smallest").alias("smallest"), F.max("largest").alias("largest")
+    )
+    opened = met.join(union, "h").where(f"100 * n >= {PERCENT} * smallest and 100 * largest >= {PERCENT} * n").join(bits.select("key", "bits"), "key")
+    opened = opened.where((F.size("bits") <= 2 * F.size("union")) & (F.size("union") <= 2 * F.size("bits")))  # sizes apart by more never fit
+    opened = opened.where(100 * sets.most_shared(F.col("bits"), F.col("n"), F.col("union")) >= PERCENT * F.col("n")).select("key", "n", "h").distinct()
+    pairs = written(opened.join(member, "h").where(_fits("n", "nb")).select(F.col("key").alias("a"), "b"), "pairs")
+    found = sets.verified(pairs, _sets(docs, pairs, doc_sets), PERCENT)
 
     whole = sets.components(written(near.union(found), "links"))
     of_class = classes.select("key", "doc_id").join(whole.withColumnRenamed("node", "key"), "key", "left").select("key", "doc_id", F.coalesce("component", "key").alias("component"))
@@ -131,9 +139,11 @@ def _sets(docs: DataFrame, pairs: DataFrame, doc_sets) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows, of all their columns, whose doc_id is the smallest of its component; rows of null id are kept."""
+    """The rows, of all their columns, whose doc_id is the smallest of its component, repeated rows of an id and
+    text once; rows of null id are kept."""
     keep = linked(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+    kept = docs.join(keep, "doc_id", "left_semi").withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"])
+    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

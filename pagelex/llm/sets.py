@@ -1,7 +1,7 @@
 """Sets of 64-bit tokens for the exact set-similarity joins: rarity order, prefixes, verification, components.
 
-A token is relabelled so that its number's order is its rarity order: the top 15 bits are the rank
-of its bucket by the corpus count (a table of 2**15 numbers whatever the input), the low 48 bits
+A token is relabelled so that its number's order is its rarity order: the top 18 bits are the rank
+of its bucket by the corpus count (a table of 2**18 numbers whatever the input), the low 45 bits
 keep the hash. Any one order gives the same results; rarity makes prefixes selective. A set's key is a 64-bit hash
 of its tokens: copies share it, and different sets do with a chance of about 2**-64 a pair.
 """
@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagelex.llm import tokens
-from pagelex.llm.common import written
+from pagelex.llm.common import let, written
 
-BUCKETS = 1 << 15
-LOW = np.uint64((1 << 48) - 1)
+BUCKETS = 1 << 18
+LOW_BITS = 45
+LOW = np.uint64((1 << LOW_BITS) - 1)
 BLOOM_BITS = 1 << 23
 
 
@@ -28,22 +29,22 @@ def rarity(docs: DataFrame, hashes) -> np.ndarray:
     def run(batches):
         total = np.zeros(BUCKETS, np.int64)
         for _, data, offsets in tokens.blocks(batches):
-            total += np.bincount((hashes(data, offsets) >> np.uint64(49)).astype(np.int64), minlength=BUCKETS)
+            total += np.bincount((hashes(data, offsets) >> np.uint64(LOW_BITS + 1)).astype(np.int64), minlength=BUCKETS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["bucket", "n"])
 
     counts = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros(BUCKETS, np.int64)
     total[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
-    rank = np.empty(BUCKETS, np.uint64)
-    rank[np.lexsort((np.arange(BUCKETS), total))] = np.arange(BUCKETS, dtype=np.uint64)
+    rank = np.empty(BUCKETS, np.uint32)
+    rank[np.lexsort((np.arange(BUCKETS), total))] = np.arange(BUCKETS, dtype=np.uint32)
     return rank
 
 
 def distinct_sorted(h: np.ndarray, first: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct relabelled tokens of each set, rarest first, and each set's first one."""
     x = h >> np.uint64(1)
-    tok = (rank[(x >> np.uint64(48)).astype(np.int64)] << np.uint64(48)) | (x & LOW)
+    tok = (rank[(x >> np.uint64(LOW_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(LOW_BITS)) | (x & LOW)
     owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
     order = np.argsort(tok)
     order = order[np.argsort(owner[order].astype(np.uint16 if len(first) < 65_000 else np.int64), kind="stable")]
@@ -93,10 +94,24 @@ def passes(filter_: np.ndarray, key: np.ndarray) -> np.ndarray:
     return (filter_[bit >> 5] >> (bit & 31).astype(np.uint64)) & np.uint64(1) == 1
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, column: str, sets) -> DataFrame:
-    """key, n, tokens of the sets whose keys are in ``ids``, made again from the texts; ``sets(data, offsets)``
-    gives a block's (tokens, first). Each task sends a set once."""
+def bitmaps(tok: np.ndarray, first: np.ndarray, pick: np.ndarray) -> pa.Array:
+    """Each picked set as a bitmap of 4 to 8 bits a token (a power of two, 64 at least), bit ``token % bits``."""
+    out = []
+    for i in pick.tolist():
+        t = tok[first[i] : first[i + 1]]
+        words = np.zeros(max(1, 1 << int(4 * len(t) - 1).bit_length() >> 6), np.uint64)
+        at = t & np.uint64(64 * len(words) - 1)
+        np.bitwise_or.at(words, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+        out.append(words.view(np.int64))
+    cut = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(out)))
+
+
+def sets_of(docs: DataFrame, ids: DataFrame, column: str, sets, as_bits: bool = False) -> DataFrame:
+    """key, n, tokens (or bits) of the sets whose keys are in ``ids``, made again from the texts; ``sets(data,
+    offsets)`` gives a block's (tokens, first). Each task sends a set once."""
     held = docs.sparkSession.sparkContext.broadcast(bloom(ids, column))
+    name = "bits" if as_bits else "tokens"
 
     def run(batches):
         seen = set()
@@ -106,12 +121,26 @@ def sets_of(docs: DataFrame, ids: DataFrame, column: str, sets) -> DataFrame:
             pick = np.flatnonzero(passes(held.value, key) & (n > 0))
             pick = np.array([i for i in pick if key[i] not in seen and not seen.add(key[i])], np.int64)
             if len(pick):
-                full = lists(tok, first, np.where(np.isin(np.arange(len(n)), pick), n, 0)).take(pa.array(pick))
-                yield pa.RecordBatch.from_arrays([pa.array(key[pick]), pa.array(n[pick], pa.int32()), full], ["key", "n", "tokens"])
+                full = bitmaps(tok, first, pick) if as_bits else lists(tok, first, np.where(np.isin(np.arange(len(n)), pick), n, 0)).take(pa.array(pick))
+                yield pa.RecordBatch.from_arrays([pa.array(key[pick]), pa.array(n[pick], pa.int32()), full], ["key", "n", name])
 
-    made = docs.select("text").mapInArrow(run, "key long, n int, tokens array<long>")
+    made = docs.select("text").mapInArrow(run, f"key long, n int, {name} array<long>")
     wanted = ids.select(F.col(column).alias("key")).distinct()
-    return made.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    return made.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("n").alias("n"), F.first(name).alias(name))
+
+
+def most_shared(bits: Column, n: Column, other: Column) -> Column:
+    """An upper bound of the tokens that a set of n tokens shares with another set or union, of both bitmaps: the bits
+    in both, plus the set's tokens that fall on a bit together. A bitmap of twice the length is halved first."""
+
+    def halved(a: Column, b: Column) -> Column:
+        return F.when(F.size(a) > F.size(b), F.zip_with(F.slice(a, F.lit(1), F.size(b)), F.slice(a, F.size(b) + 1, F.size(b)), lambda x, y: x.bitwiseOR(y))).otherwise(a)
+
+    def counted(a: Column) -> Column:
+        ones = lambda x: F.aggregate(x, F.lit(0), lambda s, w: s + F.bit_count(w))
+        return ones(F.zip_with(a, halved(other, bits), lambda x, y: x.bitwiseAND(y))) + n - ones(a)
+
+    return let(halved(bits, other), counted)
 
 
 def similar(a: Column, b: Column, percent: int) -> Column:
