@@ -1,12 +1,14 @@
 """Operator 4, line dedup: an exact set-similarity join of the corpus's lines.
 
-A line's tokens are its pairs of adjacent words (A-Z in lower case, words as ``[^\\x20\\x09-\\x0D]+``). Two
+A line's tokens are its distinct 5-word shingles (A-Z in lower case, words as ``[^\\x20\\x09-\\x0D]+``). Two
 lines match when ``100 * common >= 75 * together``; a line goes when a line at an earlier position
 (doc_id, line number) matches it. Lines of fewer than ``MIN_WORDS`` words say too little and always stay.
 
 Copies of a line are one class, so that a line which a third of all documents share is one member of the
 join. Classes meet through their prefixes: tokens in order of rarity, of which similar sets share one
 at least; the length and positional filters follow in the join's condition; what is left is verified on the full sets.
+First each class is compared with the earliest of each token it shares, which settles most members of a group of
+near copies in one comparison each; only classes that this leaves standing are joined with all that share a token.
 
 Defined results: a null text has no lines and stays null; empty texts and lines stay as they are; a null doc_id
 comes after all others; lines at the same position (repeated rows) don't remove each other; of ties the
@@ -17,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelex.llm import sets, tokens
@@ -25,7 +27,7 @@ from pagelex.llm.common import written
 
 PERCENT = 75
 MIN_WORDS = 5
-WORDS = 2
+WORDS = 5
 LAST = (1 << 63) - 1
 
 
@@ -46,8 +48,8 @@ def _lines(data: np.ndarray, offsets: np.ndarray):
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no (from 0) of the lines that go, and the position of the earliest line that each matches:
-    first_doc_id, first_line_no."""
+    """doc_id, line_no (from 0) of the lines that go, and the position of an earlier line that each
+    matches: first_doc_id, first_line_no."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text")
     rank = sets.rarity(docs, lambda data, offsets: _lines(data, offsets)[0])
     held = docs.sparkSession.sparkContext.broadcast(rank)
@@ -69,23 +71,47 @@ def repeated(docs: DataFrame) -> DataFrame:
 
     lines = written(docs.mapInArrow(run, "key long, doc_id long, line_no int, n int, prefix array<long>"), "lines")
     classes = lines.groupBy("key").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
-    posting = lines.where("prefix is not null").select("key", "n", F.posexplode_outer("prefix").alias("pos", "tok"))
-    a = posting.select("tok", F.col("key").alias("a"), F.col("n").alias("na"), F.col("pos").alias("ia"))
-    b = posting.select("tok", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("ib"))
-    pairs = written(
-        a.join(b, "tok").where(F.expr(f"""a < b and 100 * least(na, nb) >= {PERCENT} * greatest(na, nb)
-            and {100 + PERCENT} * least(na - ia, nb - ib) >= {PERCENT} * (na + nb)""")).select("a", "b").distinct(),
-        "pairs",
+    # a posting's place: document order in 15 bits (a hint which line comes first), the set's size and the token's position
+    low, high = docs.where(F.col("doc_id") != LAST).agg(F.min("doc_id"), F.max("doc_id")).first()
+    order = F.when(F.col("doc_id") == LAST, 32767).otherwise((F.col("doc_id") - F.lit(low or 0)) / (float((high or 0) - (low or 0)) + 1) * 32767).cast("long")
+    place = order * (1 << 48) + F.col("n").cast("long") * (1 << 24) + F.col("pos")
+    posting = lines.where("prefix is not null").select("key", "n", "doc_id", F.posexplode_outer("prefix").alias("pos", "tok")).select("tok", "key", place.alias("place"))
+    token = Window.partitionBy("tok")
+    shared = written(
+        posting.withColumns({"least": F.min("key").over(token), "most": F.max("key").over(token), "head": F.min(F.struct("place", "key")).over(token)})
+        .where("least < most").select("tok", "key", "place", "head"),
+        "shared",
     )
-    both = pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
-    links = sets.verified(pairs, sets.sets_of(docs, both, "key", line_sets), PERCENT)
-    links = links.union(links.select("b", "a"))
-    near = links.join(classes.select(F.col("key").alias("b"), F.col("first").alias("other")), "b").groupBy(F.col("a").alias("key")).agg(F.min("other").alias("other"))
+    found = written(sets.sets_of(docs, shared.select("key"), "key", line_sets).select("key", "tokens"), "sets")
+    size = lambda c: F.shiftright(c, 24).bitwiseAND((1 << 24) - 1)
+    left = lambda c: size(c) - F.col(c).bitwiseAND((1 << 24) - 1)  # noqa: E731  tokens from the shared one on
+    fits = (100 * F.least(size("pa"), size("pb")) >= PERCENT * F.greatest(size("pa"), size("pb"))) & (
+        (100 + PERCENT) * F.least(left("pa"), left("pb")) >= PERCENT * (size("pa") + size("pb"))
+    )
+    stars = shared.select(F.col("key").alias("a"), F.col("place").alias("pa"), F.col("head.key").alias("b"), F.col("head.place").alias("pb")).where(fits & (F.col("a") != F.col("b")))
+    links = _links(stars, classes, found)
+    a = shared.select("tok", F.col("key").alias("a"), F.col("place").alias("pa")).join(links.select("a").distinct(), "a", "left_anti")
+    b = shared.select("tok", F.col("key").alias("b"), F.col("place").alias("pb"))
+    pairs = a.join(b, "tok").where(fits & (F.col("a") != F.col("b")))
+    links = links.union(_links(pairs, classes, found))
+    near = links.groupBy(F.col("a").alias("key")).agg(F.min("first").alias("other"))
     best = classes.join(near, "key", "left").select("key", F.least("first", "other").alias("first"))
     gone = lines.select("key", "doc_id", "line_no").join(best, "key").where(F.struct("doc_id", "line_no") > F.col("first"))
     return gone.select(F.nullif("doc_id", F.lit(LAST)).alias("doc_id"), "line_no", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"))
 
 
+def _links(pairs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """a, b, first: the similar pairs of classes of which b comes first, and where."""
+    pairs = written(pairs.select("a", "b").distinct(), "pairs")
+    links = sets.verified(pairs, found, PERCENT)
+    at = lambda c, first: classes.select(F.col("key").alias(c), F.col("first").alias(first))
+    links = links.join(at("a", "own"), "a").join(at("b", "other"), "b")
+    ordered = F.when(F.col("own") > F.col("other"), F.struct("a", "b", F.col("other").alias("first"))).otherwise(
+        F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("own").alias("first"))
+    )
+    return written(links.where("own <> other").select(ordered.alias("x")).select("x.*").distinct(), "links")
+
+
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """The documents, of all their columns, without the lines that an earlier line matches."""
     gone = repeated(docs).groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
@@ -112,7 +138,7 @@ ORACLE = r"""
 WITH line AS (
   SELECT doc_id, i - 1 AS line_no, list_filter(regexp_split_to_array(translate(lines[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
   FROM (SELECT doc_id, string_split(text, chr(10)) AS lines, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
-s AS (SELECT doc_id, line_no, list_sort(list_distinct([w[j] || ' ' || w[j + 1] FOR j IN range(1, len(w))])) AS t FROM line WHERE len(w) >= 5),
+s AS (SELECT doc_id, line_no, list_sort(list_distinct([array_to_string(w[j:j + 4], ' ') FOR j IN range(1, len(w) - 3)])) AS t FROM line WHERE len(w) >= 5),
 class AS (SELECT t, len(t) AS n, row_number() OVER () AS k, min((doc_id, line_no)) AS first FROM s GROUP BY t),
 tok AS (SELECT k, n, unnest(t) AS x FROM class),
 df AS (SELECT x, count(*) AS f FROM tok GROUP BY x),
