@@ -60,7 +60,10 @@ def _feature_rows(batches):
 
 def _sampled(df: DataFrame) -> list[np.ndarray]:
     rows = df.mapInArrow(_feature_rows, "doc_id long, label int, f array<int>").toArrow().sort_by([("doc_id", "ascending")])
-    return [np.asarray(x, np.int64) for x in rows.column("f").to_pylist()]
+    if not len(rows):
+        return []
+    f = rows.column("f").combine_chunks()
+    return np.split(f.flatten().to_numpy(), f.offsets.to_numpy()[1:-1] - f.offsets[0].as_py())
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", prior: float | None = None, most: int = 6_000,
