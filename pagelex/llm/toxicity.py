@@ -66,8 +66,8 @@ def _sampled(df: DataFrame) -> list[np.ndarray]:
     return np.split(f.flatten().to_numpy(), f.offsets.to_numpy()[1:-1] - f.offsets[0].as_py())
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", prior: float | None = None, most: int = 6_000,
-        most_unlabelled: int = 18_000, n_features: int = 128, steps: int = 300) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", prior: float | None = None, most: int = 4_000,
+        most_unlabelled: int = 8_000, n_features: int = 128, steps: int = 300) -> Model:
     """Learn from the training fold. ``prior``: the share of toxic documents; by default that of 1 among all
     labels of the training fold (0.1 where they are all 1)."""
     ids = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(
