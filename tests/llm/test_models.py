@@ -1,5 +1,8 @@
 """Operators 7, 9 and 10: held-out accuracy on the given tables, and defined results."""
 
+import zlib
+
+import numpy as np
 import pytest
 from pagelex.llm import language, quality, toxicity
 from pagelex.llm.common import table
@@ -55,3 +58,34 @@ def test_language_of_nothing(spark, docs, none):
     assert found[105] == found[106] == found[107] == ("und", 0.0) and found[112][0] == "en"
     assert {r.lang_pred for r in language.predict(docs, language.fit(none)).collect()} == {"und"}
     assert language.predict(none, language.fit(docs)).count() == 0
+
+
+def test_toxicity_learns_from_every_unlabelled_row(spark):
+    """The weights are those of a plain loop over all rows, also where they are more than any sample was."""
+    n = 20_000
+    words = ["vile", "foul", "calm", "mild"]
+    text = lambda i: " ".join(["vile" if i % 40 == 0 else "calm", *(["foul"] if i % 31 == 0 or i % 80 == 0 else []), *(["mild"] if i % 3 else [])])
+    docs = spark.createDataFrame([(i, text(i)) for i in range(n)], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int(i % 40 == 0)) for i in range(0, 4000, 8)], "doc_id long, toxic int")
+    fold = [zlib.crc32(str(i).encode()) % 3 != 1 for i in range(n)]
+    p = [i for i in range(0, 4000, 40) if fold[i]]
+    u = [i for i in range(n) if fold[i]]
+    prior = len(p) / sum(fold[i] for i in range(0, 4000, 8))
+    x = np.array([[w in text(i).split() for w in words] for i in range(n)], float)
+    used = [j for j in range(len(words)) if prior * (x[p, j].sum() + 0.5) / (len(p) + 1) > 0.5 * (x[u, j].sum() + 0.5) / (len(u) + 1) and x[p, j].sum() >= 3 and x[p, j].mean() > x[u, j].mean()]
+    # each word stands for itself and its first four bytes, which are the same feature, so one column a word
+    a, b = np.c_[x[p][:, used], np.ones(len(p))], np.c_[x[u][:, used], np.ones(len(u))]
+    w = np.zeros(a.shape[1])
+    w[-1] = np.log(prior / (1 - prior))
+    m, v = 0 * w, 0 * w
+    for step in range(1, 31):
+        sp, su = 1 / (1 + np.exp(-a @ w)), 1 / (1 + np.exp(-b @ w))
+        low = b.T @ su / len(u) - prior * (a.T @ sp) / len(p)
+        positive = np.logaddexp(0, b @ w).mean() >= prior * np.logaddexp(0, a @ w).mean()
+        g = prior * (a.T @ (sp - 1)) / len(p) + low if positive else -low
+        g[:-1] += 1e-4 * w[:-1]
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w = w - 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-7)
+    model = toxicity.fit(docs, labels, steps=30)
+    got = sorted(model.weights[:-1].tolist())
+    assert len(used) >= 2 and np.allclose(got, sorted(w[:-1]), atol=1e-3) and abs(model.bias - w[-1]) < 1e-3
