@@ -1,20 +1,23 @@
-"""Operator 6, LM scoring: online logistic context mixing over hashed contexts.
+"""Operator 6, LM scoring: logistic context mixing over counts of all contexts.
 
-A text is its words (A-Z in lower case, ``[^\\x20\\x09-\\x0D]+``) and one end. The ``WORDS`` most frequent training
-tokens are dealt into 31 classes of equal mass, the rest is the 32nd, and a token is coded as the five bits of its
-class, then by its share within the class. Each bit has a predictor in each of three hashed contexts (the classes of the two
-tokens before, the token before, both tokens before): counts of ones and zeros at the bit's node. Their log odds are
-mixed with weights that a gate picks by the bit and by how often the contexts were seen, and the result is refined by an
-adaptive table over bit and log odds. Weights and table learn online, block by block, from what their task has counted
-so far; counts are summed over all tasks, weights averaged by the tokens that they saw. Scoring uses the finished model,
-so that a text's score depends on nothing but the text and the training documents.
+A text is its words (A-Z in lower case, ``[^\\x20\\x09-\\x0D]+``) and one end. Every token of the vocabulary has a path of
+bits. The ``WORDS`` most frequent training tokens are dealt into 31 classes of equal mass: five bits for the class, then
+the token's rank in it. All others are the 32nd class, and go on with the first bits of their hash, as many as it
+takes to number them all; those that still share a path are told apart by their share of it.
 
-A training document is one whose crc32(doc_id as text) mod 10 is not 0 (null id: it is one). The frequent tokens, the
-counters and the weights are broadcast, of fixed size at most; the counts of all other tokens stay distributed and
-are joined.
+Each bit is predicted from how often its node's two sides followed in the training documents, in four contexts: none, the
+classes of the two tokens before, the token before, both tokens before. Counts are kept by context and path as a
+table, summed over all training documents and joined by key: it grows with the corpus, and contexts share nothing.
+Log odds are mixed with weights that a gate picks by the bit and by how often the contexts were seen, and the
+result is refined by an adaptive table over bit and log odds. Weights and table learn online, block by block, each token from
+the counts without itself; they are summed over all tasks, weights averaged by the tokens that they saw. Scoring uses the
+finished model, so that a text's score depends on nothing but the text and the training documents.
+
+A training document is one whose crc32(doc_id as text) mod 10 is not 0 (null id: it is none). The frequent tokens and the
+weights are broadcast, of fixed size at most; all other counts stay distributed and are joined.
 
 Defined results: a null text is empty, its only token the end; without training documents base_score is 0 and an unknown
-token within its class costs nothing; repeated rows are scored each; extra columns are ignored.
+token within its path costs nothing; repeated rows are scored each; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,13 +32,14 @@ from pagelex.llm.common import fold_of, written
 
 WORDS = 1 << 18
 FLUSH = 400_000
-END = np.uint64(0x452821E638D01377)
+U = np.uint64
+END = U(0x452821E638D01377)
 BITS = 5
 CLASSES = 1 << BITS
 RARE = CLASSES - 1
-SLOTS = (CLASSES * CLASSES, 1 << 13, 1 << 14)
-INPUTS = len(SLOTS) + 1
-GATES = BITS * 16
+CONTEXTS = ("c0", "c1", "c2")
+INPUTS = len(CONTEXTS) + 2
+BLOCK = 100_000
 STEPS = 24
 LIMIT = 8.0
 
@@ -74,9 +78,14 @@ def count_tokens(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
+def _step(n: str):
+    return F.floor(F.log2(n) * 16).cast("int")
+
+
 def _vocabulary(counts: DataFrame, most: int) -> dict:
-    """The most frequent tokens: sorted hashes, counts, classes and log shares within the class; and the totals."""
-    step = F.floor(F.log2("n") * 16).cast("int")
+    """The most frequent tokens: sorted hashes, counts, classes and codes; the bits of each class's paths,
+    the counts along the paths, and the totals."""
+    step = _step("n")
     steps = sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("v"), F.sum("n").alias("n")).collect(), reverse=True)
     n_all, v_all = sum(s["n"] for s in steps), sum(s["v"] for s in steps)
     total, least = 0, 1 << 30
@@ -91,20 +100,50 @@ def _vocabulary(counts: DataFrame, most: int) -> dict:
     h, n = h[order], n[order]
     before = np.cumsum(n) - n
     kind = np.minimum(before * RARE // max(int(n.sum()), 1), RARE - 1).astype(np.int64)
-    size, kinds = np.bincount(kind, n, CLASSES), np.bincount(kind, minlength=CLASSES)
-    within = np.log10((n + 0.1) / (size + 0.1 * kinds)[kind])
+    rank = np.arange(len(n)) - np.searchsorted(kind, kind)
+    v_rare = int(v_all - len(n))
+    bits = np.array([max(int(k) - 1, 0).bit_length() for k in [*np.bincount(kind, minlength=CLASSES)[:RARE], v_rare]])  # of the path in each class
+    code = (kind.astype(np.uint64) << U(64 - BITS)) | (rank.astype(np.uint64) << (64 - BITS - bits[kind]).astype(np.uint64))
+    by_code = np.argsort(code)
+    codes = np.append(code[by_code], U(RARE) << U(64 - BITS))
+    zero = _path_totals(np.zeros(len(codes), np.int64), codes, np.append(n[by_code], n_all - n.sum()), BITS + np.append(bits[kind[by_code]], 0))
     order = np.argsort(h)
     return {
-        "hash": h[order], "top": tokens.hash_index(h[order]), "n": n[order], "kind": kind[order], "within": within[order],
-        "n_all": int(n_all), "v_all": int(v_all), "n_rare": int(n_all - n.sum()), "v_rare": int(v_all - len(n)),
+        "hash": h[order], "top": tokens.hash_index(h[order]), "n": n[order], "kind": kind[order], "code": code[order], "bits": bits,
+        "codes": codes, "zero": zero.astype(np.float32), "n_all": int(n_all), "v_all": int(v_all), "least": least,
     }
 
 
+def _path_totals(context: np.ndarray, code: np.ndarray, n: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Of rows sorted by context and code: the sum of n at each node of each row's path, from the root on. Past the path's
+    end the last one is repeated."""
+    out = np.zeros((len(code), int(length.max(initial=0)) + 1))
+    other = np.ones(len(code), bool)
+    other[1:] = context[1:] != context[:-1]
+    for b in range(out.shape[1]):
+        new = other.copy()
+        if b:
+            top = code >> U(64 - b)
+            new[1:] |= top[1:] != top[:-1]
+        at = np.flatnonzero(new)
+        total = np.repeat(np.add.reduceat(n, at), np.diff(np.append(at, len(n)))) if len(n) else n
+        out[:, b] = np.where(length >= b, total, out[:, b - 1]) if b else total
+    return out
+
+
+def _length(v: dict, code: np.ndarray) -> np.ndarray:
+    return BITS + v["bits"][(code >> U(64 - BITS)).astype(np.int64)]
+
+
 def _contexts(v: dict, data: np.ndarray, offsets: np.ndarray):
-    """Places in the vocabulary, classes, first tokens, and the slots of each token's contexts."""
+    """Hashes, places in the vocabulary, codes, first tokens, and each token's contexts."""
     h, first = _tokens(data, offsets)
     at = tokens.find(v["hash"], v["top"], h)
-    kind = np.where(at >= 0, v["kind"][at], RARE) if len(v["kind"]) else np.full(len(h), RARE)
+    deep = int(v["bits"][RARE])
+    code = (U(RARE) << U(64 - BITS)) | (h >> U(64 - deep) << U(64 - BITS - deep) if deep else np.zeros(len(h), np.uint64))
+    kind = np.full(len(h), RARE)
+    known = at >= 0
+    code[known], kind[known] = v["code"][at[known]], v["kind"][at[known]]
     close = tokens.find(v["hash"], v["top"], np.array([END]))[0]
     close = v["kind"][close] if close >= 0 else RARE
 
@@ -117,21 +156,111 @@ def _contexts(v: dict, data: np.ndarray, offsets: np.ndarray):
         return out
 
     one, two = earlier(h, END, 1), earlier(h, END, 2)
-    slots = (
+    found = (
         earlier(kind, close, 1) * CLASSES + earlier(kind, close, 2),
-        (tokens.mix(one) % np.uint64(SLOTS[1])).astype(np.int64),
-        (tokens.mix(one * np.uint64(3) + tokens.mix(two)) % np.uint64(SLOTS[2])).astype(np.int64),
+        tokens.mix(one).view(np.int64),
+        tokens.mix(one * U(3) + tokens.mix(two)).view(np.int64),
     )
-    return h, at, kind, first, slots
+    return h, at, code, first, found
+
+
+def count_grams(texts: DataFrame, vocabulary) -> DataFrame:
+    """c2, code, c1, c0, n: what follows each context in ``texts`` (text, train), and how often in training texts;
+    one row for each, those of a context in one task, sorted."""
+
+    def run(batches):
+        v = vocabulary.value
+        for part, data, offsets in tokens.blocks(batches):
+            _, _, code, first, (c0, c1, c2) = _contexts(v, data, offsets)
+            train = np.repeat(part.column("train").to_numpy(zero_copy_only=False), np.diff(first))
+            _, at, which = np.unique(tokens.mix(c2.view(np.uint64) + tokens.mix(code)), return_index=True, return_inverse=True)
+            n = np.bincount(which, train).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (c2[at], code[at].view(np.int64), c1[at], c0[at], n)], ["c2", "code", "c1", "c0", "n"])
 
+    made = texts.mapInArrow(run, "c2 long, code long, c1 long, c0 long, n long").repartition("c2")
+    return made.groupBy("c2", "code").agg(F.first("c1").alias("c1"), F.first("c0").alias("c0"), F.sum("n").alias("n")).sortWithinPartitions("c2", "code")
 
-def _nodes(kind: np.ndarray, b: int) -> tuple[np.ndarray, np.ndarray]:
-    """The node (1 ... CLASSES - 1) at which bit b is decided, and the bit."""
-    return (1 << b) | (kind >> (BITS - b)), (kind >> (BITS - 1 - b)) & 1
+
+def _paths(grams: DataFrame, context: str, vocabulary) -> DataFrame:
+    """The rows, those of a context in one task and sorted by code, with how often each node of the code's path occurs in
+    the context: ``p_`` and its name. A path is given up to its last change."""
+
+    def out(t: pa.Table) -> pa.RecordBatch:
+        code = t.column("code").to_numpy().view(np.uint64)
+        total = _path_totals(t.column(context).to_numpy(), code, t.column("n").to_numpy(), _length(vocabulary.value, code))
+        size = 1 + ((total[:, 1:] != total[:, :-1]) * np.arange(1, total.shape[1])).max(1, initial=0)
+        flat = total[np.arange(total.shape[1]) < size[:, None]].astype(np.float32)
+        path = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(flat))
+        return pa.RecordBatch.from_arrays([*(c.combine_chunks() for c in t.columns), path], [*t.column_names, f"p_{context}"])
+
+    def run(batches):
+        held, rows, enough = [], 0, BLOCK
+        for batch in batches:
+            held.append(batch)
+            rows += len(batch)
+            if rows < enough:
+                continue
+            t = pa.Table.from_batches(held).combine_chunks()
+            c = t.column(context).to_numpy()
+            cut = int(np.searchsorted(c, c[-1]))
+            if cut:
+                yield out(t.slice(0, cut))
+            held, rows = t.slice(cut).to_batches(), len(t) - cut
+            enough = max(BLOCK, 2 * rows)
+        if rows:
+            yield out(pa.Table.from_batches(held).combine_chunks())
+
+    kinds = ", ".join(f"{c} {t}" for c, t in grams.dtypes)
+    return grams.mapInArrow(run, f"{kinds}, p_{context} array<float>")
+
+
+def gathered(texts: DataFrame, vocabulary) -> DataFrame:
+    """c2, code, n, p_c0, p_c1, p_c2: each pair of context and code in ``texts`` and the counts along its path in
+    every context."""
+    grams = written(_paths(count_grams(texts, vocabulary), "c2", vocabulary), "grams")
+    out = grams
+    for c in CONTEXTS[:2]:
+        own = grams.groupBy(c, "code").agg(F.sum("n").alias("n")).repartition(c).sortWithinPartitions(c, "code")
+        out = out.join(_paths(own, c, vocabulary).drop("n"), [c, "code"])
+    return written(out.select("c2", "code", "n", *[f"p_{c}" for c in CONTEXTS]), "gathered")
+
+
+class _Inputs:
+    """Of a batch of ``gathered`` rows: the lengths of paths, and each bit with its inputs and gate. ``but``: rows
+    of which one occurrence is not counted."""
+
+    def __init__(self, v: dict, part: pa.RecordBatch, but: bool):
+        self.code = part.column("code").to_numpy().view(np.uint64)
+        self.length = _length(v, self.code)
+        self.levels = int(self.length.max(initial=0))
+        self.rare = self.code >> U(64 - BITS) == RARE
+        at = np.where(self.rare, len(v["codes"]) - 1, np.searchsorted(v["codes"], self.code))
+        self.totals = [v["zero"][at]]
+        for c in CONTEXTS:
+            lists = part.column(f"p_{c}")
+            first, flat = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
+            self.totals.append(flat[first[:-1, None] + np.minimum(np.arange(self.levels + 1), np.diff(first)[:, None] - 1)])
+        if but:
+            self.totals = [np.maximum(t - 1, 0) for t in self.totals]
+
+    def at(self, b: int):
+        """Rows whose path has a bit b, the bit, inputs and gate."""
+        rows = np.flatnonzero(self.length > b)
+        bit = ((self.code[rows] >> U(63 - b)) & U(1)).astype(np.int64)
+        x, gate = np.empty((INPUTS, len(rows)), np.float32), np.full(len(rows), b * 16)
+        for i, t in enumerate(self.totals):
+            here, taken = t[rows, min(b, t.shape[1] - 1)], t[rows, min(b + 1, t.shape[1] - 1)]
+            x[i] = (2 * bit - 1) * np.log((taken + np.float32(0.4)) / (here - taken + np.float32(0.4)))
+            if i >= 2:
+                gate += _level(here) * (4 if i == 2 else 1)
+        if b >= BITS:
+            x[0, self.rare[rows]] = 0  # nothing is known of a hash's bits
+        x[-1] = 1
+        return rows, bit, np.clip(x, -LIMIT, LIMIT, out=x), gate
 
 
 def _level(n: np.ndarray) -> np.ndarray:
-    return ((n >= 7).astype(np.int64) + (n >= 63)) + (n >= 511)
+    return ((n >= 1).astype(np.int64) + (n >= 7)) + (n >= 63)
 
 
 def _squash(x: np.ndarray) -> np.ndarray:
@@ -142,51 +271,39 @@ def _step_of(x: np.ndarray) -> np.ndarray:
     return np.minimum(((x + LIMIT) * (STEPS / (2 * LIMIT))).astype(np.int64), STEPS - 1)
 
 
-def learn(docs: DataFrame, vocabulary) -> dict:
-    """The counters, weights and table; ``vocabulary`` is broadcast."""
+def learn(grams: DataFrame, vocabulary, levels: int) -> dict:
+    """The weights and the table, from the ``gathered`` rows of training texts; ``vocabulary`` is broadcast."""
+    gates = 16 * levels
 
     def run(batches):
         v = vocabulary.value
-        seen = [np.zeros(s * 2 * CLASSES, np.float32) for s in SLOTS]  # by slot: a heap of nodes, its leaves the classes
-        w = np.full((GATES, INPUTS), 0.35)
+        w = np.full((gates, INPUTS), 0.35)
         w[:, -1] = 0
-        power = np.full((GATES, INPUTS), 1.0)
-        hits = np.zeros((2, BITS * STEPS))
+        power = np.full((gates, INPUTS), 1.0)
+        hits = np.zeros((2, levels * STEPS))
         learned = 0
-        for _, data, offsets in tokens.blocks(batches):
-            _, _, kind, _, slots = _contexts(v, data, offsets)
-            base = [s * (2 * CLASSES) for s in slots]
-            for b in range(BITS):
-                node, bit = _nodes(kind, b)
-                x, gate = np.empty((INPUTS, len(kind)), np.float32), np.full(len(kind), b * 16)
-                for c, at in enumerate(base):
-                    ones, zeros = seen[c][at + 2 * node + 1], seen[c][at + 2 * node]
-                    x[c] = np.log((ones + 0.4) / (zeros + 0.4))
-                    if c:
-                        gate += _level(ones + zeros) * (4 if c == 1 else 1)
-                x[-1] = 1
-                np.clip(x, -LIMIT, LIMIT, out=x)
+        for part in batches:
+            if not len(part):
+                continue
+            rows, times = _Inputs(v, part, True), part.column("n").to_numpy().astype(float)
+            for b in range(rows.levels):
+                which, bit, x, gate = rows.at(b)
+                n = times[which]
                 mixed = np.clip((w[gate].T * x).sum(0), -LIMIT, LIMIT)
-                error = bit - _squash(mixed)
+                error = (bit - _squash(mixed)) * n / n.sum()
                 for i in range(INPUTS):
-                    g = np.bincount(gate, error * x[i], GATES) / len(kind)
+                    g = np.bincount(gate, error * x[i], gates)
                     power[:, i] += (10 * g) ** 2
                     w[:, i] += 0.5 * g / np.sqrt(power[:, i])
                 step = b * STEPS + _step_of(mixed)
-                hits += [np.bincount(step, 1 - bit, BITS * STEPS), np.bincount(step, bit, BITS * STEPS)]
-            for c, at in enumerate(base):
-                np.add.at(seen[c], np.concatenate([at + (kind + CLASSES >> up) for up in range(BITS)]), np.float32(1))
-            learned += len(kind)
+                hits += [np.bincount(step, (1 - bit) * n, levels * STEPS), np.bincount(step, bit * n, levels * STEPS)]
+            learned += times.sum()
         if not learned:
             return
-        for c, n in enumerate(seen):
-            leaf = n.reshape(-1, 2 * CLASSES)[:, CLASSES:].ravel()
-            at = np.flatnonzero(leaf)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), c), pa.int32()), pa.array(at, pa.int32()), pa.array(leaf[at].astype(float))], ["what", "at", "x"])
         for what, x in ((10, w.ravel() * learned), (11, np.array([learned], float)), (12, hits.ravel())):
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), what), pa.int32()), pa.array(np.arange(len(x)), pa.int32()), pa.array(x)], ["what", "at", "x"])
 
-    got = docs.select("text").mapInArrow(run, "what int, at int, x double").groupBy("what", "at").agg(F.sum("x").alias("x")).toArrow()
+    got = grams.where("n > 0").mapInArrow(run, "what int, at int, x double").groupBy("what", "at").agg(F.sum("x").alias("x")).toArrow()
     what, at, x = (got.column(c).to_numpy() for c in ("what", "at", "x"))
 
     def filled(number: int, size: int) -> np.ndarray:
@@ -194,55 +311,56 @@ def learn(docs: DataFrame, vocabulary) -> dict:
         out[at[what == number]] = x[what == number]
         return out
 
-    odds, level = [], []
-    for c, slots in enumerate(SLOTS):
-        n = np.zeros((slots, 2 * CLASSES))
-        n[:, CLASSES:] = filled(c, slots * CLASSES).reshape(slots, CLASSES)
-        for node in range(CLASSES - 1, 0, -1):
-            n[:, node] = n[:, 2 * node] + n[:, 2 * node + 1]
-        inner = np.arange(1, CLASSES)
-        o = np.zeros((slots, CLASSES), np.float32)
-        o[:, 1:] = np.clip(np.log((n[:, 2 * inner + 1] + 0.4) / (n[:, 2 * inner] + 0.4)), -LIMIT, LIMIT)
-        odds.append(o.ravel())
-        level.append(_level(n[:, :CLASSES]).astype(np.int8).ravel())
     seen = filled(11, 1)[0]
-    w = filled(10, GATES * INPUTS).reshape(GATES, INPUTS) / seen if seen else np.full((GATES, INPUTS), 0.35)
-    zeros, ones = filled(12, 2 * BITS * STEPS).reshape(2, -1)
-    middle = _squash(np.tile((np.arange(STEPS) + 0.5) * (2 * LIMIT / STEPS) - LIMIT, BITS))
-    return {"odds": odds, "level": level, "w": w.astype(np.float32), "refined": (ones + 20 * middle) / (ones + zeros + 20)}
+    w = filled(10, gates * INPUTS).reshape(gates, INPUTS) / seen if seen else np.full((gates, INPUTS), 0.35) * (np.arange(INPUTS) < INPUTS - 1)
+    zeros, ones = filled(12, 2 * levels * STEPS).reshape(2, -1)
+    middle = _squash(np.tile((np.arange(STEPS) + 0.5) * (2 * LIMIT / STEPS) - LIMIT, levels))
+    return {"w": w.astype(np.float32), "refined": (ones + 20 * middle) / (ones + zeros + 20)}
 
 
-def score(docs: DataFrame, training: DataFrame, most: int = WORDS) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every row of ``docs``."""
+def score(docs: DataFrame, training: DataFrame | None = None, most: int = WORDS) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every row of ``docs``. ``training``:
+    by default the documents whose remainder is not 0."""
     context = docs.sparkSession.sparkContext
+    is_training = fold_of(F.col("doc_id"), 10) != 0
+    if training is None:
+        texts, training = docs.select("text", is_training.alias("train")), docs.where(is_training)
+    else:
+        texts = docs.select("text", F.lit(False).alias("train")).union(training.select("text", F.lit(True)))
     counts = written(count_tokens(training), "counts")
     v = _vocabulary(counts, most)
     held = context.broadcast(v)  # at most ``most`` tokens
-    model = context.broadcast(learn(training, held))  # SLOTS x CLASSES numbers
+    grams = gathered(texts, held)
+    levels = BITS + int(v["bits"].max())
+    model = context.broadcast(learn(grams, held, levels))  # numbers of levels x gates and steps
     base_total = v["n_all"] + 0.1 * (v["v_all"] + 1)
-    rare_total = v["n_rare"] + 0.1 * (v["v_rare"] + 1)
 
-    def run(batches):
+    def coded(batches):
         v, m = held.value, model.value
+        for part in batches:
+            rows, total = _Inputs(v, part, False), np.zeros(len(part))
+            for b in range(rows.levels):
+                which, bit, x, gate = rows.at(b)
+                mixed = np.clip((m["w"][gate].T * x).sum(0), -LIMIT, LIMIT)
+                p = 0.5 * (_squash(mixed.astype(float)) + m["refined"][b * STEPS + _step_of(mixed)])
+                total[which] += np.log10(np.where(bit == 1, p, 1 - p))
+            yield pa.RecordBatch.from_arrays([part.column("c2"), part.column("code"), pa.array(total)], ["c2", "code", "path"])
+
+    def places(batches):
+        for part, data, offsets in tokens.blocks(batches):
+            _, _, code, first, (_, _, c2) = _contexts(held.value, data, offsets)
+            owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+            yield pa.RecordBatch.from_arrays([part.column("text_hash").take(pa.array(owner)), pa.array(c2), pa.array(code.view(np.int64))], ["text_hash", "c2", "code"])
+
+    def run(batches):
+        v = held.value
         for part, data, offsets in tokens.blocks(batches):
-            h, at, kind, first, slots = _contexts(v, data, offsets)
+            h, first = _tokens(data, offsets)
+            at = tokens.find(v["hash"], v["top"], h)
             texts = len(first) - 1
             owner = np.repeat(np.arange(texts), np.diff(first))
-            total = np.zeros(len(kind))
-            base = [s * CLASSES for s in slots]
-            for b in range(BITS):
-                node, bit = _nodes(kind, b)
-                place = [at_ + node for at_ in base]
-                w = m["w"][b * 16 + m["level"][1][place[1]].astype(np.int64) * 4 + m["level"][2][place[2]]]
-                mixed = w[:, -1].copy()
-                for c in range(len(SLOTS)):
-                    mixed += w[:, c] * m["odds"][c][place[c]]
-                np.clip(mixed, -LIMIT, LIMIT, out=mixed)
-                p = 0.5 * (_squash(mixed.astype(float)) + m["refined"][b * STEPS + _step_of(mixed)])
-                total += np.log10(np.where(bit == 1, p, 1 - p))
             known = at >= 0
             if known.any():
-                total[known] += v["within"][at[known]]
                 plain = np.bincount(owner[known], np.log10(v["n"][at[known]] + 0.1), texts)
             else:
                 plain = np.zeros(texts)
@@ -255,28 +373,37 @@ def score(docs: DataFrame, training: DataFrame, most: int = WORDS) -> DataFrame:
             cut = pa.array(np.searchsorted(owner[order][head], np.arange(texts + 1)), pa.int32())
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), part.column("held_out"), part.column("text_hash"), pa.array(np.diff(offsets)), pa.array(np.diff(first)),
-                pa.array(np.bincount(owner[known], minlength=texts)), pa.array(plain), pa.array(np.bincount(owner, total, texts)),
+                pa.array(np.bincount(owner[known], minlength=texts)), pa.array(plain),
                 pa.ListArray.from_arrays(cut, pa.array(h[order][head].view(np.int64))), pa.ListArray.from_arrays(cut, pa.array(times, pa.int32())),
-            ], ["doc_id", "held_out", "text_hash", "bytes", "n_tokens", "known", "plain", "coded", "rest", "times"])
+            ], ["doc_id", "held_out", "text_hash", "bytes", "n_tokens", "known", "plain", "rest", "times"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold_of(F.col("doc_id"), 10) == 0).alias("held_out"), F.xxhash64("text").alias("text_hash"), "text")
     rows = written(
-        own.mapInArrow(run, "doc_id long, held_out boolean, text_hash long, bytes long, n_tokens long, known long, plain double, coded double, rest array<long>, times array<int>"),
+        own.mapInArrow(run, "doc_id long, held_out boolean, text_hash long, bytes long, n_tokens long, known long, plain double, rest array<long>, times array<int>"),
         "scored",
     )
-    # the counts of the other tokens, joined once for each text
+    # each text's places, of all its copies, meet what their paths cost: the mean over them is that of one copy
+    path = docs.select(F.xxhash64("text").alias("text_hash"), "text").mapInArrow(places, "text_hash long, c2 long, code long").join(
+        grams.mapInArrow(coded, "c2 long, code long, path double"), ["c2", "code"]
+    ).groupBy("text_hash").agg(F.avg("path").alias("path"))
+    # the counts of the other tokens, and of those that share a path, joined once for each text
+    deep = int(v["bits"][RARE])
+    leaf = F.shiftrightunsigned("h", 64 - deep) if deep else F.lit(0).cast("long")
+    rare = counts.where(_step("n") < v["least"])
+    leaves = rare.groupBy(leaf.alias("leaf")).agg(F.sum("n").alias("n_leaf"), F.count("*").alias("v_leaf"))
     rest = rows.where(F.size("rest") > 0).select("text_hash", "rest", "times").dropDuplicates(["text_hash"])
     rest = rest.select("text_hash", F.explode_outer(F.arrays_zip("rest", "times")).alias("r")).select("text_hash", F.col("r.rest").alias("h"), F.col("r.times").alias("times"))
-    found = rest.join(counts, "h", "left").groupBy("text_hash").agg(
-        F.sum("times").alias("n_rest"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("known_rest"),
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("plain_rest"),
+    n, n_leaf, v_leaf = (F.coalesce(c, F.lit(0)) for c in ("n", "n_leaf", "v_leaf"))
+    found = rest.withColumn("leaf", leaf).join(rare, "h", "left").join(leaves, "leaf", "left").groupBy("text_hash").agg(
+        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("known_rest"),
+        F.sum(F.col("times") * F.log10(n + 0.1)).alias("plain_rest"),
+        F.sum(F.col("times") * F.log10((n + 0.1) / (n_leaf + 0.1 * (v_leaf + 1)))).alias("leaf_rest"),
     )
-    n_rest, plain_rest = F.coalesce("n_rest", F.lit(0)), F.coalesce("plain_rest", F.lit(0.0))
-    coded = F.col("coded") + plain_rest - n_rest * F.log10(F.lit(rare_total))
-    return rows.select("doc_id", "held_out", "text_hash", "bytes", "n_tokens", "known", "plain", "coded").join(found, "text_hash", "left").select(
+    coded_all = F.col("n_tokens") * F.col("path") + F.coalesce("leaf_rest", F.lit(0.0))
+    return rows.select("doc_id", "held_out", "text_hash", "bytes", "n_tokens", "known", "plain").join(found, "text_hash", "left").join(path, "text_hash").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("known_rest", F.lit(0))).alias("n_known"), F.lit(v["n_all"]).cast("long").alias("train_tokens"),
-        (F.col("plain") + plain_rest - F.col("n_tokens") * F.log10(F.lit(base_total))).alias("base_score"),
-        coded.alias("score"), (-coded * float(np.log2(10)) / F.greatest("bytes", F.lit(1))).alias("bits_per_byte"),
+        (F.col("plain") + F.coalesce("plain_rest", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(base_total))).alias("base_score"),
+        coded_all.alias("score"), (-coded_all * float(np.log2(10)) / F.greatest("bytes", F.lit(1))).alias("bits_per_byte"),
     )
 
 
@@ -285,4 +412,4 @@ def query(spark, sf_dir: str) -> DataFrame:
     from pagelex.llm.common import table
 
     docs = table(spark, sf_dir, "documents")
-    return score(docs, docs.where(fold_of(F.col("doc_id"), 10) != 0))
+    return score(docs)

@@ -7,6 +7,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
@@ -142,6 +143,30 @@ def test_lm_score_is_a_probability(spark):
     assert 0.2 < total <= 1 + 1e-9
 
 
+def test_lm_score_knows_the_word_that_follows(spark):
+    """Among words of one class, and among those beyond the frequent ones, too."""
+    n = 2000
+    pairs = [(i, f"a{i} b{i}") for i in range(n)]
+    training = spark.createDataFrame([(k * n + i, t) for k in range(4) for i, t in pairs], "doc_id long, text string").repartition(4)
+    texts = spark.createDataFrame([*pairs[:200], *[(n + i, f"a{i} b{i + 1}") for i in range(200)]], "doc_id long, text string")
+    for most in (lm_score.WORDS, 5):
+        got = {r.doc_id: r.score for r in lm_score.score(texts, training, most).collect()}
+        assert all(got[i] > got[n + i] + 1 for i in range(200))
+        assert sum(got[i] for i in range(200)) / 200 > -4.5  # the first of 2000 words costs 3.3
+
+
+def test_lm_score_counts_along_paths():
+    rng = np.random.default_rng(4)
+    rows = sorted({(int(c), int(k) << 56) for c, k in rng.integers(0, [5, 256], (300, 2))})
+    context, code = (np.array(x, np.uint64) for x in zip(*rows, strict=True))
+    n = rng.integers(0, 9, len(rows))
+    got = lm_score._path_totals(context, code, n, np.full(len(rows), 8))
+    for i in range(len(rows)):
+        for b in range(9):
+            inside = (context == context[i]) & (code // np.uint64(1 << (64 - b)) == code[i] // np.uint64(1 << (64 - b)) if b else True)
+            assert got[i, b] == n[inside].sum()
+
+
 def test_warc(spark, tmp_path):
     pages = [(5, "http://a/\r\nx", "<p>é</p>"), (2, None, "<p>é</p>"), (9, "http://b/", None), (7, "http://c/", ""), (None, "http://d/", "<p>é</p>"), (3, "http://e/", "y" * 300_000),
              (3, "http://e/", "y" * 300_000), (11, "http://f/", "WARC/1.1\r\n\r\n\x1f\x8b")]
