@@ -21,8 +21,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier line matches go; n_chars follows the text."""
-    kept = line_dedup.without_repeated_lines(docs)
+    """Lines that an earlier line matches go, short ones too; n_chars follows the text."""
+    kept = line_dedup.without_repeated_lines(docs, least=1)
     return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in kept.columns else kept
 
 

@@ -2,7 +2,8 @@
 
 A line's tokens are its distinct 5-word shingles (A-Z in lower case, words as ``[^\\x20\\x09-\\x0D]+``). Two
 lines match when ``100 * common >= 75 * together``; a line goes when a line at an earlier position
-(doc_id, line number) matches it. Lines of fewer than ``MIN_WORDS`` words say too little and always stay.
+(doc_id, line number) matches it. Lines of fewer than ``least`` words always stay: ``MIN_WORDS`` in the query, as its SQL
+says, 1 in the pipeline. A line of one to four words has its whole sequence as its one token, so only its copies match it.
 
 Copies of a line are one class, so that a line which a third of all documents share is one member of the
 join. Classes meet through their prefixes: tokens in order of rarity, of which similar sets share one
@@ -31,7 +32,7 @@ WORDS = 5
 LAST = (1 << 63) - 1
 
 
-def _lines(data: np.ndarray, offsets: np.ndarray):
+def _lines(data: np.ndarray, offsets: np.ndarray, least: int):
     """Token hashes of the lines that count, each line's first one, and its text and number."""
     runs = tokens.Runs(tokens.lower_ascii(data), offsets, tokens.not_space())
     breaks = np.concatenate([[0], np.cumsum(data == 10)])
@@ -41,26 +42,26 @@ def _lines(data: np.ndarray, offsets: np.ndarray):
     new[1:] = (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
     first = np.append(np.flatnonzero(new), len(doc))
     h, at = tokens.shingle_hashes(runs.hashes(), first, WORDS)
-    enough = np.diff(first) >= MIN_WORDS
+    enough = np.diff(first) >= least
     keep = np.repeat(enough, np.diff(at))
     head = first[:-1][enough]
     return h[keep], np.concatenate([[0], np.cumsum(np.diff(at)[enough])]), doc[head], line[head]
 
 
-def repeated(docs: DataFrame) -> DataFrame:
+def repeated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """doc_id, line_no (from 0) of the lines that go, and the position of an earlier line that each
     matches: first_doc_id, first_line_no."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text")
-    rank = sets.rarity(docs, lambda data, offsets: _lines(data, offsets)[0])
+    rank = sets.rarity(docs, lambda data, offsets: _lines(data, offsets, least)[0])
     held = docs.sparkSession.sparkContext.broadcast(rank)
 
     def line_sets(data, offsets):
-        return sets.distinct_sorted(*_lines(data, offsets)[:2], held.value)
+        return sets.distinct_sorted(*_lines(data, offsets, least)[:2], held.value)
 
     def run(batches):
         seen = set()
         for part, data, offsets in tokens.blocks(batches):
-            h, at, doc, line = _lines(data, offsets)
+            h, at, doc, line = _lines(data, offsets, least)
             tok, first = sets.distinct_sorted(h, at, held.value)
             key, n = sets.keys(tok, first), np.diff(first)
             fresh = np.fromiter((k not in seen and not seen.add(k) for k in key.tolist()), bool, len(key))
@@ -112,9 +113,9 @@ def _links(pairs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     return written(links.where("own <> other").select(ordered.alias("x")).select("x.*").distinct(), "links")
 
 
-def without_repeated_lines(docs: DataFrame) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """The documents, of all their columns, without the lines that an earlier line matches."""
-    gone = repeated(docs).groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
+    gone = repeated(docs, least).groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
     kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("_gone", i)), "\n")
     mine = docs.select("*").alias("d").join(gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")), "left")
     text = F.when(F.col("g._gone").isNull(), F.col("d.text")).otherwise(kept)

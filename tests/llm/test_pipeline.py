@@ -33,3 +33,11 @@ def test_query_matches_sql(spark, name):
     assert sorted(columns) == sorted(df.columns)
     clean = lambda r: tuple(round(x, 9) if isinstance(x, float) else x for x in r)
     assert sorted(map(repr, map(clean, df.select(columns).collect()))) == sorted(map(repr, map(clean, got.fetchall())))
+
+
+def test_short_repeated_lines_go(spark):
+    """Copies of lines of one to four words go, whatever their case; other short lines and blank ones stay."""
+    texts = ["Yes\n\nsee also here\nleft to right", "yes\n\nSee  also here\nright to left", "see also\n \nfour words are here\nYES", "four words are here\nfour words are here now"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text for r in corpus_pipeline.without_repeated_lines(spark, docs, D).collect()}
+    assert got == {0: texts[0], 1: "\nright to left", 2: "see also\n \nfour words are here", 3: "four words are here now"}
