@@ -365,7 +365,7 @@ UNION ALL
 SELECT 'scrape', count(*), count(*) FILTER (WHERE c_custkey % 7 <> 0) FROM customer WHERE c_custkey % 13 <> 0 AND c_custkey % 11 <> 0
 """)
 def source_union(spark, d):
-    """SET-1 + SET-5 + PRJ-2: both sources to one article schema, duplicates kept."""
+    """SET-1 + PRJ-2: both sources to one article schema, duplicates kept."""
     dump = D.dump_articles(D.good_lines(D.decode_dump_lines(FX.v_ndjson(spark, d))), "dump").select("title", "text", "source")
     scraped = _scraped(spark, d).select("title", "text", F.lit("scrape").alias("source"))
     both = scraped.unionByName(dump)
