@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagelex.llm import bpe, decontaminate, fingerprint, language, line_dedup, lm_score, ngram_join, periodic, quality, toxicity, warc
+from pagelex.llm import bpe, decontaminate, fingerprint, language, line_dedup, lm_score, ngram_join, periodic, quality, toxicity, warc, whitening
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc.query,
     "op9_language": language.query,
     "op10_toxicity": toxicity.query,
+    "op11_whitening": whitening.query,
     "op12_periodic_runs": periodic.query,
 }
 
