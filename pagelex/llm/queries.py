@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagelex.llm import bpe, decontaminate, fingerprint, language, line_dedup, lm_score, ngram_join, periodic, quality, toxicity, warc, whitening
+from pagelex.llm import bpe, decontaminate, fingerprint, language, lattice, line_dedup, lm_score, ngram_join, periodic, quality, toxicity, warc, whitening
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_toxicity": toxicity.query,
     "op11_whitening": whitening.query,
     "op12_periodic_runs": periodic.query,
+    "op13_lattice_dedup": lattice.query,
 }
 
 ORACLE = {
@@ -25,4 +26,5 @@ ORACLE = {
     "op4_line_dedup": line_dedup.ORACLE,
     "op5_decontaminate": decontaminate.ORACLE,
     "op8_warc": warc.ORACLE,
+    "op13_lattice_dedup": lattice.ORACLE,
 }
