@@ -1,131 +1,15 @@
-"""Archive dump source (SRC-2, WIN-2): ``.tar`` / ``.tar.gz`` of NDJSON members as a Python
-Data Source emitting ``(path, file_number, line_number, value)``.
+"""Archive dump source (SRC-2, WIN-2): ``.tar`` / ``.tar.gz`` of NDJSON members as lines with
+``(path, file_number, line_number, value)``; see ``lines`` for how they are read.
 
-``file_number`` is 1-based and counts only readable (regular) members, restarting for
-each archive.  An uncompressed ``.tar`` gets one input partition per member, read by
-byte offset, so members are read in parallel; a ``.tar.gz`` cannot be split and is one
-partition.  ``file_number`` comparisons are used to skip members (the filters are still
-evaluated by Spark, so correctness never depends on the pruning).
+A filter on ``file_number`` or ``line_number`` may follow; ``lines.read_lines`` with a range skips the splits outside it.
 """
 
 from __future__ import annotations
 
-import tarfile
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-SCHEMA = "path string, file_number int, line_number long, value string"
-
-
-@dataclass
-class MemberPartition(InputPartition):
-    path: str
-    file_number: int | None  # None: the whole (compressed) archive
-    offset: int = 0
-    size: int = 0
-
-
-def _lines(data_iter):
-    for i, raw in enumerate(data_iter):
-        yield i + 1, raw.decode("utf-8", errors="replace").rstrip("\r\n")
-
-
-class TarDumpReader(DataSourceReader):
-    def __init__(self, options):
-        self.paths = [p for p in options.get("paths", "").split(",") if p]
-        self.lo, self.hi = None, None
-
-    def pushFilters(self, filters):
-        from pyspark.sql.datasource import EqualTo, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual
-        for f in filters:
-            if getattr(f, "attribute", None) == ("file_number",) and hasattr(f, "value"):
-                v = f.value
-                if isinstance(f, EqualTo):
-                    self.lo, self.hi = v, v
-                elif isinstance(f, GreaterThanOrEqual):
-                    self.lo = v
-                elif isinstance(f, GreaterThan):
-                    self.lo = v + 1
-                elif isinstance(f, LessThanOrEqual):
-                    self.hi = v
-                elif isinstance(f, LessThan):
-                    self.hi = v - 1
-            yield f  # Spark re-checks every filter
-
-    def _keep(self, k):
-        return (self.lo is None or k >= self.lo) and (self.hi is None or k <= self.hi)
-
-    def partitions(self):
-        parts = []
-        for path in self.paths:
-            if path.endswith(".tar.gz"):
-                parts.append(MemberPartition(path, None))
-                continue
-            with tarfile.open(path, "r") as tar:
-                k = 0
-                for m in tar:
-                    if not m.isreg():
-                        continue
-                    k += 1
-                    if self._keep(k):
-                        parts.append(MemberPartition(path, k, m.offset_data, m.size))
-        return parts or [MemberPartition("", -1)]
-
-    def read(self, partition: MemberPartition):
-        if partition.file_number == -1:
-            return
-        if partition.file_number is None:
-            with tarfile.open(partition.path, "r:gz") as tar:
-                k = 0
-                for m in tar:
-                    f = tar.extractfile(m)
-                    if f is None:
-                        continue
-                    k += 1
-                    if not self._keep(k):
-                        continue
-                    for n, line in _lines(f):
-                        yield (partition.path, k, n, line)
-            return
-        with open(partition.path, "rb") as fh:
-            fh.seek(partition.offset)
-            remaining = partition.size
-
-            def chunks():
-                nonlocal remaining
-                buf = b""
-                while remaining > 0:
-                    block = fh.read(min(1 << 20, remaining))
-                    if not block:
-                        break
-                    remaining -= len(block)
-                    buf += block
-                    *full, buf = buf.split(b"\n")
-                    for x in full:
-                        yield x
-                if buf:
-                    yield buf
-
-            for n, line in _lines(chunks()):
-                yield (partition.path, partition.file_number, n, line)
-
-
-class TarDumpSource(DataSource):
-    @classmethod
-    def name(cls):
-        return "pagelex_tar"
-
-    def schema(self):
-        return SCHEMA
 
-    def reader(self, schema):
-        return TarDumpReader(self.options)
+from .lines import read_lines
 
 
 def read_tar_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    # member skipping needs filter pushdown into Python data sources
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(TarDumpSource)
-    return spark.read.format("pagelex_tar").option("paths", ",".join(paths)).load()
+    return read_lines(spark, paths, numbered=True).select("path", "file_number", "line_number", "value")

@@ -80,5 +80,5 @@ def test_rules_and_attachments(spark, tmp_path):
     (tmp_path / "res" / "js").mkdir()
     (tmp_path / "res" / "css" / "a.css").write_text("x{}")
     (tmp_path / "res" / "js" / "b.js").write_text("1")
-    got = {r.key: r.length for r in A.read_attachments(spark, str(tmp_path / "res"), "~/", ["css"]).collect()}
+    got = {r.key: r.n_bytes for r in A.read_attachments(spark, str(tmp_path / "res"), "~/", ["css"]).collect()}
     assert got == {"~/css/a.css": 3}
