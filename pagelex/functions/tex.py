@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,11 @@ MACROS = [
 MACRO_TOKEN_RE = r"\\([A-Za-z]+)"
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def prefilter(tex) -> Column:
     """TEX-1: escape bare '%' and rewrite the old multiple-integral spacing hacks."""
     c = col_or_lit(tex)
@@ -76,3 +83,117 @@ def macro_uses(texts: DataFrame, tex_col: str = "tex") -> DataFrame:
     (``macro``, ``expansion``, ``n_args``) per use, with the source's other columns."""
     toks = texts.select("*", F.explode(F.regexp_extract_all(F.col(tex_col), F.lit(MACRO_TOKEN_RE), 1)).alias("macro"))
     return toks.join(F.broadcast(macros_dim(texts.sparkSession)), "macro")
+
+
+# --------------------------------------------------------------------------- expansion
+
+# A control word, another control sequence, one brace, a run of blanks or a run of anything else.
+TEX_TOKEN_RE = r"(?s)\\[A-Za-z]+|\\.|\\$|[{}]|\s+|[^\\{}\s]+"
+FRAME = "struct<macro:string,template:string,depth:int,text:string>"
+
+
+def closed_macros(macros=None) -> dict[str, tuple[str, int]]:
+    """The dictionary with its expansions expanded: macro -> (text, arguments). Macros that reach themselves by their
+    expansions are left out: they stay as they are (the cycle guard)."""
+    table = {m: (text, n) for m, text, n in (MACROS if macros is None else macros)}
+    if any(n > 1 for _, n in table.values()):
+        raise ValueError("macros of more than one argument are not supported")
+    words = re.compile(MACRO_TOKEN_RE)
+    uses = {m: {w for w in words.findall(text) if w in table} for m, (text, _) in table.items()}
+
+    def cyclic(m: str) -> bool:
+        seen, todo = set(), list(uses[m])
+        while todo:
+            w = todo.pop()
+            if w == m:
+                return True
+            if w not in seen:
+                seen.add(w)
+                todo += uses[w]
+        return False
+
+    plain = {m: x for m, x in table.items() if not cyclic(m)}
+
+    def full(text: str) -> str:
+        for w in words.findall(text):
+            if w in plain and plain[w][1]:
+                raise ValueError(f"an expansion uses \\{w}, which takes an argument")
+        return words.sub(lambda w: full(plain[w[1]][0]) if w[1] in plain else w[0], text)
+
+    return {m: (full(text), n) for m, (text, n) in plain.items()}
+
+
+def expand(tex, macros=None) -> Column:
+    """TEX-2: the TeX source with all dictionary macros written out, also within arguments, in one fold over its tokens.
+
+    The fold keeps a stack of frames: at the bottom the text so far, above it a frame for each macro whose argument is being read. An
+    argument is a group with balanced braces, or after blanks the next single character or control sequence (which gets none of its own). A macro
+    without an argument (the source or the group around it ends) and a group that is never closed stay as written; null stays null.
+    """
+    table = closed_macros(macros)
+    dictionary = F.create_map(*[F.lit(x) for m, (text, _) in table.items() for x in ("\\" + m, text)]) if table else F.create_map().cast("map<string,string>")
+    unary = [f"\\{m}" for m, (_, n) in table.items() if n == 1]
+    is_unary = lambda t: t.isin(*unary) if unary else F.lit(False)
+
+    def frame(macro, template, depth, text):
+        return F.struct(macro.alias("macro"), template.alias("template"), depth.cast("int").alias("depth"), text.alias("text"))
+
+    none = F.lit(None).cast("string")
+
+    def pop(stack: Column) -> Column:
+        return F.slice(stack, F.lit(1), F.size(stack) - 1)
+
+    def with_top(stack: Column, top: Column) -> Column:
+        return F.concat(pop(stack), F.array(top))
+
+    def append(stack: Column, text: Column) -> Column:
+        return bound(F.element_at(stack, -1), lambda top: with_top(stack, frame(top["macro"], top["template"], top["depth"], F.concat(top["text"], text))))
+
+    def done(stack: Column, argument: Column) -> Column:
+        """The top macro has its argument: its expansion goes to the frame below."""
+        return bound(F.element_at(stack, -1), lambda top: append(pop(stack), F.replace(top["template"], F.lit("#1"), argument)))
+
+    def raw(stack: Column) -> Column:
+        """The top frame as it was written, at the frame below."""
+        return bound(F.element_at(stack, -1), lambda top: append(pop(stack), F.concat(top["macro"], F.when(top["depth"] > 0, F.lit("{")).otherwise(F.lit("")), top["text"])))
+
+    def read(stack: Column, t: Column) -> Column:
+        known = F.element_at(dictionary, t)
+        opens = F.concat(stack, F.array(frame(t, known, F.lit(0), F.lit(""))))
+        return F.when(is_unary(t), opens).otherwise(append(stack, F.coalesce(known, t)))
+
+    def step(stack: Column, t: Column) -> Column:
+        def by_top(top: Column) -> Column:
+            waiting = top["macro"].isNotNull() & (top["depth"] == 0)
+            inside = top["macro"].isNotNull() & (top["depth"] > 0)
+            deeper = lambda by: with_top(stack, frame(top["macro"], top["template"], top["depth"] + by, F.concat(top["text"], t)))
+            single = F.when(F.startswith(t, F.lit("\\")), t).otherwise(F.substring(t, 1, 1))
+            rest = F.when(F.startswith(t, F.lit("\\")), F.lit("")).otherwise(t.substr(F.lit(2), F.length(t)))
+            return (
+                # blanks between a macro and its argument go, but come back if there is none
+                F.when(waiting & t.rlike(r"^\s+$"), append(stack, t))
+                .when(waiting & (t == "{"), with_top(stack, frame(top["macro"], top["template"], F.lit(1), F.lit(""))))
+                .when(waiting & (t == "}"), bound(raw(stack), lambda below: step_closing(below)))
+                .when(waiting, append(done(stack, F.coalesce(F.when(~is_unary(single), F.element_at(dictionary, single)), single)), rest))
+                .when(inside & (t == "{"), deeper(1))
+                .when(inside & (t == "}") & (top["depth"] > 1), deeper(-1))
+                .when(inside & (t == "}"), done(stack, top["text"]))
+                .otherwise(read(stack, t))
+            )
+
+        def step_closing(below: Column) -> Column:
+            """A closing brace after a macro without argument: it ends the group of the frame below."""
+            return bound(F.element_at(below, -1), lambda top: F.when(top["macro"].isNull(), append(below, t))
+                         .when(top["depth"] > 1, with_top(below, frame(top["macro"], top["template"], top["depth"] - 1, F.concat(top["text"], t))))
+                         .when(top["depth"] == 1, done(below, top["text"])).otherwise(append(below, t)))
+
+        return bound(F.element_at(stack, -1), by_top)
+
+    def unwound(stack: Column) -> Column:
+        """Frames that are still open stay as written, from the top one down."""
+        return F.element_at(F.aggregate(F.sequence(F.lit(1), F.size(stack)), stack, lambda s, i: F.when(F.size(s) > 1, raw(s)).otherwise(s)), -1)["text"]
+
+    c = col_or_lit(tex)
+    tokens = F.regexp_extract_all(c, F.lit(TEX_TOKEN_RE), F.lit(0))
+    start = F.array(frame(none, none, F.lit(0), F.lit(""))).cast(f"array<{FRAME}>")
+    return F.when(c.isNotNull(), bound(F.aggregate(tokens, start, step), unwound))

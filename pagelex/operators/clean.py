@@ -190,9 +190,8 @@ def apply_rules(nodes: DataFrame, rules: list[str], first_pass_hit: Column | Non
     ``first_pass_hit`` (kill list, head, geo drops) joins the first pass: it does not
     depend on the tree state.
     """
-    sels = S.parse_rules(rules)
-    passes = S.plan_passes(sels) or [[]]
-    if first_pass_hit is not None and passes[0] and passes[0][0].structural:
+    passes = S.plan_passes(S.parse_groups(rules)) or [[]]
+    if first_pass_hit is not None and any(s.structural for s in passes[0]):
         passes.insert(0, [])  # a structural rule sees the tree without what these drop
     for i, group in enumerate(passes):
         if group:
@@ -217,26 +216,54 @@ def unwrap_rules(nodes: DataFrame) -> DataFrame:
     return nodes.where(~hit)
 
 
+# Pieces of a style, as regular expressions: a comment, an escaped character, a string that ends on its line, square brackets with
+# these inside, parentheses with all of them inside (six deep), and any other character. Alternatives never overlap, so matching is linear.
+_COMMENT = r"/\*(?:[^*]|\*(?!/))*+\*/"
+_STRING = r'"(?:[^"\\\n]|\\.)*+"' + r"|'(?:[^'\\\n]|\\.)*+'"
+_SIMPLE = r"""[^;"'\\()\[\]{}/]|/(?!\*)"""
+
+
+def _style_piece(depth: int = 6) -> str:
+    leaf = rf"{_COMMENT}|\\.|{_STRING}|{_SIMPLE}"
+    nested = rf"|\[(?:{leaf}|;)*+\]"
+    for _ in range(depth):
+        nested = rf"|\[(?:{leaf}|;)*+\]|\((?:{leaf}|;{nested})*+\)"
+    return f"(?:{leaf}{nested})"
+
+
+STYLE_PIECE = _style_piece()
+
+
+def style_declarations(style: Column) -> Column:
+    """The declarations of a ``style`` attribute as (name, text) structs: split at semicolons outside strings, brackets, escapes and
+    comments; comments go, blank declarations too, names are in lower case. Null for a malformed style: one with an open string, bracket
+    or comment, a stray bracket or brace, or an escape at its end."""
+    whole = style.rlike(rf"(?s)^(?:{STYLE_PIECE}|;)*+$")
+    parts = F.regexp_extract_all(style, F.lit(rf"(?s)({STYLE_PIECE}++)"), F.lit(1))
+    bare = F.transform(parts, lambda d: U.strip_ws(F.array_join(F.filter(F.regexp_extract_all(d, F.lit(rf"(?s)({STYLE_PIECE})"), F.lit(1)),
+                                                                           lambda x: ~F.startswith(x, F.lit("/*"))), "")))
+    name = lambda d: F.lower(U.strip_ws(F.substring_index(d, ":", 1)))
+    value = lambda d: U.strip_ws(d.substr(F.length(F.substring_index(d, ":", 1)) + 2, F.length(d)))
+    text = lambda d: F.when(F.contains(d, F.lit(":")), F.concat(name(d), F.lit(": "), value(d))).otherwise(d)
+    return F.when(whole, F.transform(F.filter(bare, lambda d: d != ""), lambda d: F.struct(name(d).alias("name"), text(d).alias("text"))))
+
+
 def strip_background(nodes: DataFrame, selector_list: str | None) -> DataFrame:
     """DOC-6: remove ``background`` / ``background-color`` declarations from ``style`` of the
     elements matching the comma-separated selector list; other declarations are kept as
-    ``name: value`` joined by ``;\\n``.  Elements without ``style`` are left alone."""
+    ``name: value`` joined by ``;\\n``.  Elements without ``style`` and malformed styles are left alone."""
     if not selector_list:
         return nodes
     selectors = S.parse_rules([selector_list])
     hit = S.row_local_pred(selectors)
-    if hit is None:  # descendant steps need windows
+    if hit is None:  # steps need windows
         nodes = S.hits(nodes, selectors, "__bg")
         hit = F.col("__bg")
-    # declarations end at a semicolon outside quotes and parentheses
-    parts = F.regexp_extract_all(F.col("attrs")["style"], F.lit(r"""(?s)((?:[^;"'(]|"[^"]*"|'[^']*'|\([^)]*\))+)"""), F.lit(1))
-    name = lambda d: F.lower(U.strip_ws(F.substring_index(d, ":", 1)))
-    kept = F.filter(F.filter(parts, lambda d: U.strip_ws(d) != ""), lambda d: ~name(d).isin("background", "background-color"))
-    value = lambda d: U.strip_ws(d.substr(F.length(F.substring_index(d, ":", 1)) + 2, F.length(d)))
-    norm = F.transform(kept, lambda d: F.when(F.contains(d, F.lit(":")), F.concat(name(d), F.lit(": "), value(d))).otherwise(U.strip_ws(d)))
     styled = hit & F.map_contains_key("attrs", "style")
-    new = set_attr(F.col("attrs"), "style", F.array_join(norm, ";\n"))
-    return nodes.withColumn("attrs", F.when(styled, new).otherwise(F.col("attrs"))).drop("__bg")
+    nodes = nodes.withColumn("__style", F.when(styled, style_declarations(F.col("attrs")["style"])))
+    kept = F.filter("__style", lambda d: ~d["name"].isin("background", "background-color"))
+    new = set_attr(F.col("attrs"), "style", F.array_join(F.transform(kept, lambda d: d["text"]), ";\n"))
+    return nodes.withColumn("attrs", F.when(F.col("__style").isNotNull(), new).otherwise(F.col("attrs"))).drop("__bg", "__style")
 
 
 # --------------------------------------------------------------------------- DOC-13 maps

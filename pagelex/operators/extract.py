@@ -210,8 +210,10 @@ def formulas(nodes: DataFrame) -> DataFrame:
 
     TeX comes from ``data-tex`` of ``span.mwe-math-element`` or from ``alt`` of a legacy math
     image; display = the element is the only meaningful child of its parent (other
-    children are whitespace-only text).
+    children are whitespace-only text). Parents are those of the tree as it is now, after red links and the like
+    were unwrapped.
     """
+    nodes = N.rebuild_parents(nodes)
     a = F.col("attrs")
     span = is_open() & (F.col("tag") == "span") & F.array_contains(classes(), "mwe-math-element") & F.map_contains_key(a, "data-tex")
     legacy = is_open() & (F.col("tag") == "img") & (F.array_contains(classes(), "tex") | F.array_contains(

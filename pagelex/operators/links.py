@@ -228,3 +228,30 @@ def links_table(nodes: DataFrame, dims: Dims, params: LinkParams | None = None)
     ).select("article_id", "pos", "tag", *([F.col("title")] if title else []), "l.attr", "l.raw_url")
     out = rewrite_urls(both, "raw_url", "new_url", dims, params, title_col=title, kind_col="kind")
     return out.drop("title") if title else out
+
+
+DEALT = 16  # parts that the links of one target are dealt into
+
+
+def link_targets(links: DataFrame) -> DataFrame:
+    """Where local links lead: article_id, target (the key, decoded), fragment, n_links, for each target of an article once. Links
+    within the page itself and links with a scheme or host are left out."""
+    url = F.col("new_url")
+    parts = U.split_url(url)
+    local = F.col("kind").isin("article", "self") & (F.coalesce(parts["scheme"], F.lit("")) == "") & (F.coalesce(parts["netloc"], F.lit("")) == "") & (parts["path"] != "")
+    found = links.where(local).select("article_id", U.unquote(parts["path"]).alias("target"), F.nullif(parts["fragment"], F.lit("")).alias("fragment"))
+    return found.groupBy("article_id", "target", "fragment").agg(F.count("*").alias("n_links"))
+
+
+def dangling_links(links: DataFrame, keys: DataFrame) -> DataFrame:
+    """EXT-1 against the keys: article_id, target, fragment, n_links of the local links that no key answers. A key with a fragment of
+    its own answers links to its target whatever their fragment, as a plain one does.
+
+    Targets are told apart once each (the links of a hub come down to a row a task) and matched with the distinct keys; only the
+    targets that stay open go back to their links, on (target, part), so that the links of an open hub are dealt over many tasks.
+    """
+    targets = link_targets(links)
+    open_ = targets.select("target").distinct().join(keys.select(F.col("key").alias("target")).distinct(), "target", "left_anti")
+    parts = open_.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
+    dealt = targets.withColumn("__part", F.pmod(F.xxhash64("article_id"), F.lit(DEALT)).cast("int"))
+    return dealt.join(parts, ["target", "__part"], "left_semi").select("article_id", "target", "fragment", "n_links")

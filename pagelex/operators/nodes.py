@@ -286,6 +286,50 @@ def has_enclosing(flag: Column, strict: bool = True) -> Column:
     return F.coalesce(reach >= F.col("pos"), F.lit(False))
 
 
+def of_parent(nodes: DataFrame, flags: dict[str, Column]) -> DataFrame:
+    """Adds what each flag is at the row's parent (null without one), for all flags by one window.
+
+    An element stands in the window of its siblings by ``parent_pos`` and, as a marker, in that of its children by ``pos``; the marker
+    carries the flags. Dropped subtrees leave the parents of what stays as they are; after elements were unwrapped,
+    ``rebuild_parents`` comes first.
+    """
+    own = {f"__own_{k}": v for k, v in flags.items()}
+    entry = lambda at, marker: F.struct(F.col(at).alias("at"), F.lit(marker).alias("marker"))
+    places = F.when(F.col("kind") == "open", F.array(entry("parent_pos", False), entry("pos", True))).otherwise(F.array(entry("parent_pos", False)))
+    rows = nodes.withColumns(own).select("*", F.explode(places).alias("__place"))
+    rows = rows.withColumns({"__at": F.col("__place.at"), "__marker": F.col("__place.marker")})
+    family = Window.partitionBy("article_id", "__at")
+    rows = rows.withColumns({k: F.max(F.when(F.col("__marker"), F.col(f"__own_{k}"))).over(family) for k in flags})
+    return rows.where(~F.col("__marker")).drop("__place", "__at", "__marker", *own)
+
+
+def rebuild_parents(nodes: DataFrame) -> DataFrame:
+    """``parent_pos``, ``depth``, ``ptag``, ``pclass`` and ``pclose`` anew from the intervals: each row's parent is the nearest element
+    around it that is still there, whatever was unwrapped.
+
+    An element gives two markers, where it opens and where it closes. The running sum of the markers is the depth; the parent of a row
+    at depth d is the last element that opened at depth d - 1, found by a window over (article, depth) in which an element's opening marker
+    stands one deeper than itself. Rows that close nothing (text, void elements) never hold another.
+    """
+    zero = F.lit(0)
+    holds = (F.col("kind") == "open") & (F.col("close_pos") > F.col("pos"))
+    event = lambda at, order, by: F.struct(at.cast("long").alias("at"), F.lit(order).alias("order"), F.lit(by).alias("by"))
+    # at one place: an element closes before, and opens its inside after, the rows there
+    row, opens, closes = event(F.col("pos"), 1, 0), event(F.col("pos"), 2, 1), event(F.col("close_pos"), 0, -1)
+    rows = nodes.select("*", F.explode(F.when(holds, F.array(row, opens, closes)).otherwise(F.array(row))).alias("__e"))
+    order = Window.partitionBy("article_id").orderBy("__e.at", "__e.order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("__depth", F.sum("__e.by").over(order)).where(F.col("__e.order") != zero)
+    level = Window.partitionBy("article_id", "__depth").orderBy("__e.at", "__e.order").rowsBetween(Window.unboundedPreceding, -1)
+    me = F.struct(F.col("pos").alias("p"), F.col("tag").alias("t"), F.col("attrs")["class"].alias("c"), F.col("close_pos").alias("e"))
+    rows = rows.withColumn("__up", F.last(F.when(F.col("__e.order") == 2, me), ignorenulls=True).over(level)).where(F.col("__e.order") == 1)
+    inside = (F.col("kind") != "doc") & (F.col("__depth") > 0)
+    new = {
+        "parent_pos": F.when(inside, F.col("__up.p")).otherwise(F.lit(-1)), "depth": F.when(F.col("kind") == "doc", F.col("depth")).otherwise(F.col("__depth")).cast("int"),
+        "ptag": F.when(inside, F.col("__up.t")), "pclass": F.when(inside, F.col("__up.c")), "pclose": F.when(inside, F.col("__up.e")).otherwise(F.lit(-1)),
+    }
+    return rows.withColumns({k: v.cast(nodes.schema[k].dataType) for k, v in new.items()}).drop("__e", "__depth", "__up")
+
+
 # --------------------------------------------------------------------------- serialise
 
 

@@ -11,13 +11,16 @@ Supported grammar (anything else is rejected when the rule is compiled, before a
 Evaluation on the node table:
 
 * a compound is a row-local predicate on (tag, attrs) of an ``open`` row;
-* ``A > B`` (A right before the subject) uses the parent fields ``ptag`` / ``pclass`` that the
-  tokenizer emits, so A may use only a tag and classes there;
-* a descendant step ``A B`` is "some ancestor matches A": a running max over the close
-  positions of A rows (one window column per step, all on the article window);
+* ``A > B`` alone, with a tag and classes only in A, uses the parent fields ``ptag`` / ``pclass`` that the
+  tokenizer emits;
+* any other ``A > B`` takes from the parent's row whether the chain up to A matches there (``nodes.of_parent``: one
+  window by parent for all selectors of a pass), so chains of any depth and kind are exact;
+* a descendant step ``A B`` is "some ancestor matches the chain up to A": a running max over the close
+  positions of those rows (one window column per step, all on the article window);
 * ``:empty`` needs the next row (``lead``); ``:contains`` needs a forward search over the
   article's text rows, done with a descending-order window.  Both are *structural*: they
-  depend on earlier drops, so rules using them get their own pass.
+  depend on earlier drops, so rules using them get their own pass; the alternatives of one rule
+  (a comma list) see the same tree.
 """
 
 from __future__ import annotations
@@ -141,24 +144,21 @@ def parse_selector(text: str) -> Selector:
         pos = m.end()
     subject = compounds[-1]
     chain = [(combs[i], compounds[i]) for i in range(len(compounds) - 2, -1, -1)]
-    if chain and chain[0][0] == ">" and not chain[0][1].parent_safe:
-        raise SelectorError(f"'>' needs a tag/class-only parent compound: {text!r}")
-    if any(comb == ">" for comb, _ in chain[1:]):
-        raise SelectorError(f"'>' only right before the subject: {text!r}")
     for comb, c in chain:
         if c.structural:
             raise SelectorError(f":empty/:contains only on the subject: {text!r}")
     return Selector(text, subject, chain)
 
 
+def parse_groups(rules: list[str]) -> list[list[Selector]]:
+    """The alternatives of each rule (a comma list), in rule order."""
+    groups = [[parse_selector(part) for part in _split_commas(r) if part.strip()] for r in rules]
+    return [g for g in groups if g]
+
+
 def parse_rules(rules: list[str]) -> list[Selector]:
-    """Each rule may be a comma list; the result is flat, in rule order."""
-    out = []
-    for r in rules:
-        for part in _split_commas(r):
-            if part.strip():
-                out.append(parse_selector(part))
-    return out
+    """All alternatives of all rules, in order."""
+    return [s for g in parse_groups(rules) for s in g]
 
 
 def _split_commas(s: str) -> list[str]:
@@ -270,77 +270,87 @@ def _contains_texts(s: Selector):
 def hits(nodes: DataFrame, sels: list[Selector], out_col: str = "__hit") -> DataFrame:
     """``out_col`` = some selector matches the row (open rows only).
 
-    Ancestor steps are evaluated from the farthest one towards the subject; each descendant
-    step is one ancestor-flag window column.  All windows share the article window, so no
-    extra exchange or sort is planned.  A ``>`` step stands right before the subject (others are
-    refused when the rule is read).
+    All selectors are evaluated side by side, each from its farthest step towards the subject: ``m`` says where the chain so far
+    matches. Descendant steps are one ancestor-flag window column each; the child steps that are due at one time share one
+    window by parent. All windows are on the article's partitioning, so no exchange is planned.
     """
     nodes, struct_cols = with_structure(nodes, sels)
-    preds, tmp = [], []
-    for si, s in enumerate(sels):
-        m: Column | None = None
-        n = len(s.chain)
-        for k in range(n - 1, -1, -1):
-            base = _node_pred(s.chain[k][1], struct_cols)
-            if m is not None:
-                anc = f"__anc_{si}_{k}"
-                nodes = nodes.withColumn(anc, N.has_enclosing(m))
-                tmp.append(anc)
-                base = base & F.col(anc)
-            name = f"__m_{si}_{k}"
-            nodes = nodes.withColumn(name, base)
-            tmp.append(name)
-            m = F.col(name)
-        subj = _node_pred(s.subject, struct_cols)
-        if n:
-            comb, parent = s.chain[0]
-            if comb == ">":
-                subj = subj & compound_pred(parent, F.col("ptag"), F.create_map(), F.col("pclass"))
-            if comb != ">" or n > 1:
-                anc = f"__anc_{si}_s"
-                nodes = nodes.withColumn(anc, N.has_enclosing(m))
-                tmp.append(anc)
-                subj = subj & F.col(anc)
-        preds.append(subj)
+    tmp: list[str] = []
+
+    def keep(name: str, value: Column) -> Column:
+        nonlocal nodes
+        nodes = nodes.withColumn(name, value)
+        tmp.append(name)
+        return F.col(name)
+
+    done: dict[int, Column] = {}
+    open_: dict[int, tuple[Column, list[tuple[str, Compound]]]] = {}
+    for i, s in enumerate(sels):
+        local = _local(s, struct_cols)
+        if local is not None:
+            done[i] = local
+            continue
+        (_, far), left = s.chain[-1], [(s.chain[k][0], s.chain[k - 1][1] if k else s.subject) for k in range(len(s.chain) - 1, -1, -1)]
+        open_[i] = keep(f"__m_{i}", _node_pred(far, struct_cols)), left
+    step = 0
+    while open_:
+        step += 1
+        for i, (m, left) in list(open_.items()):
+            while left and left[0][0] != ">":
+                around = keep(f"__anc_{i}_{len(left)}", N.has_enclosing(m))
+                m = keep(f"__m_{i}_{len(left)}", _node_pred(left[0][1], struct_cols) & around)
+                left = left[1:]
+            open_[i] = m, left
+            if not left:
+                done[i] = open_.pop(i)[0]
+        if open_:
+            nodes = N.of_parent(nodes, {f"__up_{step}_{i}": m for i, (m, _) in open_.items()})
+            tmp += [f"__up_{step}_{i}" for i in open_]
+            for i, (_, left) in list(open_.items()):
+                below = _node_pred(left[0][1], struct_cols) & F.coalesce(F.col(f"__up_{step}_{i}"), F.lit(False))
+                open_[i] = keep(f"__c_{i}_{len(left)}", below), left[1:]
     hit = F.lit(False)
-    for p in preds:
-        hit = hit | p
+    for i in range(len(sels)):
+        hit = hit | done[i]
     nodes = nodes.withColumn(out_col, hit)
     drop = tmp + [c for c in ("__empty",) if c in nodes.columns] + list(struct_cols.values())
     return nodes.drop(*drop)
 
 
+def _local(s: Selector, struct_cols=None) -> Column | None:
+    """The selector as a Column of the row alone (and its structural columns); None if it needs other rows."""
+    if not s.chain:
+        return _node_pred(s.subject, struct_cols)
+    if len(s.chain) == 1 and s.chain[0][0] == ">" and s.chain[0][1].parent_safe:
+        return _node_pred(s.subject, struct_cols) & compound_pred(s.chain[0][1], F.col("ptag"), F.create_map(), F.col("pclass"))
+    return None
+
+
 def row_local_pred(sels: list[Selector]) -> Column | None:
-    """One Column for selectors that need no window (no chain except ``A > B``, no structure);
-    ``None`` when some selector needs windows."""
-    preds = []
-    for s in sels:
-        if s.structural or (s.chain and not (len(s.chain) == 1 and s.chain[0][0] == ">")):
-            return None
-        p = _node_pred(s.subject)
-        if s.chain:
-            p = p & compound_pred(s.chain[0][1], F.col("ptag"), F.create_map(), F.col("pclass"))
-        preds.append(p)
+    """One Column for selectors that need no other row; ``None`` when some selector does."""
+    preds = [None if s.structural else _local(s) for s in sels]
+    if any(p is None for p in preds):
+        return None
     out = F.lit(False)
     for p in preds:
         out = out | p
     return out
 
 
-def plan_passes(sels: list[Selector]) -> list[list[Selector]]:
-    """Group rules into passes so each structural rule sees all earlier drops.
+def plan_passes(groups: list[list[Selector]]) -> list[list[Selector]]:
+    """Rules (each a list of alternatives) in passes, so that each structural rule sees all earlier drops.
 
     A pass is: [structural rule] + the non-structural rules after it (those do not depend on
     the tree state, and the structural rule must not see them yet).  Leading non-structural
-    rules form the first pass.
+    rules form the first pass. The alternatives of a rule always share a pass.
     """
     passes: list[list[Selector]] = []
     cur: list[Selector] = []
-    for s in sels:
-        if s.structural and cur:
+    for alternatives in groups:
+        if any(s.structural for s in alternatives) and cur:
             passes.append(cur)
             cur = []
-        cur.append(s)
+        cur = cur + alternatives
     if cur:
         passes.append(cur)
     return passes

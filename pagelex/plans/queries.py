@@ -7,9 +7,7 @@ Column names and types agree between both sides.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo as G
@@ -25,19 +23,7 @@ from ..sources import siteinfo as SI
 from . import dictionary as DI
 from . import fixtures as FX
 from .convert import CSS_LINKS, ConvertOptions, convert_articles
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql.strip()
-        return fn
-    return deco
-
+from .registry import ORACLE, QUERIES, query  # noqa: F401
 
 # ---------------------------------------------------------------- SQL building blocks
 
@@ -799,3 +785,6 @@ def dict_lookup(spark, d):
     req = p.where(F.col("page_id") % 3 == 0).select(F.concat(F.lit("R"), F.col("page_id").cast("string")).alias("key")) \
         .unionByName(p.where(F.col("page_id") % 3 == 1).select(F.col("url").alias("key")))
     return DI.lookup(req, keys).select("key", "content_id")
+
+
+from . import document_queries, product_queries  # noqa: E402, F401  (they register themselves)

@@ -131,13 +131,6 @@ def test_unwrapped_elements_hand_over_their_children(spark):
     assert body(spark, '<ul class="menu"><foo><li>x</li></foo>y</ul>', rules=["ul.menu > li"]) == '<div><ul class="menu">y</ul></div>'
 
 
-def test_deep_child_steps_are_refused():
-    from pagelex.operators.selectors import SelectorError
-
-    with pytest.raises(SelectorError):
-        S.parse_rules(["div.a > b > i"])
-
-
 def geo(href):
     return f'<a href="geo:{href}"><img class="a2-geo-link-icon" src="~%2Fimages%2FGlobe.svg"></a>'
 
