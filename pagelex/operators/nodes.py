@@ -391,27 +391,25 @@ def serialise(nodes: DataFrame, wrap_tag: str | None = "div", extra_aggs: list |
 
 
 def new_node(nodes: DataFrame, **vals) -> Column:
-    """A struct with the node table's columns for an inserted row (unset columns NULL)."""
-    fields = []
-    for f in nodes.schema.fields:
+    """A struct with the node table's columns but ``article_id`` for an inserted row (unset columns NULL)."""
+    fields = [f for f in nodes.schema.fields if f.name != "article_id"]
+    # the unset columns by one expression, so that a plan with many inserted rows is built quickly
+    out = F.expr("named_struct(" + ", ".join(f"'{f.name}', CAST(NULL AS {f.dataType.simpleString()})" for f in fields) + ")")
+    for f in fields:
         v = vals.get(f.name)
-        if v is None:
-            v = F.col(f.name) if f.name == "article_id" else F.lit(None).cast(f.dataType)
-        elif not isinstance(v, Column):
-            v = F.lit(v)
-        fields.append(v.cast(f.dataType).alias(f.name))
-    return F.struct(*fields)
+        if v is not None:
+            out = out.withField(f.name, (v if isinstance(v, Column) else F.lit(v)).cast(f.dataType))
+    return out
 
 
 def with_inserts(nodes: DataFrame, new_rows: Column) -> DataFrame:
-    """Add rows: ``new_rows`` is an array of ``new_node`` structs per row (or NULL).
+    """Add rows: ``new_rows`` is an array of ``new_node`` structs of these nodes per row (or NULL).
 
     ``explode`` keeps the article partitioning, so inserted rows need no exchange; the next
     window re-sorts locally.
     """
     cols = [c for c in nodes.columns if c != "article_id"]
-    me = F.struct(*[F.col(c) for c in cols])
-    new_rows = F.transform(new_rows, lambda r: F.struct(*[r[c].alias(c) for c in cols]))
+    me = F.expr("struct(" + ", ".join(f"`{c}`" for c in cols) + ")")
     rows = F.when(new_rows.isNull() | (F.size(new_rows) == 0), F.array(me)).otherwise(F.concat(F.array(me), new_rows))
     # article_id stays the same attribute, so the article partitioning is still known
-    return nodes.select("article_id", F.explode(rows).alias("__r")).select("article_id", *[F.col("__r")[c].alias(c) for c in cols])
+    return nodes.select("article_id", F.explode(rows).alias("__r")).selectExpr("article_id", *[f"__r.`{c}` AS `{c}`" for c in cols])

@@ -15,6 +15,8 @@ def get_spark(master: str | None = None, app: str = "pagelex", partitions: int =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # the call site of each column is not sent to the JVM: it is half of the time it takes to build a deep plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # HTML articles can be large: keep Arrow batches into the tokenizer small.
