@@ -1,19 +1,21 @@
 """Operator 4, line dedup: an exact set-similarity join of the corpus's lines.
 
-A line's tokens are its distinct 5-word shingles (A-Z in lower case, words as ``[^\\x20\\x09-\\x0D]+``). Two
-lines match when ``100 * common >= 75 * together``; a line goes when a line at an earlier position
-(doc_id, line number) matches it. Lines of fewer than ``least`` words always stay: ``MIN_WORDS`` in the query, as its SQL
-says, 1 in the pipeline. A line of one to four words has its whole sequence as its one token, so only its copies match it.
+A line's tokens are its distinct 5-word shingles (A-Z in lower case, words as ``[^\\x20\\x09-\\x0D]+``), of a line of one to four
+words its whole sequence as one, so that only its copies match it. Two lines match when ``100 * common >= 75 * together``; a line goes
+when a line at an earlier position (doc_id, line number) matches it. Lines without words always stay.
 
 Copies of a line are one class, so that a line which a third of all documents share is one member of the
 join. Classes meet through their prefixes: tokens in order of rarity, of which similar sets share one
 at least; the length and positional filters follow in the join's condition; what is left is verified on the full sets.
 First each class is compared with the earliest of each token it shares, which settles most members of a group of
-near copies in one comparison each; only classes that this leaves standing are joined with all that share a token.
+near copies in one comparison each. Of what this leaves standing each pair meets once, and a class also meets those that it settled
+already; a sketch of each set (a bit for each token) bounds what two sets share before they become a pair.
 
 Defined results: a null text has no lines and stays null; empty texts and lines stay as they are; a null doc_id
 comes after all others; lines at the same position (repeated rows) don't remove each other; of ties the
-earliest position stays; extra columns are kept by ``without_repeated_lines``.
+earliest position stays; extra columns are kept by ``without_repeated_lines``, whatever their names. Very long texts and lines are
+read whole; sizes from 2**24 - 1 shingles on count as unknown in the filters, which then let pass.
+Shingles are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -24,16 +26,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelex.llm import sets, tokens
-from pagelex.llm.common import written
+from pagelex.llm.common import let, written
 
 PERCENT = 75
-MIN_WORDS = 5
 WORDS = 5
 LAST = (1 << 63) - 1
+SIZE_BITS = 24
+UNKNOWN = (1 << SIZE_BITS) - 1
+SKETCH = 8  # words of 64 bits
 
 
-def _lines(data: np.ndarray, offsets: np.ndarray, least: int):
-    """Token hashes of the lines that count, each line's first one, and its text and number."""
+def _lines(data: np.ndarray, offsets: np.ndarray):
+    """Token hashes of the lines with words, each line's first one, and its text and number."""
     runs = tokens.Runs(tokens.lower_ascii(data), offsets, tokens.not_space())
     breaks = np.concatenate([[0], np.cumsum(data == 10)])
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(runs.first))
@@ -42,63 +46,77 @@ def _lines(data: np.ndarray, offsets: np.ndarray, least: int):
     new[1:] = (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
     first = np.append(np.flatnonzero(new), len(doc))
     h, at = tokens.shingle_hashes(runs.hashes(), first, WORDS)
-    enough = np.diff(first) >= least
-    keep = np.repeat(enough, np.diff(at))
-    head = first[:-1][enough]
-    return h[keep], np.concatenate([[0], np.cumsum(np.diff(at)[enough])]), doc[head], line[head]
+    return h, at, doc[first[:-1]], line[first[:-1]]
 
 
-def repeated(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """doc_id, line_no (from 0) of the lines that go, and the position of an earlier line that each
-    matches: first_doc_id, first_line_no."""
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text")
-    rank = sets.rarity(docs, lambda data, offsets: _lines(data, offsets, least)[0])
+def repeated(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash (xxhash64 of the row's text), line_no (from 0) of the lines that go, and the position of an earlier line that
+    each matches: first_doc_id, first_line_no."""
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    rank = sets.rarity(docs, lambda data, offsets: _lines(data, offsets)[0])
     held = docs.sparkSession.sparkContext.broadcast(rank)
 
     def line_sets(data, offsets):
-        return sets.distinct_sorted(*_lines(data, offsets, least)[:2], held.value)
+        return sets.distinct_sorted(*_lines(data, offsets)[:2], held.value)
 
     def run(batches):
         seen = set()
         for part, data, offsets in tokens.blocks(batches):
-            h, at, doc, line = _lines(data, offsets, least)
+            h, at, doc, line = _lines(data, offsets)
             tok, first = sets.distinct_sorted(h, at, held.value)
             key, n = sets.keys(tok, first), np.diff(first)
             fresh = np.fromiter((k not in seen and not seen.add(k) for k in key.tolist()), bool, len(key))
             yield pa.RecordBatch.from_arrays([
-                pa.array(key), part.column("doc_id").take(pa.array(doc)), pa.array(line, pa.int32()), pa.array(n, pa.int32()),
+                pa.array(key), part.column("doc_id").take(pa.array(doc)), part.column("text_hash").take(pa.array(doc)), pa.array(line, pa.int32()), pa.array(n, pa.int32()),
                 sets.lists(tok, first, sets.prefix_sizes(n, PERCENT), fresh),
-            ], ["key", "doc_id", "line_no", "n", "prefix"])
+            ], ["key", "doc_id", "text_hash", "line_no", "n", "prefix"])
 
-    lines = written(docs.mapInArrow(run, "key long, doc_id long, line_no int, n int, prefix array<long>"), "lines")
+    lines = written(docs.mapInArrow(run, "key long, doc_id long, text_hash long, line_no int, n int, prefix array<long>"), "lines")
     classes = lines.groupBy("key").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
     # a posting's place: document order in 15 bits (a hint which line comes first), the set's size and the token's position
     low, high = docs.where(F.col("doc_id") != LAST).agg(F.min("doc_id"), F.max("doc_id")).first()
     order = F.when(F.col("doc_id") == LAST, 32767).otherwise((F.col("doc_id") - F.lit(low or 0)) / (float((high or 0) - (low or 0)) + 1) * 32767).cast("long")
-    place = order * (1 << 48) + F.col("n").cast("long") * (1 << 24) + F.col("pos")
+    place = order * (1 << 2 * SIZE_BITS) + F.least(F.col("n"), F.lit(UNKNOWN)).cast("long") * (1 << SIZE_BITS) + F.least(F.col("pos"), F.lit(UNKNOWN))
     posting = lines.where("prefix is not null").select("key", "n", "doc_id", F.posexplode_outer("prefix").alias("pos", "tok")).select("tok", "key", place.alias("place"))
     token = Window.partitionBy("tok")
+    earliest = token.orderBy("place", "key").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     shared = written(
-        posting.withColumns({"least": F.min("key").over(token), "most": F.max("key").over(token), "head": F.min(F.struct("place", "key")).over(token)})
-        .where("least < most").select("tok", "key", "place", "head"),
+        posting.withColumns({"least": F.min("key").over(earliest), "most": F.max("key").over(earliest), "head": F.first("key").over(earliest), "head_place": F.first("place").over(earliest)})
+        .where("least < most")
+        # a class that several tasks met is one posting
+        .groupBy("tok", "key").agg(F.min("place").alias("place"), F.first("head").alias("head"), F.first("head_place").alias("head_place")),
         "shared",
     )
-    found = written(sets.sets_of(docs, shared.select("key"), "key", line_sets).select("key", "tokens"), "sets")
-    size = lambda c: F.shiftright(c, 24).bitwiseAND((1 << 24) - 1)
-    left = lambda c: size(c) - F.col(c).bitwiseAND((1 << 24) - 1)  # noqa: E731  tokens from the shared one on
-    fits = (100 * F.least(size("pa"), size("pb")) >= PERCENT * F.greatest(size("pa"), size("pb"))) & (
-        (100 + PERCENT) * F.least(left("pa"), left("pb")) >= PERCENT * (size("pa") + size("pb"))
+    found = written(sets.sets_of(docs, shared.select("key"), "key", line_sets, sketch=SKETCH).select("key", "tokens", "sketch"), "sets")
+    size = lambda c: F.shiftright(c, SIZE_BITS).bitwiseAND(UNKNOWN)
+    left = lambda c: size(c) - F.col(c).bitwiseAND(UNKNOWN)  # noqa: E731  tokens from the shared one on
+    fits = (F.greatest(size("pa"), size("pb")) == UNKNOWN) | (
+        (100 * F.least(size("pa"), size("pb")) >= PERCENT * F.greatest(size("pa"), size("pb")))
+        & ((100 + PERCENT) * F.least(left("pa"), left("pb")) >= PERCENT * (size("pa") + size("pb")))
     )
-    stars = shared.select(F.col("key").alias("a"), F.col("place").alias("pa"), F.col("head.key").alias("b"), F.col("head.place").alias("pb")).where(fits & (F.col("a") != F.col("b")))
+    stars = shared.select(F.col("key").alias("a"), F.col("place").alias("pa"), F.col("head").alias("b"), F.col("head_place").alias("pb")).where(fits & (F.col("a") != F.col("b")))
     links = _links(stars, classes, found)
-    a = shared.select("tok", F.col("key").alias("a"), F.col("place").alias("pa")).join(links.select("a").distinct(), "a", "left_anti")
-    b = shared.select("tok", F.col("key").alias("b"), F.col("place").alias("pb"))
-    pairs = a.join(b, "tok").where(fits & (F.col("a") != F.col("b")))
+    # the others: those that stand meet each other once, and those that went
+    standing = found.select("key", "sketch").join(links.select(F.col("a").alias("key"), F.lit(True).alias("gone")).distinct(), "key", "left")
+    posted = shared.select("tok", "key", "place").join(standing, "key")
+    a = posted.where("gone is null").select("tok", F.col("key").alias("a"), F.col("place").alias("pa"), F.col("sketch").alias("sa"))
+    b = posted.select("tok", F.col("key").alias("b"), F.col("place").alias("pb"), F.col("sketch").alias("sb"), "gone")
+    once = (F.col("a") != F.col("b")) & (F.col("gone").isNotNull() | (F.col("a") < F.col("b")))
+    pairs = a.join(b, "tok").where(once & fits & ((F.greatest(size("pa"), size("pb")) == UNKNOWN) | _may_match(size("pa"), size("pb"))))
     links = links.union(_links(pairs, classes, found))
     near = links.groupBy(F.col("a").alias("key")).agg(F.min("first").alias("other"))
     best = classes.join(near, "key", "left").select("key", F.least("first", "other").alias("first"))
-    gone = lines.select("key", "doc_id", "line_no").join(best, "key").where(F.struct("doc_id", "line_no") > F.col("first"))
-    return gone.select(F.nullif("doc_id", F.lit(LAST)).alias("doc_id"), "line_no", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"))
+    gone = lines.select("key", "doc_id", "text_hash", "line_no").join(best, "key").where(F.struct("doc_id", "line_no") > F.col("first"))
+    return gone.select(F.nullif("doc_id", F.lit(LAST)).alias("doc_id"), "text_hash", "line_no", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"))
+
+
+def _may_match(na, nb):
+    """Whether sets of these sizes may share enough by their sketches: a set's tokens beyond its ones fell together, any of them may be
+    shared, the others only where both have a one."""
+    ones = lambda c: F.aggregate(c, F.lit(0), lambda s, w: s + F.bit_count(w))
+    both = ones(F.zip_with("sa", "sb", lambda x, y: x.bitwiseAND(y)))
+    most = lambda common: F.least(common + na - ones(F.col("sa")), common + nb - ones(F.col("sb")))
+    return let(both, lambda common: (100 + PERCENT) * most(common) >= PERCENT * (na + nb))
 
 
 def _links(pairs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
@@ -113,12 +131,16 @@ def _links(pairs: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     return written(links.where("own <> other").select(ordered.alias("x")).select("x.*").distinct(), "links")
 
 
-def without_repeated_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """The documents, of all their columns, without the lines that an earlier line matches."""
-    gone = repeated(docs, least).groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
-    kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    mine = docs.select("*").alias("d").join(gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")), "left")
-    text = F.when(F.col("g._gone").isNull(), F.col("d.text")).otherwise(kept)
+def without_repeated_lines(docs: DataFrame, keep_emptied: bool = True) -> DataFrame:
+    """The documents, of all their columns, without the lines that an earlier line matches; with ``keep_emptied`` false also without the
+    rows that lose every line with a word. Rows are told apart by id and text, so that
+    several texts of one id, or of none, each lose their own lines only."""
+    gone = repeated(docs).groupBy("doc_id", "text_hash").agg(F.collect_set("line_no").alias("lines"))
+    kept = F.array_join(F.filter(F.split("d.text", "\n", -1), lambda x, i: ~F.array_contains("g.lines", i)), "\n")
+    mine = docs.select("*").alias("d").join(gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.xxhash64("d.text") == F.col("g.text_hash")), "left")
+    text = F.when(F.col("g.lines").isNull(), F.col("d.text")).otherwise(kept)
+    if not keep_emptied:
+        mine = mine.where(F.col("g.lines").isNull() | kept.rlike(r"[^\x20\x09-\x0D]"))
     return mine.select(*[text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns])
 
 
@@ -129,8 +151,8 @@ def query(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     gone = repeated(docs).groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
     count = docs.select("doc_id", F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long").alias("n_lines"))
-    return count.join(gone, "doc_id", "left").select(
-        "doc_id", "n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+    return count.alias("d").join(gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")), "left").select(
+        "d.doc_id", "n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce(F.array_join(F.transform("gone", lambda x: x.cast("string")), " "), F.lit("")).alias("removed"),
     )
 
@@ -139,7 +161,8 @@ ORACLE = r"""
 WITH line AS (
   SELECT doc_id, i - 1 AS line_no, list_filter(regexp_split_to_array(translate(lines[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
   FROM (SELECT doc_id, string_split(text, chr(10)) AS lines, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
-s AS (SELECT doc_id, line_no, list_sort(list_distinct([array_to_string(w[j:j + 4], ' ') FOR j IN range(1, len(w) - 3)])) AS t FROM line WHERE len(w) >= 5),
+s AS (SELECT doc_id, line_no, list_sort(list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE [array_to_string(w[j:j + 4], ' ') FOR j IN range(1, len(w) - 3)] END)) AS t FROM line WHERE len(w) >= 1),
 class AS (SELECT t, len(t) AS n, row_number() OVER () AS k, min((doc_id, line_no)) AS first FROM s GROUP BY t),
 tok AS (SELECT k, n, unnest(t) AS x FROM class),
 df AS (SELECT x, count(*) AS f FROM tok GROUP BY x),
@@ -151,7 +174,7 @@ link AS (SELECT a, b FROM pair JOIN class ca ON ca.k = a JOIN class cb ON cb.k =
 best AS (SELECT k, least(c.first, coalesce(m.first, c.first)) AS first FROM class c
   LEFT JOIN (SELECT a, min(first) AS first FROM link JOIN class ON k = b GROUP BY a) m ON m.a = c.k),
 gone AS (SELECT doc_id, list(DISTINCT line_no ORDER BY line_no) AS g FROM s JOIN class USING (t) JOIN best USING (k) WHERE (doc_id, line_no) > best.first GROUP BY doc_id)
-SELECT doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(g), 0) AS BIGINT) AS n_removed,
+SELECT documents.doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(g), 0) AS BIGINT) AS n_removed,
   coalesce(array_to_string(g, ' '), '') AS removed
-FROM documents LEFT JOIN gone USING (doc_id)
+FROM documents LEFT JOIN gone ON documents.doc_id IS NOT DISTINCT FROM gone.doc_id
 """

@@ -139,11 +139,16 @@ def _sets(docs: DataFrame, pairs: DataFrame, doc_sets) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows, of all their columns, whose doc_id is the smallest of its component, repeated rows of an id and
-    text once; rows of null id are kept."""
-    keep = linked(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"])
-    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    """The rows, of all their columns, of which one of each component stays: the one of the smallest doc_id (null after all others), of
+    several texts of an id the one of the smallest hash. Rows count, not ids: a repeated id keeps a row in each of
+    its components, repeated rows stay once. Rows without words stay, all of them."""
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d")).withColumn("id", F.xxhash64("d.doc_id", "d.text"))
+    place = F.struct(F.col("d.doc_id").isNull().alias("none"), F.col("d.doc_id").alias("doc_id"), F.col("id"))
+    of_row = linked(row.select(F.col("id").alias("doc_id"), F.col("d.text").alias("text"))).where("n_shingles > 0").select(F.col("doc_id").alias("id"), "component_id").distinct()
+    first = row.select("id", place.alias("place")).join(of_row, "id").groupBy("component_id").agg(F.min("place").alias("place"))
+    kept = row.join(first.select(F.col("place.id").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+    wordless = F.coalesce(~F.col("d.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
+    return kept.where(~wordless).unionByName(row.where(wordless)).select("d.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -107,9 +107,18 @@ def bitmaps(tok: np.ndarray, first: np.ndarray, pick: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(out)))
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, column: str, sets, as_bits: bool = False) -> DataFrame:
+def sketches(tok: np.ndarray, first: np.ndarray, words: int) -> np.ndarray:
+    """Each set as a bitmap of ``words`` words, bit ``token % bits``: one row of words a set."""
+    out = np.zeros((len(first) - 1) * words, np.uint64)
+    at = tok & np.uint64(64 * words - 1)
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first)) * words
+    np.bitwise_or.at(out, owner + (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    return out.view(np.int64).reshape(-1, words)
+
+
+def sets_of(docs: DataFrame, ids: DataFrame, column: str, sets, as_bits: bool = False, sketch: int = 0) -> DataFrame:
     """key, n, tokens (or bits) of the sets whose keys are in ``ids``, made again from the texts; ``sets(data,
-    offsets)`` gives a block's (tokens, first). Each task sends a set once."""
+    offsets)`` gives a block's (tokens, first). Each task sends a set once. With ``sketch``, also its ``sketches`` of that many words."""
     held = docs.sparkSession.sparkContext.broadcast(bloom(ids, column))
     name = "bits" if as_bits else "tokens"
 
@@ -122,11 +131,15 @@ def sets_of(docs: DataFrame, ids: DataFrame, column: str, sets, as_bits: bool =
             pick = np.array([i for i in pick if key[i] not in seen and not seen.add(key[i])], np.int64)
             if len(pick):
                 full = bitmaps(tok, first, pick) if as_bits else lists(tok, first, np.where(np.isin(np.arange(len(n)), pick), n, 0)).take(pa.array(pick))
-                yield pa.RecordBatch.from_arrays([pa.array(key[pick]), pa.array(n[pick], pa.int32()), full], ["key", "n", name])
+                columns = [pa.array(key[pick]), pa.array(n[pick], pa.int32()), full]
+                if sketch:
+                    words = sketches(tok, first, sketch)[pick].ravel()
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, sketch), pa.int32()), pa.array(words)))
+                yield pa.RecordBatch.from_arrays(columns, ["key", "n", name, *(["sketch"] if sketch else [])])
 
-    made = docs.select("text").mapInArrow(run, f"key long, n int, {name} array<long>")
+    made = docs.select("text").mapInArrow(run, f"key long, n int, {name} array<long>" + (", sketch array<long>" if sketch else ""))
     wanted = ids.select(F.col(column).alias("key")).distinct()
-    return made.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("n").alias("n"), F.first(name).alias(name))
+    return made.join(wanted, "key", "left_semi").groupBy("key").agg(*[F.first(c).alias(c) for c in made.columns if c != "key"])
 
 
 def most_shared(bits: Column, n: Column, other: Column) -> Column:

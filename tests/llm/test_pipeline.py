@@ -41,3 +41,10 @@ def test_short_repeated_lines_go(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     got = {r.doc_id: r.text for r in corpus_pipeline.without_repeated_lines(spark, docs, D).collect()}
     assert got == {0: texts[0], 1: "\nright to left", 2: "see also\n \nfour words are here", 3: "four words are here now"}
+
+
+def test_documents_that_lose_every_line_go(spark):
+    rows = [(1, "a line of its own\nyes"), (2, "Yes\n\nA line of its own"), (3, ""), (4, None), (5, " \n"), (6, "yes\nno")]
+    docs = spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "doc_id long, text string, n_chars long, before string")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.without_repeated_lines(spark, docs, D).collect()}
+    assert got == {1: (rows[0][1], 21), 3: ("", 0), 4: (None, None), 5: (" \n", 2), 6: ("no", 2)}

@@ -61,18 +61,36 @@ def test_ngram_join_chains_and_copies(spark):
 
 
 def test_one_of_each(docs, rows):
+    """One row of each component, by row: repeated and null ids are judged by their texts; rows without words all stay."""
     kept = ngram_join.one_of_each(docs)
     assert kept.columns == docs.columns
-    first = {}
-    for (doc_id, text), (_, n, component) in zip(rows, components(rows), strict=True):
-        if doc_id is not None and doc_id == component:
-            first[doc_id, text] = 1
-    assert order((r.doc_id, r.text) for r in kept.collect()) == order([*first, *[r for r in rows if r[0] is None]])
+    sets = [shingles(t) for _, t in rows]
+    label = list(range(len(rows)))
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if similar(sets[a], sets[b]):
+            old, new = label[b], label[a]
+            label = [new if x == old else x for x in label]
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert order(r for r in got if not words(r[1])) == order(r for r in rows if not words(r[1]))
+    groups = [[rows[i] for i in range(len(rows)) if label[i] == c and sets[i]] for c in set(label)]
+    least = [min((r[0] is None, r[0] or 0) for r in g) for g in groups if g]
+    assert sorted((r[0] is None, r[0] or 0) for r in got if words(r[1])) == sorted(least)
+    assert all(r in rows for r in got)
+
+
+def test_one_of_each_of_repeated_and_null_ids(spark):
+    rng = random.Random(4)
+    a, b, c = (prose(rng, 40) for _ in range(3))
+    rows = [(1, a), (1, b), (2, a), (None, a), (None, c), (None, c), (3, ""), (3, ""), (None, None), (4, b), (1, b)]
+    frame = spark.createDataFrame([(i, t, 7, "x") for i, t in rows], "doc_id long, text string, _text_hash long, id string").repartition(3)
+    got = ngram_join.one_of_each(frame)
+    assert got.columns == frame.columns
+    assert order(tuple(r)[:2] for r in got.collect()) == order([(1, a), (1, b), (None, c), (3, ""), (3, ""), (None, None)])
 
 
 def gone_lines(rows):
     last = 1 << 63
-    lines = [((last if d is None else d, i), shingles(x)) for d, t in rows if t is not None for i, x in enumerate(t.split("\n")) if len(words(x)) >= 5]
+    lines = [((last if d is None else d, i), shingles(x)) for d, t in rows if t is not None for i, x in enumerate(t.split("\n")) if words(x)]
     return {p for p, s in lines if any(q < p and similar(s, z) for q, z in lines)}
 
 
@@ -81,10 +99,26 @@ def test_line_dedup(docs, rows):
     assert got == gone_lines(rows) and len(got) > 5
     kept = line_dedup.without_repeated_lines(docs)
     assert kept.columns == docs.columns
-    cut = lambda d, t: t if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if ((1 << 63) if d is None else d, i) not in got)
+    every = [(((1 << 63) if d is None else d, i), shingles(x)) for d, t in rows if t is not None for i, x in enumerate(t.split("\n")) if words(x)]
+
+    def cut(d, t):
+        """Without the lines that match a line at an earlier place, whatever else stands at the same place."""
+        at = (1 << 63) if d is None else d
+        lines = [] if t is None else t.split("\n")
+        return t if t is None else "\n".join(x for i, x in enumerate(lines) if not any(p < (at, i) and similar(s, shingles(x)) for p, s in every))
+
     assert order((r.doc_id, r.text) for r in kept.collect()) == order((d, cut(d, t)) for d, t in rows)
 
 
+def test_line_dedup_of_null_ids_and_clashing_names(spark, tmp_path):
+    line = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, line + "\nyes", "k", 1), (None, "own text here\n" + line, "k", 2), (None, "yes\nother", "k", 3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _gone string, lines int")
+    assert order(tuple(r) for r in line_dedup.without_repeated_lines(frame).collect()) == order([rows[0], (None, "own text here", "k", 2), (None, "other", "k", 3)])
+    frame.select("doc_id", "text").limit(2).write.parquet(f"{tmp_path}/documents.parquet")
+    assert order(tuple(r) for r in line_dedup.query(spark, str(tmp_path)).collect()) == order([(1, 2, 0, ""), (None, 2, 1, "1")])
+
+
 def test_line_dedup_near_copies(spark):
     rng = random.Random(8)
     text = prose(rng, 60).split()
