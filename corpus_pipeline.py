@@ -21,8 +21,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier line matches go, short ones too; n_chars follows the text."""
-    kept = line_dedup.without_repeated_lines(docs, least=1)
+    """Lines that an earlier line matches go, short ones too, and with them documents that lose every line with a word (all of it stands
+    in others); n_chars follows the text."""
+    kept = line_dedup.without_repeated_lines(docs, keep_emptied=False)
     return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in kept.columns else kept
 
 
