@@ -17,6 +17,7 @@ from pagelex.llm import tokens
 from pagelex.llm.common import let, written
 
 BUCKETS = 1 << 18
+PARTS = 64
 LOW_BITS = 45
 LOW = np.uint64((1 << LOW_BITS) - 1)
 BLOOM_BITS = 1 << 23
@@ -24,20 +25,30 @@ BLOOM_BITS = 1 << 23
 
 def rarity(docs: DataFrame, hashes) -> np.ndarray:
     """The rank of each bucket by its count over all texts; ``hashes(data, offsets)`` gives a block's tokens.
-    Each task sends one row a bucket."""
+    Each task sends its counts in ``PARTS`` arrays, which are added up by part."""
 
     def run(batches):
         total = np.zeros(BUCKETS, np.int64)
         for _, data, offsets in tokens.blocks(batches):
             total += np.bincount((hashes(data, offsets) >> np.uint64(LOW_BITS + 1)).astype(np.int64), minlength=BUCKETS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["bucket", "n"])
-
-    counts = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(BUCKETS, np.int64)
-    total[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS), pa.int32()), pa.array([x.tobytes() for x in np.split(total, PARTS)], pa.binary())], ["part", "counts"])
+
+    def add(batches):  # one array at a time
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, own in zip(batch.column("part").to_pylist(), batch.column("counts"), strict=True):
+                total[part] = total.get(part, 0) + np.frombuffer(own.as_buffer(), np.int64)
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["part", "counts"])
+
+    each = docs.select("text").mapInArrow(run, "part int, counts binary")
+    counts = each.repartition(PARTS, "part").mapInArrow(add, "part int, counts binary").toArrow()
+    total = np.zeros((PARTS, BUCKETS // PARTS), np.int64)
+    for part, own in zip(counts.column("part").to_pylist(), counts.column("counts").to_pylist(), strict=True):
+        total[part] = np.frombuffer(own, np.int64)
     rank = np.empty(BUCKETS, np.uint32)
-    rank[np.lexsort((np.arange(BUCKETS), total))] = np.arange(BUCKETS, dtype=np.uint32)
+    rank[np.lexsort((np.arange(BUCKETS), total.ravel()))] = np.arange(BUCKETS, dtype=np.uint32)
     return rank
 
 
@@ -116,9 +127,9 @@ def sketches(tok: np.ndarray, first: np.ndarray, words: int) -> np.ndarray:
     return out.view(np.int64).reshape(-1, words)
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, column: str, sets, as_bits: bool = False, sketch: int = 0) -> DataFrame:
+def sets_of(docs: DataFrame, ids: DataFrame, column: str, sets, as_bits: bool = False) -> DataFrame:
     """key, n, tokens (or bits) of the sets whose keys are in ``ids``, made again from the texts; ``sets(data,
-    offsets)`` gives a block's (tokens, first). Each task sends a set once. With ``sketch``, also its ``sketches`` of that many words."""
+    offsets)`` gives a block's (tokens, first). Each task sends a set once."""
     held = docs.sparkSession.sparkContext.broadcast(bloom(ids, column))
     name = "bits" if as_bits else "tokens"
 
@@ -131,15 +142,11 @@ def sets_of(docs: DataFrame, ids: DataFrame, column: str, sets, as_bits: bool =
             pick = np.array([i for i in pick if key[i] not in seen and not seen.add(key[i])], np.int64)
             if len(pick):
                 full = bitmaps(tok, first, pick) if as_bits else lists(tok, first, np.where(np.isin(np.arange(len(n)), pick), n, 0)).take(pa.array(pick))
-                columns = [pa.array(key[pick]), pa.array(n[pick], pa.int32()), full]
-                if sketch:
-                    words = sketches(tok, first, sketch)[pick].ravel()
-                    columns.append(pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, sketch), pa.int32()), pa.array(words)))
-                yield pa.RecordBatch.from_arrays(columns, ["key", "n", name, *(["sketch"] if sketch else [])])
+                yield pa.RecordBatch.from_arrays([pa.array(key[pick]), pa.array(n[pick], pa.int32()), full], ["key", "n", name])
 
-    made = docs.select("text").mapInArrow(run, f"key long, n int, {name} array<long>" + (", sketch array<long>" if sketch else ""))
+    made = docs.select("text").mapInArrow(run, f"key long, n int, {name} array<long>")
     wanted = ids.select(F.col(column).alias("key")).distinct()
-    return made.join(wanted, "key", "left_semi").groupBy("key").agg(*[F.first(c).alias(c) for c in made.columns if c != "key"])
+    return made.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("n").alias("n"), F.first(name).alias(name))
 
 
 def most_shared(bits: Column, n: Column, other: Column) -> Column:

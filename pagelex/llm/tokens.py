@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 BLOCK_BYTES = 256 << 10
 U = np.uint64
 INDEX_BITS = 20
+_LOWER_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _P = U(0x9E3779B97F4A7C15)
 _Q = U(0xD6E8FEB86659FD93)
 
@@ -115,6 +116,42 @@ class Runs:
         return mix((self._sum[end] - self._sum[start]) * self._scale[which] + (end - start).astype(U) * _Q)
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """A-Z in lower case, by whole-array steps on bytes."""
+    return data | (((data - np.uint8(65)) < 26).view(np.uint8) << np.uint8(5))
+
+
+def in_words(data: np.ndarray) -> np.ndarray:
+    """Whether each byte belongs to a word ``[^\\x20\\x09-\\x0D]+``."""
+    return (data != 32) & ((data - np.uint8(9)) > 4)
+
+
+def bounds(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the runs of bytes that are ``inside``; a run ends with its text."""
+    padded = np.zeros(len(inside) + 2, bool)
+    padded[1:-1] = inside
+    edge = np.zeros(len(inside) + 1, bool)
+    edge[offsets] = True
+    start = np.flatnonzero(padded[1:] & (~padded[:-1] | edge))
+    end = np.flatnonzero(padded[:-1] & (~padded[1:] | edge))
+    return start, end
+
+
+def bytes_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of stretches of bytes, eight bytes at a time; most words have one such step."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, np.dtype("<u8"), padded.data, 0, (1,))  # from each byte on
+    out = (end - start).astype(U) * _P
+    which, at = slice(None), start
+    while len(at):
+        left = end[which] - at
+        out[which] = mix(out[which] * _Q + (eight[at] & _LOWER_BYTES[np.minimum(left, 8)]))
+        more = np.flatnonzero(left > 8)
+        which = more if isinstance(which, slice) else which[more]
+        at = at[more] + 8
+    return out
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` after A-Z became a-z, and each text's first one."""
     runs = Runs(lower_ascii(data), offsets, not_space())
