@@ -28,7 +28,7 @@ def test_hashes_of_lines_and_shingles():
         assert [(int(a), int(b), int(c)) for a, b, c in zip(doc, line, np.diff(at), strict=True)] == [(d, i, len(s)) for d, i, s in want]
         for s, x in zip([s for *_, all_ in want for s in all_], h.tolist(), strict=True):
             assert seen.setdefault(s, x) == x
-    assert len(set(seen.values())) == len(seen) > 2000
+    assert len(set(seen.values())) == len(seen) > 1000
 
 
 def test_shared_tokens_of_a_stream():
