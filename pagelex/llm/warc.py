@@ -2,8 +2,9 @@
 
 Writing: one file a task, ``part-NNNNN-<attempt>.warc.gz``, a gzip member a record. A member's header has the
 field ``sl`` with the length of its compressed data, so that a reader steps over it without inflating it. An
-index of member offsets lies beside each file; ``_manifest`` names the files of the attempts that were committed, so
-files of lost executors are never read.
+index of member offsets lies beside each file; each write leaves a ``_manifest-<id>`` that names the files of its attempts that were
+committed, so files of lost executors are never read. A path holds the records of all writes to it; a write in overwrite mode
+leaves its own only.
 
 Reading: files are planned into partitions of about ``split`` bytes along the indexes. Filters on record_type,
 record_id, target_uri and refers_to are pushed into the reader, which parses a record's headers first and only
@@ -81,14 +82,17 @@ def member(data: bytes, level: int = 1) -> bytes:
     return b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H", len(extra)) + extra + body + struct.pack("<LL", zlib.crc32(data), len(data) & 0xFFFFFFFF)
 
 
+MANIFEST = "_manifest"
+
+
 class Written(WriterCommitMessage):
     def __init__(self, name: str | None):
         self.name = name
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, overwrite: bool = False):
+        self.path, self.overwrite = path, overwrite
 
     def write(self, iterator) -> Written:
         files, root = _opened(self.path)
@@ -109,8 +113,11 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages) -> None:
         files, root = _opened(self.path)
         files.create_dir(root, recursive=True)
-        with files.open_output_stream(f"{root}/_manifest", compression=None) as out:
+        before = _manifests(files, root) if self.overwrite else []
+        with files.open_output_stream(f"{root}/{MANIFEST}-{uuid.uuid4().hex}", compression=None) as out:
             out.write(json.dumps(sorted(m.name for m in messages if m and m.name)).encode())
+        for name in before:
+            files.delete_file(f"{root}/{name}")
 
     def abort(self, messages) -> None:
         files, root = _opened(self.path)
@@ -119,6 +126,10 @@ class WarcWriter(DataSourceArrowWriter):
                 files.delete_file(f"{root}/{name}")
 
 
+def _manifests(files, root: str) -> list[str]:
+    return sorted(f.base_name for f in files.get_file_info(fs.FileSelector(root)) if f.base_name.startswith(MANIFEST))
+
+
 class Range(InputPartition):
     def __init__(self, name: str, start: int, end: int | None):
         self.name, self.start, self.end = name, start, end
@@ -147,10 +158,12 @@ class WarcReader(DataSourceReader):
     def partitions(self):
         files, root = _opened(self.path)
         names = {f.base_name for f in files.get_file_info(fs.FileSelector(root))}
-        if "_manifest" in names:
-            with files.open_input_stream(f"{root}/_manifest", compression=None) as got:
-                chosen = json.loads(got.read())
-        else:
+        manifests = _manifests(files, root)
+        chosen = []
+        for name in manifests:
+            with files.open_input_stream(f"{root}/{name}", compression=None) as got:
+                chosen += json.loads(got.read())
+        if not manifests:
             chosen = sorted(n for n in names if n.endswith((".warc", ".warc.gz")))
         out = []
         for name in chosen:
@@ -316,7 +329,7 @@ class WarcSource(DataSource):
         return WarcReader(self.options)
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options["path"])
+        return WarcWriter(self.options["path"], overwrite)
 
 
 def write_pages(pages: DataFrame, path: str, least: int = 0) -> None:

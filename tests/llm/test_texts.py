@@ -201,3 +201,16 @@ def test_warc_reads_other_archives(spark, tmp_path):
     (tmp_path / "b.warc").write_bytes(b"".join(records))
     got = warc.read(spark, str(tmp_path)).select("payload_length", "digest_ok").collect()
     assert sorted(map(tuple, got)) == sorted([(n, True) for n in (1, 70_000, 3)] * 2)
+
+
+def test_a_path_holds_the_records_of_all_writes(spark, tmp_path):
+    """A second write adds to the first; one in overwrite mode replaces them."""
+    pages = spark.createDataFrame([(1, "http://a", "<p>x</p>"), (2, None, None), (3, "http://c", "z")], "page_id long, url string, html string")
+    path = f"{tmp_path}/more"
+    warc.write_pages(pages.where("page_id < 3"), path)
+    warc.write_pages(pages.where("page_id = 3"), path)
+    warc.write_pages(pages.where("false"), path)
+    assert sorted(r.record_id for r in warc.read(spark, path).collect()) == ["urn:page:1", "urn:page:2", "urn:page:3"]
+    one = spark.createDataFrame([("urn:page:9", "response", "http://n", None, b"n")], "record_id string, record_type string, target_uri string, refers_to string, payload binary")
+    one.write.format("warc").mode("overwrite").save(path)
+    assert [(r.record_id, bytes(r.payload)) for r in warc.read(spark, path).collect()] == [("urn:page:9", b"n")]
