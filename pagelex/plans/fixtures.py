@@ -48,7 +48,7 @@ _dims_cache: dict = {}
 
 
 def query_dims(spark, d, local=None) -> Dims:
-    key = (id(spark), d, tuple(local or ()))
+    key = (spark.sparkContext.applicationId, id(spark), d, tuple(local or ()))
     if key not in _dims_cache:
         _dims_cache[key] = dims_from_tables(SITE, v_ns(spark, d), v_iw(spark, d), local)
     return _dims_cache[key]

@@ -32,8 +32,11 @@ def get_spark(master: str | None = None, app: str = "pagelex", partitions: int =
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder of checkpoints and intermediate tables: the one that ``spark.checkpoint.dir`` names, on a cluster a
-    shared one; where it is unset, as in tests, a new local one."""
+    shared one and required; where it is unset in local mode, as in tests, a new local one."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="pagelex-checkpoints-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("on a cluster spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="pagelex-checkpoints-"))
     return sc.getCheckpointDir()
