@@ -651,47 +651,30 @@ def has_math(spark, d):
     return _math_nodes(spark, d).groupBy("article_id").agg(F.max("__has_math").alias("has_math"))
 
 
-def _prefilter_sql(x: str) -> str:
-    out = x
-    reps = [
-        (r"([^\\])%", r"\1\\%"),
-        (r"\\iiint([^!]*)!\\!\\!\\!\\!.*\\subset\\!\\supset", r"\\iiint\1\\!\\subset\\!\\supset"),
-        (r"\\iint([^!]*)!\\!\\!\\!\\!\\!\\!\\!\\!\\!\\!(.*)\\subset\\!\\supset", r"\\iint\1\2\\subset\\!\\!\\supset"),
-        (r"\\int\\!\\!\\!(\\!)+\\int\\!\\!\\!(\\!)+\\int([^!]*)!\\!\\!\\!\\!.*\\bigcirc(\\,)*", r"\\iiint\3\\subset\\!\\supset"),
-        (r"\\int\\!\\!\\!(\\!)+\\int([^!]*)!\\!\\!\\!\\!\\!\\!\\!\\!(.*)\\bigcirc(\\,)*", r"\\iint\2\3\\subset\\!\\!\\supset"),
-    ]
-    for pat, rep in reps:
-        out = f"regexp_replace({out}, '{pat}', '{rep}', 'g')"
-    return out
-
-
-TEX_SRC_SQL = """
+@query("tex_prefilter", """
 SELECT p_partkey,
-  CASE WHEN p_partkey % 3 = 0
-       THEN CAST(p_size AS VARCHAR) || '% of \\iint' || replace(p_name, ' ', '') || '!\\!\\!\\!\\!\\!\\!\\!\\!\\!\\!' || p_type || '\\subset\\!\\supset x'
-       ELSE '50% \\R^' || CAST(p_size AS VARCHAR) || ' \\%' || p_type || ' + \\'
+  CASE WHEN p_partkey % 3 = 0 THEN p_size || '\\% of \\iint' || replace(p_name, ' ', '') || p_type || '\\subset\\!\\!\\supset x'
+       ELSE '50\\% \\R^' || p_size || ' \\%' || p_type || ' + \\'
             || (['alpha', 'Complex', 'infin', 'rarr', 'R', 'bold', 'sgn'])[p_partkey % 7 + 1] || '{x} \\Z' END AS tex
 FROM part
-"""
-
-
-@query("tex_prefilter", f"WITH t AS ({TEX_SRC_SQL}) SELECT p_partkey, {_prefilter_sql('tex')} AS tex FROM t")
+""")
 def tex_prefilter(spark, d):
     """TEX-1: percent escaping and the old integral spacing hacks."""
     return FX.v_tex(spark, d).select("p_partkey", TX.prefilter(F.col("tex")).alias("tex"))
 
 
-def _macros_values_sql() -> str:
-    rows = ", ".join("('{}', '{}', {})".format(m, e.replace("'", "''"), n) for m, e, n in TX.MACROS)
-    return f"(VALUES {rows}) AS m(macro, expansion, n_args)"
-
-
-@query("tex_macros", f"""
-WITH t AS ({TEX_SRC_SQL}),
-toks AS (SELECT unnest(regexp_extract_all(tex, '\\\\([A-Za-z]+)', 1)) AS macro FROM t)
-SELECT m.macro, m.expansion, CAST(m.n_args AS INTEGER) AS n_args, count(*) AS n_uses
-FROM toks JOIN {_macros_values_sql()} ON toks.macro = m.macro
-GROUP BY m.macro, m.expansion, m.n_args
+@query("tex_macros", """
+WITH p AS (SELECT p_partkey % 7 AS k FROM part WHERE p_partkey % 3 <> 0),
+written AS (
+  SELECT 'R' AS macro, '\\mathbb{R}' AS expansion, 0 AS n_args FROM p
+  UNION ALL SELECT 'Z', '\\mathbb{Z}', 0 FROM p
+  UNION ALL SELECT 'Complex', '\\mathbb{C}', 0 FROM p WHERE k = 1
+  UNION ALL SELECT 'infin', '\\infty', 0 FROM p WHERE k = 2
+  UNION ALL SELECT 'rarr', '\\rightarrow', 0 FROM p WHERE k = 3
+  UNION ALL SELECT 'R', '\\mathbb{R}', 0 FROM p WHERE k = 4
+  UNION ALL SELECT 'bold', '\\mathbf{#1}', 1 FROM p WHERE k = 5
+  UNION ALL SELECT 'sgn', '\\operatorname{sgn}', 0 FROM p WHERE k = 6)
+SELECT macro, expansion, n_args, count(*) AS n_uses FROM written GROUP BY ALL
 """)
 def tex_macros(spark, d):
     """TEX-2: uses of wiki-dialect macros (broadcast join to the 91-row dictionary)."""

@@ -8,7 +8,7 @@ lines: ``{"id": ..., "doc": {"_id", "aliases": [str | [key, fragment]], "parse":
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,7 +39,8 @@ def decode_scrape_rows(rows: DataFrame, langlinks: list[str] | None = None, valu
     """
     j = F.from_json(F.col(value_col), ROW_SCHEMA)
     others = [c for c in rows.columns if c != value_col]
-    df = rows.select(*others, j.alias("r")).where(F.col("r.doc").isNotNull())
+    # behind a generator, neither the filter nor the fields parse the row again
+    df = rows.select(*others, F.explode(F.array(j)).alias("r")).where(F.col("r.doc").isNotNull())
     text = F.col("r.doc.parse.text.`*`")
 
     def norm(a):
@@ -88,12 +89,11 @@ def keys_from_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
 def by_key_list(articles: DataFrame, keys: DataFrame) -> DataFrame:
     """JOIN-3 + JOIN-4 + SET-2: requested documents, plus a NULL-text row per missing key.
 
-    Missing keys are those that no found title answers, so that the titles of all documents aren't shuffled for
-    them; Spark broadcasts a small key list by itself.
+    Documents are read once: those asked for (Spark broadcasts a small key list by itself) meet a marker row of each key by
+    title, and a marker stays where no document is beside it. Only documents asked for are shuffled.
     """
     k = keys.select(F.col("key").alias("title"))
-    found = articles.join(k, "title", "left_semi")
-    missing = k.join(found.select("title"), "title", "left_anti").select(
-        "title", F.lit(None).cast("string").alias("text"), F.array().cast(ALIAS_T).alias("aliases"))
-    cols = ["title", "text", "aliases"]
-    return found.select(*cols, F.lit(True).alias("found")).unionByName(missing.select(*cols, F.lit(False).alias("found")))
+    asked = articles.join(k, "title", "left_semi").select("title", "text", F.col("aliases").cast(ALIAS_T).alias("aliases"), F.lit(True).alias("found"))
+    markers = k.select("title", F.lit(None).cast("string").alias("text"), F.array().cast(ALIAS_T).alias("aliases"), F.lit(False).alias("found"))
+    beside = F.max("found").over(Window.partitionBy("title"))
+    return asked.unionByName(markers).withColumn("__any", beside).where(F.col("found") | ~F.col("__any")).drop("__any")
