@@ -8,8 +8,8 @@ of its partition's largest size can lack at 75 %, plus one: a document that cont
 so the search loses nothing. A document's shingles are looked up in that index, and each candidate is
 verified on the exact sets within the same row; only what is found is shuffled.
 
-The index is broadcast in blocks of at most ``BLOCK`` shingles: a larger benchmark takes further passes over the
-documents. Defined results: null or wordless texts contain nothing and are contained in nothing; repeated
+The index is broadcast in blocks of about ``BLOCK`` shingles: a larger benchmark takes further passes over the
+documents. A block's keys go with their items' numbers alone, and each item's shingles go once. Defined results: null or wordless texts contain nothing and are contained in nothing; repeated
 documents are judged each on its text, and give one row for an id and item; repeated items count as one row each
 of their item_id, of which the largest share is told; null ids stay null; extra columns are kept by ``without_leaks``.
 """
@@ -50,10 +50,12 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     sets = h.select("doc_id", "text_hash", let(F.col("h"), both).alias("s"))
     probe = sets.select("doc_id", "text_hash", "s", F.explode_outer("s").alias("key"))
     found = None
+    numbered = table.withColumn("item", F.xxhash64("item_id", "shingles")).dropDuplicates(["item"])  # repeated items are one
     for block in range(blocks):
-        part = table.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == block)
-        part = part.select("item_id", "n", "shingles", F.explode("sketch").alias("key"))
-        hit = probe.join(F.broadcast(part), "key").select("doc_id", "text_hash", "item_id", "n", F.size(F.array_intersect("shingles", "s")).alias("shared"))
+        part = numbered.where(F.pmod("item", F.lit(blocks)) == block)
+        keys, sets = part.select("item", F.explode("sketch").alias("key")), part.select("item", "item_id", "n", "shingles")
+        hit = probe.join(F.broadcast(keys), "key").drop("key").join(F.broadcast(sets), "item")
+        hit = hit.select("doc_id", "text_hash", "item_id", "n", F.size(F.array_intersect("shingles", "s")).alias("shared"))
         found = hit if found is None else found.union(hit)
     found = found.where(100 * F.col("shared") >= PERCENT * F.col("n"))
     return found.groupBy("doc_id", "text_hash", "item_id").agg(F.max(F.struct(F.col("shared") / F.col("n"), F.col("n"), F.col("shared"))).alias("x")).select(
@@ -78,9 +80,9 @@ def query(spark, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH dw AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
 iw AS (SELECT item_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM benchmark),
-d AS (SELECT DISTINCT doc_id, unnest([array_to_string(w[j:j + 4], ' ') FOR j IN range(1, len(w) - 3)]) AS s FROM dw),
-i AS (SELECT DISTINCT item_id, unnest([array_to_string(w[j:j + 4], ' ') FOR j IN range(1, len(w) - 3)]) AS s FROM iw),
+i AS (SELECT DISTINCT item_id, k, unnest([array_to_string(w[j:j + k - 1], ' ') FOR j IN range(1, len(w) - k + 2)]) AS s FROM (SELECT item_id, w, least(len(w), 5) AS k FROM iw WHERE len(w) > 0)),
+d AS (SELECT DISTINCT doc_id, k, unnest([array_to_string(w[j:j + k - 1], ' ') FOR j IN range(1, len(w) - k + 2)]) AS s FROM dw, (SELECT DISTINCT k FROM i)),
 n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id)
-SELECT doc_id, item_id, any_value(n) AS n_item, count(*) AS n_shared FROM d JOIN i USING (s) JOIN n USING (item_id)
+SELECT doc_id, item_id, any_value(n) AS n_item, count(*) AS n_shared FROM d JOIN i USING (k, s) JOIN n USING (item_id)
 GROUP BY doc_id, item_id HAVING 100 * count(*) >= 75 * any_value(n)
 """

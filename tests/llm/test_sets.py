@@ -164,6 +164,27 @@ def test_decontaminate(spark, docs, rows):
     assert order((r.doc_id, r.text) for r in kept.collect()) == order((d, t) for d, t in rows if not any(n and 100 * s >= 75 * n for n, s in (contained(x, t) for _, x in items)))
 
 
+def test_decontaminate_sql_and_index(spark, tmp_path):
+    """The SQL tells the same as the query, of short items and repeated ones too, and keys are sent without the shingles."""
+    import duckdb
+
+    long = " ".join(f"w{i}" for i in range(3000))
+    docs = [(1, long + " end"), (2, "only three words here"), (3, None), (4, "Three   WORDS"), (5, "nothing"), (6, "")]
+    items = [(1, long), (2, "three words"), (3, "nothing"), (4, ""), (5, None), (6, "w7 w8 w9 w10 w11 w12"), (6, "w7 w8 w9 w10 w11 w12"), (7, "w1 w2 w3 w4 w6")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = decontaminate.query(spark, str(tmp_path))
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {name} AS FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.sql(decontaminate.ORACLE)
+    rows = sorted(tuple(r) for r in got.select(*want.columns).collect())
+    assert rows == sorted(want.fetchall()) == [(1, 1, 2996, 2996), (1, 6, 2, 2), (2, 2, 1, 1), (4, 2, 1, 1), (5, 3, 1, 1)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    sketches = [line for line in plan.splitlines() if "explode(sketch" in line]
+    assert sketches and not any("shingles" in line for line in sketches)
+
+
 def test_empty_tables(spark, none):
     items = spark.createDataFrame([], "item_id long, text string")
     assert ngram_join.linked(none).count() == 0
