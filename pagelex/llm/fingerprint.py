@@ -1,11 +1,12 @@
 """Operator 2, document fingerprints: a Merkle tree over paragraphs and sections, in DataFrame operations.
 
-A paragraph is a line of the text. Its node is the MD5 of its text, and its leaves are the first 8 hex digits of
-the MD5 of its blocks of 64 code points. A section is a run of paragraphs that ends with one whose node
-starts with 0 to 3 (or with the text), so that an edit moves few borders; its node is the MD5 of its paragraphs'
-nodes. The root is the SHA-256 of the sections' nodes. The fingerprint is written
-``root#paragraph,paragraph|paragraph,...`` with ``|`` behind a section's last paragraph and each paragraph as its leaves:
-roots tell equality, and sections, paragraphs and leaves that differ tell where an edit lies (``changed``).
+A paragraph is a line of the text. Its leaves are the MD5s of its blocks of 64 code points, and its node is the MD5 of
+its leaves. A section is a run of paragraphs that ends with one whose node starts with 0 to 3 (or with the text),
+so that an edit moves few borders; its node is the MD5 of its paragraphs' nodes. The root is the SHA-256 of the
+sections' nodes. The fingerprint holds the whole tree, ``root#section|section...``: a section is its node, ``=`` and its
+paragraphs, each closed by ``,`` (the last of a section by ``|``), a paragraph is its node, ``:`` and its leaves. Inner nodes are
+written by their first 16 hex digits, leaves by 8. Equal roots tell equal texts; else ``changed`` goes down the sections that differ,
+and in these to the paragraphs.
 
 Likeness of two fingerprints: 1 if the roots are equal, else twice the number of leaves they share over the
 number of both (distinct leaves).
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pagelex.llm.common import let
 
 BLOCK = 64
+INNER, SHORT = 16, 8  # hex digits of an inner node and of a leaf in the fingerprint
 ROWS = 256  # ids of a bucket in which documents are put in order
 NULL_ID = -(1 << 62)
 
@@ -30,21 +32,23 @@ NULL_ID = -(1 << 62)
 def tree(text: Column) -> Column:
     """A struct: fingerprint, root, leaves (distinct)."""
 
-    def built(paragraphs: Column) -> Column:
-        node = F.transform(paragraphs, lambda p: F.md5(p))
-        ended = lambda n: F.when(F.substring(n, 1, 1) <= "3", F.lit("|")).otherwise(F.lit(","))
-        leaves = F.transform(paragraphs, lambda p: F.transform(F.regexp_extract_all(p, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)), lambda b: F.substring(F.md5(b), 1, 8)))
-        return let(node, lambda n: let(leaves, lambda v: put_together(n, v, F.transform(n, ended))))
-
-    def put_together(node: Column, leaves: Column, end: Column) -> Column:
-        sections = F.split(F.array_join(F.zip_with(node, end, lambda n, e: F.concat(n, e)), ""), r"\|")
-        root = F.sha2(F.array_join(F.transform(sections, lambda s: F.md5(s)), ","), 256)
-        body = F.array_join(F.zip_with(leaves, end, lambda v, e: F.concat(F.array_join(v, ""), e)), "")
-        return let(root, lambda r: F.struct(
-            F.concat(r, F.lit("#"), body).alias("fingerprint"), r.alias("root"), F.array_distinct(F.flatten(leaves)).alias("leaves")
+    def built(leaves: Column) -> Column:
+        node = F.transform(leaves, lambda v: F.md5(F.array_join(v, "")))
+        return let(node, lambda n: put_together(n, F.transform(leaves, lambda v: F.transform(v, lambda b: F.substring(b, 1, SHORT)))))
+
+    def put_together(node: Column, leaves: Column) -> Column:
+        closed = lambda n, x: F.concat(x, F.when(F.substring(n, 1, 1) <= "3", F.lit("|")).otherwise(F.lit(",")))
+        sections = lambda entries: F.split(F.array_join(F.zip_with(node, entries, closed), ""), r"\|")
+        nodes = F.transform(sections(node), lambda s: F.md5(s))
+        paragraphs = F.zip_with(node, leaves, lambda n, v: F.concat(F.substring(n, 1, INNER), F.lit(":"), F.array_join(v, "")))
+        return let(nodes, lambda s: F.struct(
+            F.concat(root(s), F.lit("#"), F.array_join(F.zip_with(s, sections(paragraphs), lambda n, p: F.concat(F.substring(n, 1, INNER), F.lit("="), p)), "|")).alias("fingerprint"),
+            root(s).alias("root"), F.array_distinct(F.flatten(leaves)).alias("leaves"),
         ))
 
-    return let(F.split(F.coalesce(text, F.lit("")), "\n", -1), built)
+    root = lambda nodes: F.sha2(F.array_join(nodes, ","), 256)
+    blocks = lambda p: F.transform(F.regexp_extract_all(p, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)), lambda b: F.md5(b))
+    return let(F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), blocks), built)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -55,16 +59,27 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def changed(a: Column, b: Column) -> Column:
-    """The paragraphs (numbers from 0) of fingerprint ``a`` that fingerprint ``b`` lacks; none if the roots are equal.
-    Sections that both hold are passed over whole."""
-    sections = lambda f: F.split(F.substring_index(f, "#", -1), r"\|")
-    paragraphs = lambda f: F.split(F.regexp_replace(F.substring_index(f, "#", -1), r"[,|]$", ""), r"[,|]")
-
-    def numbered(own: Column, other: Column) -> Column:
-        return F.filter(F.transform(own, lambda p, i: F.when(~F.array_contains(other, p), i)), lambda i: i.isNotNull())
+    """The paragraphs (numbers from 0) of fingerprint ``a`` that fingerprint ``b`` lacks, found from the root down: none if the roots
+    are equal; sections whose node both hold are passed over whole, and only the paragraphs of the others are compared."""
+
+    def sections(f: Column) -> Column:
+        paragraphs = lambda s: F.filter(F.split(F.substring_index(s, "=", -1), ","), lambda p: p != "")
+        node = lambda x, mark: F.substring_index(x, mark, 1)
+        return F.transform(
+            F.split(F.substring_index(f, "#", -1), r"\|"),
+            lambda s: F.struct(node(s, "=").alias("node"), F.transform(paragraphs(s), lambda p: node(p, ":")).alias("paragraphs")),
+        )
+
+    def compared(own: Column, other: Column) -> Column:
+        differs = lambda s, of: ~F.array_contains(F.transform(of, lambda x: x["node"]), s["node"])
+        open_own = F.flatten(F.transform(own, lambda s: F.transform(s["paragraphs"], lambda p: F.when(differs(s, other), p))))
+        open_other = F.flatten(F.transform(F.filter(other, lambda s: differs(s, own)), lambda s: s["paragraphs"]))
+        return let(open_other, lambda rest: F.filter(
+            F.transform(open_own, lambda p, i: F.when(p.isNotNull() & ~F.array_contains(rest, p), i)), lambda i: i.isNotNull()
+        ))
 
-    same = F.size(F.array_except(sections(a), sections(b))) + F.size(F.array_except(sections(b), sections(a))) == 0
-    return F.when((F.substring_index(a, "#", 1) == F.substring_index(b, "#", 1)) | same, F.array().cast("array<int>")).otherwise(numbered(paragraphs(a), paragraphs(b)))
+    found = let(sections(a), lambda own: let(sections(b), lambda other: compared(own, other)))
+    return F.when(F.substring_index(a, "#", 1) == F.substring_index(b, "#", 1), F.array().cast("array<int>")).otherwise(found)
 
 
 def _next_bucket(buckets: DataFrame, levels: int = 4) -> DataFrame:
@@ -111,10 +126,14 @@ def query(spark, sf_dir: str) -> DataFrame:
 def _tree_sql(source: str, name: str) -> str:
     return f"""
 {name}_p AS (SELECT id, string_split({name}, chr(10)) AS p FROM {source}),
-{name}_n AS (SELECT id, [md5(x) FOR x IN p] AS node, [[md5(b)[1:8] FOR b IN regexp_extract_all(x, '(?s).{{1,{BLOCK}}}')] FOR x IN p] AS leaf FROM {name}_p),
-{name}_e AS (SELECT id, leaf, [CASE WHEN n[1] <= '3' THEN n || '|' ELSE n || ',' END FOR n IN node] AS ended, [CASE WHEN n[1] <= '3' THEN '|' ELSE ',' END FOR n IN node] AS mark FROM {name}_n),
-{name}_t AS (SELECT id, sha256(array_to_string([md5(s) FOR s IN string_split(array_to_string(ended, ''), '|')], ',')) AS root,
-  array_to_string([coalesce(array_to_string(leaf[i], ''), '') || mark[i] FOR i IN range(1, len(leaf) + 1)], '') AS body, list_distinct(flatten(leaf)) AS leaves FROM {name}_e)"""
+{name}_l AS (SELECT id, [[md5(b) FOR b IN regexp_extract_all(x, '(?s).{{1,{BLOCK}}}')] FOR x IN p] AS leaf FROM {name}_p),
+{name}_n AS (SELECT id, leaf, [md5(coalesce(array_to_string(v, ''), '')) FOR v IN leaf] AS node FROM {name}_l),
+{name}_e AS (SELECT id, leaf, node, [CASE WHEN n[1] <= '3' THEN '|' ELSE ',' END FOR n IN node] AS mark FROM {name}_n),
+{name}_s AS (SELECT id, [md5(s) FOR s IN string_split(array_to_string([node[i] || mark[i] FOR i IN range(1, len(node) + 1)], ''), '|')] AS sections,
+  string_split(array_to_string([node[i][1:{INNER}] || ':' || coalesce(array_to_string([b[1:{SHORT}] FOR b IN leaf[i]], ''), '') || mark[i] FOR i IN range(1, len(node) + 1)], ''), '|') AS bodies,
+  list_distinct([b[1:{SHORT}] FOR b IN flatten(leaf)]) AS leaves FROM {name}_e),
+{name}_t AS (SELECT id, sha256(array_to_string(sections, ',')) AS root,
+  array_to_string([sections[i][1:{INNER}] || '=' || bodies[i] FOR i IN range(1, len(sections) + 1)], '|') AS body, leaves FROM {name}_s)"""
 
 
 def _near_sql(a: str, b: str) -> str:

@@ -59,18 +59,19 @@ def test_bpe_split_and_merge(spark):
 
 def brute_tree(text):
     md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
-    paragraphs = text.split("\n")
-    sections, leaves, body = [""], [], ""
-    for p in paragraphs:
-        node, own = md5(p), [md5(p[i : i + 64])[:8] for i in range(0, len(p), 64)]
+    sections, leaves = [([], "")], set()
+    for p in text.split("\n"):
+        own = [md5(p[i : i + 64]) for i in range(0, len(p), 64)]
+        node = md5("".join(own))
+        nodes, body = sections.pop()
         ends = node[0] <= "3"
-        sections[-1] += node + ("|" if ends else ",")
+        sections.append(([*nodes, node], body + node[:16] + ":" + "".join(x[:8] for x in own) + ("" if ends else ",")))
         if ends:
-            sections[-1] = sections[-1][:-1]
-            sections.append("")
-        leaves += own
-        body += "".join(own) + ("|" if ends else ",")
-    return sha(",".join(md5(s) for s in sections)) + "#" + body, set(leaves)
+            sections.append(([], ""))
+        leaves |= {x[:8] for x in own}
+    # the last section's paragraphs are each closed by a comma
+    at = [md5(",".join(n) + ("," if n and i == len(sections) - 1 else "")) for i, (n, _) in enumerate(sections)]
+    return sha(",".join(at)) + "#" + "|".join(f"{n[:16]}={body}" for n, (_, body) in zip(at, sections, strict=True)), leaves
 
 
 def likeness(a, b):
@@ -108,6 +109,19 @@ def test_fingerprint_locates_edits(spark):
     assert [list(r.x) for r in got] == [[], [7], [], list(range(30))]
 
 
+def test_fingerprint_holds_its_tree(spark):
+    """Each inner node follows from its leaves' branch alone: an edit changes its own paragraph's, its section's and the root."""
+    lines = [f"line {i} of {i * 7}" for i in range(60)]
+    texts = ["\n".join(lines), "\n".join([*lines[:41], "edited", *lines[42:]])]
+    a, b = (r.x for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", fingerprint.tree(F.col("t"))["fingerprint"].alias("x")).orderBy("i").collect())
+    assert a.split("#")[0] != b.split("#")[0]
+    sections = [x.split("#")[1].split("|") for x in (a, b)]
+    gone, new = set(sections[0]) - set(sections[1]), set(sections[1]) - set(sections[0])
+    assert 1 <= len(gone) <= 2 and 1 <= len(new) <= 2 and len(sections[0]) > 8
+    nodes = lambda s: {p.split(":")[0] for x in s for p in x.split("=")[1].split(",") if p}
+    assert len(nodes(gone) - nodes(new)) == len(nodes(new) - nodes(gone)) == 1
+
+
 def brute_base(rows, training):
     cut = lambda t: [*(t or "").encode().translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")).split(), None]
     count = Counter(w for d, t in rows if training(d) for w in cut(t))
