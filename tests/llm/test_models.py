@@ -1,5 +1,6 @@
 """Operators 7, 9 and 10: held-out accuracy on the given tables, and defined results."""
 
+import math
 import zlib
 
 import numpy as np
@@ -89,3 +90,55 @@ def test_toxicity_learns_from_every_unlabelled_row(spark):
     model = toxicity.fit(docs, labels, steps=30)
     got = sorted(model.weights[:-1].tolist())
     assert len(used) >= 2 and np.allclose(got, sorted(w[:-1]), atol=1e-3) and abs(model.bias - w[-1]) < 1e-3
+
+
+def test_language_is_the_kernel_solution(spark):
+    """The values are those of ridge regression solved directly on kernels counted from sets, ids and texts repeated or not."""
+    rng = np.random.default_rng(5)
+    signs = {"aa": "abcdef ", "bb": "defghi ", "cc": "ghijkl日 "}
+    rows = [(i, lang, "".join(rng.choice(list(signs[lang]), int(rng.integers(1, 60))))) for i, lang in enumerate(rng.choice(list(signs), 90).tolist())]
+    rows += rows[:20]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
+    marks_n, ridge = 12, 1e-2
+    model = language.fit(docs, per_language=15, landmarks=marks_n, ridge=ridge)
+    order = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    picked = []
+    for lang in signs:
+        own = sorted({r for r in rows if r[1] == lang and zlib.crc32(str(r[0]).encode()) % 3 != 1}, key=lambda r: order[r[0]])[:15]
+        picked += [(at, lang, text) for at, (_, _, text) in enumerate(own)]
+    picked.sort(key=lambda r: r[:2])
+    sets = lambda texts: [set(np.flatnonzero(x)) for x in language.presence(texts)]
+    kernel = lambda a, b: np.array([[len(p & q) / math.sqrt(max(len(p), 1) * max(len(q), 1)) for q in b] for p in a])
+    x = sets([r[2] for r in picked])
+    z = x[:marks_n]
+    k, within = kernel(x, z), kernel(z, z)
+    y = np.array([[1.0 if r[1] == lang else -1.0 for lang in sorted(signs)] for r in picked])
+    alpha = np.linalg.solve(k.T @ k + ridge * len(x) * within + 1e-6 * np.eye(marks_n), k.T @ y)
+    texts = [r[2] for r in rows]
+    value = kernel(sets(texts), z) @ alpha
+    want = {(i, sorted(signs)[v.argmax()], round(float(np.clip((1 + v.max()) / 2, 0, 1)), 3)) for (i, _, t), v in zip(rows, value, strict=True) if any(c.isalpha() for c in t)}
+    got = {(r.doc_id, r.lang_pred, round(r.score, 3)) for r in language.predict(docs, model).collect() if r.lang_pred != "und"}
+    assert len(model.languages) == 3 and len(got & want) >= 0.95 * len(want) and {g[:2] for g in got} == {w[:2] for w in want}
+
+
+def test_language_of_more_languages_than_landmarks(spark):
+    rows = [(i, f"l{i % 20:02}", chr(0x4E00 + 50 * (i % 20)) * 6 + f" {i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = language.predict(docs, language.fit(docs, landmarks=4)).collect()
+    assert {(r.doc_id, r.lang_pred) for r in got} == {r[:2] for r in rows}
+
+
+def test_quality_sums_every_pair():
+    """The machine's value is that of all pairs of inputs written out."""
+    rng = np.random.default_rng(2)
+    texts = ["One two two, three! 4 five.", "", "a b c d e f g", "Mixed CASE words and 12 numbers; (marks) too"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    doc, place, share, stats = quality.words(data, offsets)
+    size, width = 1 << quality.BITS, stats.shape[1]
+    model = quality.Model(0.3, rng.normal(size=size + width), rng.normal(0, 0.3, (size + width, quality.RANK)), rng.normal(size=width), rng.uniform(1, 2, width))
+    for i, value in enumerate(quality._value(model, doc, place, share, stats)):
+        inputs = [*zip(place[doc == i].tolist(), share[doc == i].tolist(), strict=True), *((size + j, x) for j, x in enumerate((stats[i] - model.mean) / model.scale))]
+        want = model.bias + sum(model.w[f] * x for f, x in inputs)
+        want += sum((model.v[f] @ model.v[g]) * x * y for n, (f, x) in enumerate(inputs) for g, y in inputs[n + 1 :])
+        assert abs(value - want) < 1e-6 * max(1, abs(want))
