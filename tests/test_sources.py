@@ -82,3 +82,11 @@ def test_rules_and_attachments(spark, tmp_path):
     (tmp_path / "res" / "js" / "b.js").write_text("1")
     got = {r.key: r.n_bytes for r in A.read_attachments(spark, str(tmp_path / "res"), "~/", ["css"]).collect()}
     assert got == {"~/css/a.css": 3}
+
+
+def test_lines_and_documents_are_parsed_once(spark):
+    """A filter on what was decoded does not parse again, whatever is read of it."""
+    lines = spark.range(3).select(F.col("id").cast("string").alias("value"))
+    articles = SC.decode_scrape_rows(lines, ["de"])
+    for df in (D.good_lines(D.decode_dump_lines(lines)), D.quarantine(D.decode_dump_lines(lines)), SC.key_range(articles, "a").select("title", "text")):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
