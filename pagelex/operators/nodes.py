@@ -229,20 +229,30 @@ def node_schema(articles: DataFrame, carry: list[str]) -> T.StructType:
     return T.StructType(fields)
 
 
+def by_article(df: DataFrame) -> DataFrame:
+    """Rows in as many partitions by ``article_id`` as the session's shuffles have, whatever their bytes."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "article_id")
+
+
 def tokenize(articles: DataFrame, html_col: str = "text", carry: list[str] | None = None,
-             keep_tags: frozenset[str] | None = None) -> DataFrame:
+             keep_tags: frozenset[str] | None = None, grouped: bool = False) -> DataFrame:
     """DOC-1: articles (article_id, <html_col>, carried columns) -> node rows.
 
     Filters placed before this call are pushed to the scan; nothing is pushed through
     it, so callers filter first.  NULL HTML is not tokenized (FLT-7): such articles get
     only their ``doc`` row. Elements beyond ``keep_tags``, if given, have no row: what they hold
     belongs to the element around them.
+
+    The articles are dealt out first, as a small file is one task, whatever it grows to. ``grouped``
+    rows are partitioned by article, which all windows and groups by article use: a few packed megabytes, to which adaptive
+    execution joins partitions, are too much for the sorts of a task, so these are as many as the session's shuffles have.
     """
     carry = [c for c in (carry or []) if c not in ("article_id", html_col)]
     src = articles.select(F.col("article_id").cast("long").alias("article_id"),
                           F.coalesce(F.col(html_col), F.lit("")).alias("__html"), *carry)
     schema = node_schema(articles, carry)
-    return src.mapInArrow(lambda it: _tokenize_batches(it, carry, keep_tags), schema)
+    nodes = by_article(src).mapInArrow(lambda it: _tokenize_batches(it, carry, keep_tags), schema)
+    return by_article(nodes) if grouped else nodes
 
 
 # --------------------------------------------------------------------------- windows

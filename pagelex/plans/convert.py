@@ -3,12 +3,12 @@
 ``articles(article_id, title, text, aliases, articlepath?)`` ->
 ``converted(article_id, title, aliases, content binary, n_bytes, has_math, error, status)``
 
-Plan shape (one Python step, one exchange)::
+Plan shape (one Python step, one exchange of node rows)::
 
-    scan -> newline collapse -> tokenize (Arrow) -> sanitise rows -> href/src/srcset rewrite
-    (broadcast joins to the dims) -> Exchange hashpartitioning(article_id) -> windows:
-    online link, geo, rule passes, maps, autonumber, math, header -> ordered collect_list
-    per article -> output assembly
+    scan -> newline collapse -> articles dealt out -> tokenize (Arrow) -> Exchange
+    hashpartitioning(article_id) -> sanitise rows -> href/src/srcset rewrite (broadcast joins to
+    the dims) -> windows: online link, geo, rule passes, maps, autonumber, math, header ->
+    ordered collect_list per article -> output assembly
 
 Every window shares ``partitionBy(article_id).orderBy(pos)``; inserted rows come from
 ``explode``, so nothing re-shuffles.  A single article is the unit of skew: its node rows
@@ -102,13 +102,13 @@ def clean_nodes(articles: DataFrame, dims: Dims, opts: ConvertOptions, header: b
     if opts.html_encoding.lower() not in CHARSETS:
         raise ValueError(f"unsupported html encoding: {opts.html_encoding}")
     prep = prepare(articles)
-    nodes = N.tokenize(prep, "text", carry=["__title", "__ap", "__has_text", "__aliases"], keep_tags=C.KEPT_TAGS)
+    nodes = N.tokenize(prep, "text", carry=["__title", "__ap", "__has_text", "__aliases"], keep_tags=C.KEPT_TAGS, grouped=True)
     nodes = C.sanitise_rows(nodes)
     nodes = rewrite_node_links(nodes, dims, opts)
     doc = F.col("kind") == "doc"
     for c in ("__title", "__ap", "__aliases"):
         nodes = nodes.withColumn(c, F.when(doc, F.col(c)))
-    # ---- after this point every step is a window over the article (one exchange)
+    # ---- after this point every step is a window over the article
     nodes = X.capture_online_link(nodes)
     nodes = C.geo_links(nodes)
     nodes = C.apply_rules(nodes, list(opts.rules), first_pass_hit=C.kill_hit() | F.coalesce(F.col("__geo_drop"), F.lit(False)))

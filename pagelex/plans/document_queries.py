@@ -24,8 +24,8 @@ def _articles(df, key: str, *pieces):
     return df.select(F.col(key).alias("article_id"), html.alias("text"))
 
 
-def _nodes(articles):
-    return N.tokenize(articles.select(F.col("article_id").cast("long").alias("article_id"), "text"), "text")
+def _nodes(articles, grouped=False):
+    return N.tokenize(articles.select(F.col("article_id").cast("long").alias("article_id"), "text"), "text", grouped=grouped)
 
 
 def _text(nodes, *tags):
@@ -49,7 +49,7 @@ def rule_chains(spark, d):
         p, "p_partkey", '<div class="a"><b><i>chain', k, "</i></b><i>side", k, '</i></div><div class="a"><u><b><i>deep', k, "</i></b></u></div>",
         '<section id="s', (F.col("p_size") % 2).cast("string"), '"><ul><li><em><a href="#x">q</a></em></li></ul></section><div><p></p></div>t', k,
     )
-    kept = C.apply_rules(_nodes(arts), ["div.a > b > i", "section#s0 > ul li > em > a[href]", "p:empty, div:empty"])
+    kept = C.apply_rules(_nodes(arts, grouped=True), ["div.a > b > i", "section#s0 > ul li > em > a[href]", "p:empty, div:empty"])
     return _text(kept, "div", "i", "b", "p", "a")
 
 
@@ -92,7 +92,7 @@ def formulas_unwrapped(spark, d):
     # text in a red link beside; blanks in one beside; within one, with text beside or not; within three, one of them closed before
     other = F.when(F.col("p_size") % 2 == 0, "").otherwise("t")
     html = F.element_at(F.array(F.concat(red("t"), m), F.concat(red(" "), m), F.concat(red(m), other), red(F.concat(red(""), red(m)))), (F.col("p_partkey") % 4 + 1).cast("int"))
-    n = C.math_tex(C.unwrap_rules(_nodes(_articles(FX.table(spark, d, "part"), "p_partkey", "<div>a<p>", html, "</p></div>"))))
+    n = C.math_tex(C.unwrap_rules(_nodes(_articles(FX.table(spark, d, "part"), "p_partkey", "<div>a<p>", html, "</p></div>"), grouped=True)))
     return X.formulas(n).select("article_id", "tex", "display")
 
 
@@ -107,7 +107,7 @@ UNION ALL SELECT p_partkey, 'img', 'div', 1 FROM part
 def rebuilt_parents(spark, d):
     """Parents and depths of the tree without unwrapped elements: the nearest element still around each one."""
     u = F.when(F.col("p_size") % 2 == 0, "s").otherwise("u")
-    n = _nodes(_articles(FX.table(spark, d, "part"), "p_partkey", "<div><p><s><s></s><s><", u, "><b>x</b></", u, "></s></s><i>y</i></p><s><img></s></div>"))
+    n = _nodes(_articles(FX.table(spark, d, "part"), "p_partkey", "<div><p><s><s></s><s><", u, "><b>x</b></", u, "></s></s><i>y</i></p><s><img></s></div>"), grouped=True)
     n = N.rebuild_parents(n.where(F.coalesce(F.col("tag") != "s", F.lit(True))))
     return n.where(F.col("kind") == "open").select("article_id", "tag", "ptag", "depth")
 
@@ -237,4 +237,4 @@ def rule_files(spark, d):
     lines.coalesce(1).write.text(f"{top}/region")
     rules = R.collect_rules(R.read_rules(spark, ["region"], top, adhoc=["p.n24"]))
     arts = _articles(FX.table(spark, d, "customer"), "c_custkey", '<div><p class="n', F.col("c_nationkey").cast("string"), '">x</p>y', F.col("c_custkey").cast("string"), "</div>")
-    return _text(C.apply_rules(_nodes(arts), rules))
+    return _text(C.apply_rules(_nodes(arts, grouped=True), rules))

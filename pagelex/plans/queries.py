@@ -75,8 +75,8 @@ def tokens(spark, articles: DataFrame) -> DataFrame:
     return N.tokenize(articles.select("article_id", "text"), "text")
 
 
-def nodes_of(df: DataFrame) -> DataFrame:
-    return N.tokenize(df.select(F.col("article_id").cast("long").alias("article_id"), "text"), "text")
+def nodes_of(df: DataFrame, grouped: bool = False) -> DataFrame:
+    return N.tokenize(df.select(F.col("article_id").cast("long").alias("article_id"), "text"), "text", grouped=grouped)
 
 
 # ---------------------------------------------------------------- links
@@ -212,7 +212,7 @@ FROM g
 @query("tiles", TILES_SQL)
 def tiles(spark, d):
     """DOC-13 + EXT-4 + SCL-4: map anchors to static tiles; a missing attribute drops the map."""
-    nodes = C.convert_maps(nodes_of(FX.v_geo_html(spark, d)))
+    nodes = C.convert_maps(nodes_of(FX.v_geo_html(spark, d), grouped=True))
     # the map's image is the row right after the anchor
     nodes = nodes.withColumn("__img", F.lead(F.col("attrs")["src"]).over(N.article_window()))
     m = nodes.where(F.col("__map").isNotNull()).select("article_id", "__map.*", F.col("__img").alias("img_src"))
@@ -228,7 +228,7 @@ FROM g WHERE NOT (c_custkey % 3 = 0 AND c_custkey % 10 = 9)
 """)
 def geo_points(spark, d):
     """DOC-12 + EXT-3: the three coordinate microformats to geo: links."""
-    nodes = C.geo_links(nodes_of(FX.v_coord_html(spark, d)))
+    nodes = C.geo_links(nodes_of(FX.v_coord_html(spark, d), grouped=True))
     return X.coordinates(nodes).select("article_id", "lat", "lon", "format", "href")
 
 
@@ -440,7 +440,7 @@ FROM pages
 def sanitise(spark, d):
     """DOC-2: scripts, meta, comments out; html/title unwrapped; style and anchors kept."""
     pages = FX.table(spark, d, "pages").select(F.col("page_id").alias("article_id"), F.col("html").alias("text"))
-    n = C.sanitise_rows(nodes_of(pages))
+    n = C.sanitise_rows(nodes_of(pages, grouped=True))
     n = N.drop_subtrees(n, C.is_open() & F.col("tag").isin(*C.KILL_TAGS))
     return _counts(n, ["a", "style", "script", "meta", "title", "html", "body"])
 
@@ -453,7 +453,7 @@ FROM pages
 def head_drop(spark, d):
     """DOC-4 + WIN-3: head (with title, style) and base removed with their content."""
     pages = FX.table(spark, d, "pages").select(F.col("page_id").alias("article_id"), F.col("html").alias("text"))
-    n = N.drop_subtrees(C.sanitise_rows(nodes_of(pages)), C.kill_hit())
+    n = N.drop_subtrees(C.sanitise_rows(nodes_of(pages, grouped=True)), C.kill_hit())
     return _counts(n, ["head", "style", "a", "body"]).drop("n_comment")
 
 
@@ -480,7 +480,7 @@ FROM part
 def rule_drop(spark, d):
     """DOC-3 + UDF-1 + WIN-3 + JOIN-10: selector rules (classes, :not, ^=, :empty, >,
     descendant) drop elements with their subtree, in rule order."""
-    n = C.apply_rules(nodes_of(FX.v_rules_html(spark, d)), FX.RULES)
+    n = C.apply_rules(nodes_of(FX.v_rules_html(spark, d), grouped=True), FX.RULES)
     return _text_of(n, ["div", "img", "a", "p", "li"])
 
 
@@ -500,7 +500,7 @@ def _rules_html_sql() -> str:
 @query("serialise_text", f"SELECT p_partkey AS article_id, {_rules_html_sql()} AS html FROM part")
 def serialise_text(spark, d):
     """DOC-1 + DOC-16 + AGG-5: tokenize -> serialise is the identity on normalised HTML."""
-    return N.serialise(nodes_of(FX.v_rules_html(spark, d)), wrap_tag=None)
+    return N.serialise(nodes_of(FX.v_rules_html(spark, d), grouped=True), wrap_tag=None)
 
 
 @query("unwrap", """
@@ -509,7 +509,7 @@ FROM customer
 """)
 def unwrap(spark, d):
     """DOC-5: red links and IPA links lose their tag, keep their text."""
-    n = C.unwrap_rules(nodes_of(FX.v_new_html(spark, d)))
+    n = C.unwrap_rules(nodes_of(FX.v_new_html(spark, d), grouped=True))
     return _text_of(n, ["a"])
 
 
@@ -553,7 +553,7 @@ def href_src_rewrite(spark, d):
     dims = FX.query_dims(spark, d)
     arts = FX.v_links_html(spark, d)
     n = N.tokenize(arts.select(F.col("article_id").cast("long").alias("article_id"), "text", F.col("title").alias("__title"),
-                               F.lit(None).cast("string").alias("__ap")), "text", carry=["__title", "__ap"])
+                               F.lit(None).cast("string").alias("__ap")), "text", carry=["__title", "__ap"], grouped=True)
     n = swap_links(rewrite_node_links(n, dims, ConvertOptions()))
     of = lambda tag, name: F.max(F.when((F.col("kind") == "open") & (F.col("tag") == tag), F.col("attrs")[name])).alias(name)
     return n.groupBy("article_id").agg(of("a", "href"), of("img", "src"), of("img", "srcset"))
@@ -600,7 +600,7 @@ FROM l
 """)
 def autonumber(spark, d):
     """DOC-9 + WIN-1: external-link autonumbering in document order."""
-    n = C.autonumber(nodes_of(FX.v_auto_html(spark, d)))
+    n = C.autonumber(nodes_of(FX.v_auto_html(spark, d), grouped=True))
     w = N.article_window()
     n = n.withColumn("__t", F.lead("text").over(w)).withColumn("__k", F.lead("kind").over(w))
     a = n.where((F.col("kind") == "open") & (F.col("tag") == "a"))
@@ -623,11 +623,11 @@ FROM items GROUP BY l_orderkey
 """)
 def headings_toc(spark, d):
     """EXT-2 + WIN-4 + AGG-6: headings table nested into the contents list."""
-    return X.toc_html(X.headings(nodes_of(FX.v_toc_html(spark, d))))
+    return X.toc_html(X.headings(nodes_of(FX.v_toc_html(spark, d), grouped=True)))
 
 
 def _math_nodes(spark, d):
-    n = nodes_of(FX.v_math_html(spark, d))
+    n = nodes_of(FX.v_math_html(spark, d), grouped=True)
     return C.math_images(C.strip_attributes(C.math_tex(n)))
 
 

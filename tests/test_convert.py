@@ -174,3 +174,13 @@ def test_line_addresses():
     for bad in ("", "a", "1:", "1:2:3", "-1"):
         with pytest.raises(ValueError):
             line_address(bad)
+
+
+def test_articles_of_one_small_file_are_dealt_out_and_grouped_rows_need_no_other_exchange(spark):
+    """One input partition, as of a small file, is no bound of the tokenizer's tasks, and windows use the partitions of grouped rows."""
+    df = spark.createDataFrame([(i, f"<p>{i}</p>") for i in range(200)], "article_id long, text string").coalesce(1)
+    at = lambda n: n.where(F.col("kind") == "doc").groupBy(F.spark_partition_id().alias("p")).count().count()
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert at(N.tokenize(df)) == at(N.tokenize(df, grouped=True)) == partitions > 1
+    plan = N.serialise(C.apply_rules(N.tokenize(df, grouped=True), [".x .y"]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(article_id") == 2 and "ENSURE_REQUIREMENTS" not in plan
