@@ -247,11 +247,9 @@ def dangling_links(links: DataFrame, keys: DataFrame) -> DataFrame:
     """EXT-1 against the keys: article_id, target, fragment, n_links of the local links that no key answers. A key with a fragment of
     its own answers links to its target whatever their fragment, as a plain one does.
 
-    Targets are told apart once each (the links of a hub come down to a row a task) and matched with the distinct keys; only the
-    targets that stay open go back to their links, on (target, part), so that the links of an open hub are dealt over many tasks.
+    The links are read once: they are dealt on (target, one of some parts) and each key is given to all parts, so that the links of
+    a hub, open or not, are dealt over many tasks.
     """
-    targets = link_targets(links)
-    open_ = targets.select("target").distinct().join(keys.select(F.col("key").alias("target")).distinct(), "target", "left_anti")
-    parts = open_.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
-    dealt = targets.withColumn("__part", F.pmod(F.xxhash64("article_id"), F.lit(DEALT)).cast("int"))
-    return dealt.join(parts, ["target", "__part"], "left_semi").select("article_id", "target", "fragment", "n_links")
+    targets = link_targets(links).withColumn("__part", F.pmod(F.xxhash64("article_id"), F.lit(DEALT)).cast("int"))
+    answered = keys.select(F.col("key").alias("target")).distinct().withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
+    return targets.join(answered, ["target", "__part"], "left_anti").select("article_id", "target", "fragment", "n_links")

@@ -184,3 +184,14 @@ def test_articles_of_one_small_file_are_dealt_out_and_grouped_rows_need_no_other
     assert at(N.tokenize(df)) == at(N.tokenize(df, grouped=True)) == partitions > 1
     plan = N.serialise(C.apply_rules(N.tokenize(df, grouped=True), [".x .y"]))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(article_id") == 2 and "ENSURE_REQUIREMENTS" not in plan
+
+
+def test_dangling_links_read_the_links_once(spark):
+    from pagelex.operators import links as L
+
+    pages = spark.createDataFrame([(i, f'<a href="/wiki/Hub">h</a><a href="/wiki/P_{i}">p</a><a href="/wiki/P_{i}#f">q</a>') for i in range(40)], "article_id long, text string")
+    keys = spark.createDataFrame([(f"P {i}",) for i in range(0, 40, 2)] + [("P 0",), (None,)], "key string")
+    out = L.dangling_links(L.links_table(N.tokenize(pages), make_dims(spark)), keys)
+    got = {tuple(r) for r in out.collect()}
+    assert got == {(i, "Hub", None, 1) for i in range(40)} | {(i, f"P {i}", f, 1) for i in range(1, 40, 2) for f in (None, "f")} and out.count() == 80
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
