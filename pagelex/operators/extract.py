@@ -159,9 +159,9 @@ def headings(nodes: DataFrame) -> DataFrame:
 
     One ``groupBy(article_id, heading)`` over the heading rows and the text rows inside them
     (headings never nest), on the article partitioning: no join back, no second pass over
-    the node table.
+    the node table. No other row says anything about headings, so the windows don't see any.
     """
-    nodes = heading_levels(nodes)
+    nodes = heading_levels(nodes.where((is_open() & F.col("tag").isin("h2", "h3", "h4")) | (F.col("kind") == "text")))
     is_h = is_open() & F.col("__level").isNotNull()
     nodes = nodes.withColumn("__in_h", N.enclosing(is_h, F.col("pos")))
     rows = nodes.where(F.col("__in_h").isNotNull() & (is_h | (F.col("kind") == "text")))

@@ -195,3 +195,13 @@ def test_dangling_links_read_the_links_once(spark):
     got = {tuple(r) for r in out.collect()}
     assert got == {(i, "Hub", None, 1) for i in range(40)} | {(i, f"P {i}", f, 1) for i in range(1, 40, 2) for f in (None, "f")} and out.count() == 80
     assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
+def test_windows_of_headings_see_headings_and_text_only(spark):
+    from pagelex.operators import extract as X
+
+    df = spark.createDataFrame([(1, '<div><h2 id="a">A<b>c</b></h2><p>x<br></p><h3 id="b"><i>B</i></h3></div>')], "article_id long, text string")
+    out = X.headings(N.tokenize(df, grouped=True))
+    assert sorted((r.level, r.id, r.text, r.listed) for r in out.collect()) == [(2, "a", "Ac", True), (3, "b", "B", True)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "tag" in plan[plan.rindex("Window ["):].split("Filter", 1)[1].split("\n")[0]
