@@ -170,8 +170,7 @@ def headings(nodes: DataFrame) -> DataFrame:
         F.max(F.when(is_h, F.col("attrs")["id"])).alias("id"),
         F.max(F.when(is_h & F.col("__listed") & (F.col("__level") > 2), F.col("__hparent"))).alias("parent_pos"),
         F.max(F.when(is_h, F.col("__listed"))).alias("listed"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == "text", F.struct("pos", "text")))),
-                                 lambda x: x["text"]), "").alias("text"))
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("kind") == "text", F.struct("pos", "text"))))["text"], "").alias("text"))
     return out.where(F.coalesce(F.col("id"), F.lit("")) != "") \
         .select("article_id", "pos", "level", "id", "text", "parent_pos", "listed")
 
@@ -188,7 +187,7 @@ def toc_html(heads: DataFrame) -> DataFrame:
     item = F.when(F.col("nxt").isNull(), F.concat(item, F.lit("</li>"), F.repeat(F.lit("</ol></li>"), lv - 2))).otherwise(item)
     return lst.groupBy("article_id").agg(F.concat(
         F.lit('<div id="a2-toc"><ol class="toc">'),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", item.alias("s")))), lambda x: x["s"]), ""),
+        F.array_join(F.sort_array(F.collect_list(F.struct("pos", item.alias("s"))))["s"], ""),
         F.lit("</ol></div>")).alias("toc_html"))
 
 

@@ -23,6 +23,10 @@ through the single ``article_id`` exchange.
 
 from __future__ import annotations
 
+import html
+import html.parser
+import itertools
+import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -50,56 +54,142 @@ NODE_FIELDS = [
     ("pclose", T.LongType()),
 ]
 
-_ARROW_TYPES = {
-    "pos": pa.int64(), "kind": pa.string(), "tag": pa.string(), "attrs": pa.map_(pa.string(), pa.string()),
-    "text": pa.string(), "close_pos": pa.int64(), "parent_pos": pa.int64(), "depth": pa.int32(),
-    "ptag": pa.string(), "pclass": pa.string(), "raw": pa.bool_(), "pclose": pa.int64(),
-}
+
+# What the scanner reads itself: markup on which every version of the stdlib parser agrees. From the first token of another
+# form on (unquoted values, stray "<", open quotes or comments, ...) a document is read by the stdlib parser.
+_SPACE = r"[ \t\n\r\f]"
+_TOKEN = re.compile(
+    rf"""([^<]+)
+    |<([a-zA-Z][a-zA-Z0-9:_-]*)((?:{_SPACE}+[a-zA-Z_:][a-zA-Z0-9_:.-]*(?:=(?:"[^"]*"|'[^']*'))?)*){_SPACE}*(/?)>
+    |</([a-zA-Z][a-zA-Z0-9:_-]*){_SPACE}*>
+    |<!--(?![->])((?:[^-]|-(?!-))*)-->
+    |<!([dD][oO][cC][tT][yY][pP][eE][^>]*)>""".replace("\n    ", ""),
+)
+_ATTR = re.compile(rf"""{_SPACE}+([^ \t\n\r\f=]+)(?:=(?:"([^"]*)"|'([^']*)'))?""")
+_RAW_END = {t: re.compile(rf"</\s*{t}", re.I) for t in RAW_TEXT_TAGS}
+_OTHER_MODE = (frozenset(HTMLParser.CDATA_CONTENT_ELEMENTS) | frozenset(getattr(HTMLParser, "RCDATA_CONTENT_ELEMENTS", ())) | {"plaintext"}) - RAW_TEXT_TAGS
+_unescape_attr = getattr(html.parser, "_unescape_attrvalue", html.unescape)
+
+_KINDS = ("doc", "open", "text", "comment", "doctype", "pi", "error", "text")
+_DOC, _OPEN, _TEXT, _COMMENT, _DOCTYPE, _PI, _ERROR, _RAW = range(8)  # _RAW: text that is not escaped
 
 
 class _Tokenizer(HTMLParser):
-    """Token rows of one document as column lists."""
+    """Token rows of documents, one after another, as column lists; parents by row number, so that a parent's columns are taken at the end."""
 
     def __init__(self, keep_tags: frozenset[str] | None = None):
         super().__init__(convert_charrefs=True)
         self.keep_tags = keep_tags
-        self.parents: list[tuple[str, int, str | None]] = []  # the open elements that have a row
-        self.cols = {k: [] for k, _ in NODE_FIELDS}
-        self.stack: list[tuple[str, int | None, str | None]] = []  # (tag, row index or None, class)
+        self.pos, self.kind, self.tag, self.text, self.close_pos, self.parent, self.depth, self.cls = self.lists = [[] for _ in range(8)]
+        self.n_attrs: list[int | None] = []  # of each row; None: no map
+        self.keys: list[str] = []
+        self.values: list[str] = []
+        self._start()
+
+    def _start(self):
+        self.reset()
+        self.parents: list[int] = []  # rows of the open elements that have one
+        self.stack: list[tuple[str, int | None]] = []  # (tag, row or None)
         self.seq = 0
 
-    def _row(self, kind, tag=None, attrs=None, text=None, raw=False):
-        c = self.cols
-        pos = self.seq * STEP
+    def _row(self, kind, tag=None, text=None, n_attrs=None, cls=None):
+        pos, parents = self.seq * STEP, self.parents
         self.seq += 1
-        parent = self.parents[-1] if self.parents else None
-        c["pos"].append(pos)
-        c["kind"].append(kind)
-        c["tag"].append(tag)
-        c["attrs"].append(attrs)
-        c["text"].append(text)
-        c["close_pos"].append(pos)
-        c["parent_pos"].append(c["pos"][parent[1]] if parent else -1)
-        c["depth"].append(len(self.parents))
-        c["ptag"].append(parent[0] if parent else None)
-        c["pclass"].append(parent[2] if parent else None)
-        c["raw"].append(raw)
-        c["pclose"].append(-1)
-        return len(c["pos"]) - 1
+        self.pos.append(pos)
+        self.kind.append(kind)
+        self.tag.append(tag)
+        self.text.append(text)
+        self.close_pos.append(pos)
+        self.parent.append(parents[-1] if parents else None)
+        self.depth.append(len(parents))
+        self.cls.append(cls)
+        self.n_attrs.append(n_attrs)
+
+    def _single(self, kind, at, depth, text=None):
+        """A row beside the tree."""
+        for column, value in zip(self.lists, (at, kind, None, text, at, None, depth, None)):
+            column.append(value)
+        self.n_attrs.append(None)
+
+    def document(self, html_text: str | None):
+        """The rows of one document: its own row and its tokens, or an error row (failure isolation per article, never a failed task)."""
+        self._start()
+        self._single(_DOC, -STEP, -1)
+        rows, attrs = len(self.pos), len(self.keys)
+        try:
+            at = self._scan(html_text)
+            if at < len(html_text):
+                self.feed(html_text[at:])
+                self.close()
+            while self.stack:
+                self._close()
+        except Exception as ex:
+            for column in (*self.lists, self.n_attrs):
+                del column[rows:]
+            del self.keys[attrs:], self.values[attrs:]
+            self._single(_ERROR, 0, 0, f"{type(ex).__name__}: {ex}" or "error")
+
+    def _scan(self, s: str) -> int:
+        """Reads plain tokens up to the returned place, which is the end or a token for the stdlib parser."""
+        at, n, token = 0, len(s), _TOKEN.match
+        while at < n:
+            m = token(s, at)
+            if m is None:
+                return at
+            what = m.lastindex
+            if what == 1:
+                text = m.group(1)
+                self.handle_data(html.unescape(text) if "&" in text else text)
+            elif what == 5:
+                self.handle_endtag(m.group(5).lower())
+            elif what == 4:
+                tag, attrs = m.group(2).lower(), m.group(3)
+                end = None
+                if tag in RAW_TEXT_TAGS:
+                    if m.group(4):
+                        return at
+                    end = _RAW_END[tag].search(s, m.end())
+                    if end is None or not s.startswith(">", end.end()) or end.end() - end.start() != len(tag) + 2 or "<!--" in s[m.end():end.start()]:
+                        return at
+                elif tag in _OTHER_MODE:
+                    return at
+                pairs = [(k.lower(), None if v is None else _unescape_attr(v) if "&" in v else v)
+                         for k, v in ((a.group(1), a.group(2) if a.group(3) is None else a.group(3)) for a in _ATTR.finditer(attrs))] if attrs else ()
+                if m.group(4):
+                    self.handle_startendtag(tag, pairs)
+                else:
+                    self.handle_starttag(tag, pairs)
+                if end is not None:
+                    self.handle_data(s[m.end():end.start()])
+                    self.handle_endtag(tag)
+                    at = end.end() + 1
+                    continue
+            elif what == 6:
+                self.handle_comment(m.group(6))
+            else:
+                self.handle_decl(m.group(7))
+            at = m.end()
+        return at
 
     def handle_starttag(self, tag, attrs):
         if self.keep_tags is not None and tag not in self.keep_tags:  # its children are its parent's
             if tag not in VOID_TAGS:
-                self.stack.append((tag, None, None))
+                self.stack.append((tag, None))
             return
-        amap: dict[str, str] = {}
-        for k, v in attrs:
-            if k not in amap:
-                amap[k] = "" if v is None else v
-        idx = self._row("open", tag, list(amap.items()))
+        cls, n = None, 0
+        if attrs:
+            amap: dict[str, str] = {}
+            for k, v in attrs:
+                if k not in amap:
+                    amap[k] = "" if v is None else v
+            cls, n = amap.get("class"), len(amap)
+            self.keys.extend(amap)
+            self.values.extend(amap.values())
+        self._row(_OPEN, tag, None, n, cls)
         if tag not in VOID_TAGS:
-            self.stack.append((tag, idx, amap.get("class")))
-            self.parents.append(self.stack[-1])
+            row = len(self.pos) - 1
+            self.stack.append((tag, row))
+            self.parents.append(row)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -107,61 +197,64 @@ class _Tokenizer(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                while len(self.stack) > i:
+        stack = self.stack
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] == tag:
+                while len(stack) > i:
                     self._close()
                 return
 
     def _close(self):
-        _, idx, _ = self.stack.pop()
-        if idx is None:
+        _, row = self.stack.pop()
+        if row is None:
             return
         self.parents.pop()
-        self.cols["close_pos"][idx] = self.seq * STEP
+        self.close_pos[row] = self.seq * STEP
         self.seq += 1
 
     def handle_data(self, data):
         if not data:
             return
-        c = self.cols
-        if c["kind"] and c["kind"][-1] == "text" and c["parent_pos"][-1] == (
-                c["pos"][self.parents[-1][1]] if self.parents else -1) and self.seq * STEP == c["pos"][-1] + STEP:
-            c["text"][-1] += data
+        if self.kind[-1] in (_TEXT, _RAW) and self.seq * STEP == self.pos[-1] + STEP and self.parent[-1] == (self.parents[-1] if self.parents else None):
+            self.text[-1] += data
             return
-        raw = bool(self.stack) and self.stack[-1][0] in RAW_TEXT_TAGS
-        self._row("text", text=data, raw=raw)
+        self._row(_RAW if self.stack and self.stack[-1][0] in RAW_TEXT_TAGS else _TEXT, None, data)
 
     def handle_comment(self, data):
-        self._row("comment", text=data)
+        self._row(_COMMENT, None, data)
 
     def handle_decl(self, decl):
-        self._row("doctype", text=decl)
+        self._row(_DOCTYPE, None, decl)
 
     def unknown_decl(self, data):
         if data.startswith("CDATA["):
             self.handle_data(data[6:])
         else:
-            self._row("doctype", text=data)
+            self._row(_DOCTYPE, None, data)
 
     def handle_pi(self, data):
-        self._row("pi", text=data)
-
-    def finish(self):
-        self.close()
-        while self.stack:
-            self._close()
-        c = self.cols
-        close_of = dict(zip(c["pos"], c["close_pos"]))
-        c["pclose"] = [close_of.get(pp, -1) for pp in c["parent_pos"]]
-        return self.cols
+        self._row(_PI, None, data)
+
+    def columns(self) -> list[pa.Array]:
+        """The rows so far as Arrow columns in the order of ``NODE_FIELDS``."""
+        pos, tag, close_pos = pa.array(self.pos, pa.int64()), pa.array(self.tag, pa.string()), pa.array(self.close_pos, pa.int64())
+        kind, parent = pa.array(self.kind, pa.int8()), pa.array(self.parent, pa.int64())
+        ends = list(itertools.accumulate((n or 0 for n in self.n_attrs), initial=0))
+        starts = [None if n is None else at for n, at in zip(self.n_attrs, ends)] + ends[-1:]
+        attrs = pa.MapArray.from_arrays(pa.array(starts, pa.int32()), pa.array(self.keys, pa.string()), pa.array(self.values, pa.string()))
+        of_parent = lambda column, none=None: column.take(parent) if none is None else column.take(parent).fill_null(none)
+        return [
+            pos, pa.array(_KINDS, pa.string()).take(kind), tag, attrs, pa.array(self.text, pa.string()), close_pos, of_parent(pos, -1),
+            pa.array(self.depth, pa.int32()), of_parent(tag), of_parent(pa.array(self.cls, pa.string())), pa.compute.equal(kind, _RAW),
+            of_parent(close_pos, -1),
+        ]
 
 
 def tokenize_one(html: str, keep_tags: frozenset[str] | None = None) -> dict:
-    """Column lists of one document's tokens (used by the Arrow task and by tests)."""
+    """Column lists of one document's tokens (used by tests)."""
     t = _Tokenizer(keep_tags)
-    t.feed(html)
-    return t.finish()
+    t.document(html)
+    return {k: c.to_pylist()[1:] for (k, _), c in zip(NODE_FIELDS, t.columns())}
 
 
 def _small(batches):
@@ -179,46 +272,14 @@ def _small(batches):
 
 def _tokenize_batches(batches, carry: list[str], keep_tags: frozenset[str] | None = None):
     for batch in _small(batches):
-        ids = batch.column("article_id").to_pylist()
-        htmls = batch.column("__html").to_pylist()
-        carried = {c: batch.column(c) for c in carry}
-        out = {k: [] for k, _ in NODE_FIELDS}
-        take: list[int] = []
-        art: list[int] = []
-        for i, (aid, html) in enumerate(zip(ids, htmls)):
-            # the article's own row
-            for k, v in (("pos", -STEP), ("kind", "doc"), ("tag", None), ("attrs", None), ("text", None),
-                         ("close_pos", -STEP), ("parent_pos", -1), ("depth", -1), ("ptag", None),
-                         ("pclass", None), ("raw", False), ("pclose", -1)):
-                out[k].append(v)
-            take.append(i)
-            art.append(aid)
-            try:
-                cols = tokenize_one(html, keep_tags)
-            except Exception as ex:  # failure isolation per article: an error row, never a failed task
-                for k, v in (("pos", 0), ("kind", "error"), ("tag", None), ("attrs", None),
-                             ("text", f"{type(ex).__name__}: {ex}" or "error"), ("close_pos", 0),
-                             ("parent_pos", -1), ("depth", 0), ("ptag", None), ("pclass", None), ("raw", False),
-                             ("pclose", -1)):
-                    out[k].append(v)
-                take.append(i)
-                art.append(aid)
-                continue
-            n = len(cols["pos"])
-            for k in out:
-                out[k].extend(cols[k])
-            take.extend([i] * n)
-            art.extend([aid] * n)
-        arrays = [pa.array(art, pa.int64())]
-        names = ["article_id"]
-        for k, _ in NODE_FIELDS:
-            arrays.append(pa.array(out[k], _ARROW_TYPES[k]))
-            names.append(k)
+        rows, take = _Tokenizer(keep_tags), []
+        for i, html_text in enumerate(batch.column("__html").to_pylist()):
+            before = len(rows.pos)
+            rows.document(html_text)
+            take.extend([i] * (len(rows.pos) - before))
         idx = pa.array(take, pa.int64())
-        for c in carry:
-            arrays.append(carried[c].take(idx))
-            names.append(c)
-        yield pa.RecordBatch.from_arrays(arrays, names=names)
+        arrays = [batch.column("article_id").take(idx), *rows.columns(), *(batch.column(c).take(idx) for c in carry)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["article_id", *(k for k, _ in NODE_FIELDS), *carry])
 
 
 def node_schema(articles: DataFrame, carry: list[str]) -> T.StructType:
@@ -352,11 +413,8 @@ def escape_attr(c: Column) -> Column:
 
 
 def start_tag(tag: Column, attrs: Column) -> Column:
-    pairs = F.transform(
-        F.map_entries(F.coalesce(attrs, F.create_map().cast("map<string,string>"))),
-        lambda e: F.concat(F.lit(" "), e["key"], F.lit('="'), escape_attr(e["value"]), F.lit('"')),
-    )
-    return F.concat(F.lit("<"), tag, F.array_join(pairs, ""), F.lit(">"))
+    pairs = F.transform(F.map_entries(attrs), lambda e: F.concat(F.lit(" "), e["key"], F.lit('="'), escape_attr(e["value"]), F.lit('"')))
+    return F.concat(F.lit("<"), tag, F.when(F.cardinality(attrs) > 0, F.array_join(pairs, "")).otherwise(F.lit("")), F.lit(">"))
 
 
 def serialise(nodes: DataFrame, wrap_tag: str | None = "div", extra_aggs: list | None = None) -> DataFrame:
@@ -370,12 +428,10 @@ def serialise(nodes: DataFrame, wrap_tag: str | None = "div", extra_aggs: list |
     """
     cols = nodes.columns
     zero = F.lit(0).cast("long")
-    okey = F.struct(F.col("pos").alias("a"), zero.alias("b"), zero.alias("c"))
-    ckey = F.struct(F.col("close_pos").alias("a"), zero.alias("b"), zero.alias("c"))
-    if "okey" in cols:
-        okey = F.coalesce(F.col("okey"), okey)
-    if "ckey" in cols:
-        ckey = F.coalesce(F.col("ckey"), ckey)
+    okey, ckey = F.col("pos"), F.col("close_pos")
+    if {"okey", "ckey"} & set(cols):  # keys of places between two tokens; without them positions are enough
+        key = lambda at, own: F.coalesce(*[F.col(own)] * (own in cols), F.struct(F.col(at).alias("a"), zero.alias("b"), zero.alias("c")))
+        okey, ckey = key("pos", "okey"), key("close_pos", "ckey")
     kind = F.col("kind")
     void = F.col("tag").isin(*VOID_TAGS)
     piece = (
@@ -390,9 +446,10 @@ def serialise(nodes: DataFrame, wrap_tag: str | None = "div", extra_aggs: list |
                 F.struct(ckey.alias("k"), F.concat(F.lit("</"), F.col("tag"), F.lit(">")).alias("s"))),
     ).when(piece.isNotNull(), F.array(F.struct(okey.alias("k"), piece.alias("s"))))
     extra_aggs = extra_aggs or []
+    # sort_array compares by itself and ["s"] takes the field of all; array_sort and transform would interpret a function for each item
     parts = nodes.select("*", F.explode_outer(items).alias("it"))
     body = parts.groupBy("article_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("it")), lambda x: x["s"]), "").alias("html"),
+        F.array_join(F.sort_array(F.collect_list("it"))["s"], "").alias("html"),
         *extra_aggs,
     )
     if wrap_tag:

@@ -31,7 +31,7 @@ def _nodes(articles, grouped=False):
 def _text(nodes, *tags):
     """The text of each article and how many elements of each tag are left."""
     of = [F.sum(F.when((F.col("kind") == "open") & (F.col("tag") == t), 1).otherwise(0)).cast("long").alias(f"n_{t}") for t in tags]
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == "text", F.struct("pos", "text")))), lambda x: x["text"]), "")
+    text = F.array_join(F.sort_array(F.collect_list(F.when(F.col("kind") == "text", F.struct("pos", "text"))))["text"], "")
     return nodes.groupBy("article_id").agg(text.alias("text"), *of)
 
 

@@ -253,8 +253,7 @@ def v_auto_html(spark, d) -> DataFrame:
     li = _lineitem_ranked(spark, d)
     piece = F.concat(F.lit('<a class="autonumber external" href="http://e.org/'), F.col("rn").cast("string"), F.lit('">'),
                      F.when(F.col("l_linenumber") % 3 == 0, F.lit("ref")).otherwise(F.lit("")), F.lit("</a>"))
-    art = li.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", piece.alias("s")))),
-                                                                lambda x: x["s"]), "").alias("body"))
+    art = li.groupBy("l_orderkey").agg(F.array_join(F.sort_array(F.collect_list(F.struct("rn", piece.alias("s"))))["s"], "").alias("body"))
     return art.select(F.col("l_orderkey").alias("article_id"), F.col("l_orderkey").cast("string").alias("title"),
                       F.concat(F.lit("<p>"), F.col("body"), F.lit("</p>")).alias("text"))
 
@@ -268,8 +267,7 @@ def v_toc_html(spark, d) -> DataFrame:
     h4 = F.when(F.col("rn") % 2 == 0, F.concat(F.lit('<h4 id="q'), o, F.lit("_"), rn, F.lit('">Qty '),
                                                 F.col("l_quantity").cast("long").cast("string"), F.lit("</h4>"))).otherwise(F.lit(""))
     piece = F.concat(F.lit('<section><h3 id="l'), o, F.lit("_"), rn, F.lit('">Line <span></span>'), rn, F.lit("</h3>"), h4, F.lit("</section>"))
-    art = li.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", piece.alias("s")))),
-                                                                lambda x: x["s"]), "").alias("body"))
+    art = li.groupBy("l_orderkey").agg(F.array_join(F.sort_array(F.collect_list(F.struct("rn", piece.alias("s"))))["s"], "").alias("body"))
     html = F.concat(F.lit('<body><section><h2 id="o'), o, F.lit('">Order '), o, F.lit("</h2>"), F.col("body"),
                     F.lit("</section><section><h2>No id</h2></section></body>"))
     return art.select(F.col("l_orderkey").alias("article_id"), o.alias("title"), html.alias("text"))

@@ -461,8 +461,7 @@ def _text_of(n: DataFrame, tags: list[str] = ()) -> DataFrame:
     """The text of each article and how many elements of each tag it has, in one aggregation."""
     of = [F.sum(F.when((F.col("kind") == "open") & (F.col("tag") == t), 1).otherwise(0)).cast("long").alias(f"n_{t}") for t in tags]
     return n.groupBy("article_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == "text", F.struct("pos", "text")))),
-                                 lambda x: x["text"]), "").alias("text"), *of)
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("kind") == "text", F.struct("pos", "text"))))["text"], "").alias("text"), *of)
 
 
 RULE_SQL = """

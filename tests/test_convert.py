@@ -205,3 +205,28 @@ def test_windows_of_headings_see_headings_and_text_only(spark):
     assert sorted((r.level, r.id, r.text, r.listed) for r in out.collect()) == [(2, "a", "Ac", True), (3, "b", "B", True)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "tag" in plan[plan.rindex("Window ["):].split("Filter", 1)[1].split("\n")[0]
+
+
+def test_plain_markup_is_scanned_and_gives_the_rows_of_the_stdlib_parser(monkeypatch):
+    import random
+
+    pieces = ["<p>", "</p>", '<P CLASS="a b">', '<a href="x&amp;y=1&lt" title=\'q"r\'>', "</a>", "<a HREF=x>", "<br/>", "<div/>", "<div id>", "text", "a &amp; b", "&lt", "<", "< 3",
+              "<!-- c -->", "<!---->", "<!--a--b-->", "<!--open", "<!DOCTYPE html>", "<?pi x?>", '<script>var t="</p>";&amp;</script>', "<style>p{}</style>", "<script/>", "</SCRIPT>",
+              "<script><!-- x</script>", '<foo bar="1" bar="2">', '<a b= "c">', '<a "x">', '<a b="c"d="e">', '<a b="c>', '">', "<![CDATA[x]]>", "<x:y z-1=\"\n\">", "\x00", "</>", "<h1/ >", "</x"]
+    rnd = random.Random(3)
+    docs = [("".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 12))), keep) for keep in (None, C.KEPT_TAGS) for _ in range(1500)]
+    scanned = [N.tokenize_one(*d) for d in docs]
+    with monkeypatch.context() as m:
+        m.setattr(N._Tokenizer, "_scan", lambda self, s: 0)
+        assert [N.tokenize_one(*d) for d in docs] == scanned
+    monkeypatch.setattr(N._Tokenizer, "goahead", lambda self, end: 1 / 0)
+    plain = '<!DOCTYPE html><div class="x">a &amp; b<!-- c --><br><img src="s"/></div><script>if (a < b) "</p>"</script>'
+    assert N.tokenize_one(plain)["kind"] == ["doctype", "open", "text", "comment", "open", "open", "open", "text"]
+
+
+def test_pieces_are_put_in_order_without_interpreted_functions(spark):
+    df = spark.createDataFrame([(1, '<p id="a&lt;">x<br>&amp;<b></b></p>y')], "article_id long, text string")
+    out = N.serialise(N.tokenize(df), wrap_tag=None)
+    assert out.first().html == '<p id="a&lt;">x<br>&amp;<b></b></p>y'
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort" not in plan and "sort_array" in plan
