@@ -260,7 +260,8 @@ def strip_background(nodes: DataFrame, selector_list: str | None) -> DataFrame:
         nodes = S.hits(nodes, selectors, "__bg")
         hit = F.col("__bg")
     styled = hit & F.map_contains_key("attrs", "style")
-    nodes = nodes.withColumn("__style", F.when(styled, style_declarations(F.col("attrs")["style"])))
+    # behind a generator, which filters do not pass, so that a style is parsed once
+    nodes = nodes.select("*", F.explode(F.array(F.when(styled, style_declarations(F.col("attrs")["style"])))).alias("__style"))
     kept = F.filter("__style", lambda d: ~d["name"].isin("background", "background-color"))
     new = set_attr(F.col("attrs"), "style", F.array_join(F.transform(kept, lambda d: d["text"]), ";\n"))
     return nodes.withColumn("attrs", F.when(F.col("__style").isNotNull(), new).otherwise(F.col("attrs"))).drop("__bg", "__style")

@@ -230,3 +230,10 @@ def test_pieces_are_put_in_order_without_interpreted_functions(spark):
     assert out.first().html == '<p id="a&lt;">x<br>&amp;<b></b></p>y'
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "array_sort" not in plan and "sort_array" in plan
+
+
+def test_styles_are_parsed_once_though_filters_read_the_result(spark):
+    df = spark.createDataFrame([(1, '<p style="background: red; margin: 1px">x</p><p>y</p><p style="a(">z</p>')], "article_id long, text string")
+    out = C.strip_background(N.tokenize(df), "p").where(F.startswith(F.col("attrs")["style"], F.lit("margin")))
+    assert [r.attrs for r in out.collect()] == [{"style": "margin: 1px"}]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 1
