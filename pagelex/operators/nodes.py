@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 
 STEP = 16
 OUT_BYTES = 4 << 20
+TASK_CHARS = 2 << 20
 
 # HTML void elements of the soup parser model (never have children).
 VOID_TAGS = frozenset((
@@ -290,9 +291,9 @@ def node_schema(articles: DataFrame, carry: list[str]) -> T.StructType:
     return T.StructType(fields)
 
 
-def by_article(df: DataFrame) -> DataFrame:
-    """Rows in as many partitions by ``article_id`` as the session's shuffles have, whatever their bytes."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "article_id")
+def by_article(df: DataFrame, partitions: int = 0) -> DataFrame:
+    """Rows in as many partitions by ``article_id`` as the session's shuffles have, whatever their bytes, or as ``partitions`` if these are more."""
+    return df.repartition(max(partitions, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "article_id")
 
 
 def tokenize(articles: DataFrame, html_col: str = "text", carry: list[str] | None = None,
@@ -304,6 +305,9 @@ def tokenize(articles: DataFrame, html_col: str = "text", carry: list[str] | Non
     only their ``doc`` row. Elements beyond ``keep_tags``, if given, have no row: what they hold
     belongs to the element around them.
 
+    Node rows that windows sort take up to some hundred times their text, so a task gets the rows of ``TASK_CHARS`` characters on
+    average, whatever the input's size: the characters of ``grouped`` articles are summed first, by a pass over the articles alone.
+
     The articles are dealt out first, as a small file is one task, whatever it grows to. ``grouped``
     rows are partitioned by article, which all windows and groups by article use: a few packed megabytes, to which adaptive
     execution joins partitions, are too much for the sorts of a task, so these are as many as the session's shuffles have.
@@ -312,8 +316,9 @@ def tokenize(articles: DataFrame, html_col: str = "text", carry: list[str] | Non
     src = articles.select(F.col("article_id").cast("long").alias("article_id"),
                           F.coalesce(F.col(html_col), F.lit("")).alias("__html"), *carry)
     schema = node_schema(articles, carry)
-    nodes = by_article(src).mapInArrow(lambda it: _tokenize_batches(it, carry, keep_tags), schema)
-    return by_article(nodes) if grouped else nodes
+    partitions = -(-(src.agg(F.sum(F.length("__html"))).first()[0] or 0) // TASK_CHARS) if grouped else 0
+    nodes = by_article(src, partitions).mapInArrow(lambda it: _tokenize_batches(it, carry, keep_tags), schema)
+    return by_article(nodes, partitions) if grouped else nodes
 
 
 # --------------------------------------------------------------------------- windows

@@ -237,3 +237,11 @@ def test_styles_are_parsed_once_though_filters_read_the_result(spark):
     out = C.strip_background(N.tokenize(df), "p").where(F.startswith(F.col("attrs")["style"], F.lit("margin")))
     assert [r.attrs for r in out.collect()] == [{"style": "margin: 1px"}]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 1
+
+
+def test_partitions_of_grouped_rows_follow_the_size_of_the_articles(spark, monkeypatch):
+    """Windows sort the rows of as many characters in a task at every size of the input."""
+    df = spark.range(400).selectExpr("id AS article_id", "concat('<p>', id + 1000, '</p>') AS text")  # 11 characters each
+    monkeypatch.setattr(N, "TASK_CHARS", 200, raising=False)
+    at = lambda n: n.rdd.getNumPartitions()
+    assert at(N.tokenize(df, grouped=True)) == 22 and at(N.tokenize(df.limit(3), grouped=True)) == 8
