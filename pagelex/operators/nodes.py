@@ -1,8 +1,8 @@
 """The node table: tokenize (DOC-1), serialise (DOC-16 / AGG-5) and subtree windows (WIN-3).
 
 ``tokenize`` is the one Python step of the library: a ``mapInArrow`` over article batches
-that runs the stdlib ``html.parser`` with an open-element stack and emits one row per
-token.  Tree repair follows the Python-parser soup model: void elements never nest,
+that scans plain markup by one regular expression (other markup by the stdlib
+``html.parser``) with an open-element stack and emits one row per token.  Tree repair follows the Python-parser soup model: void elements never nest,
 an end tag closes back to the most recent open element of that name (closing the ones
 opened after it), a stray end tag is ignored, and everything still open is closed at the
 end.  There are no implied end tags (``<p><p>`` nests).
