@@ -296,8 +296,23 @@ def by_article(df: DataFrame, partitions: int = 0) -> DataFrame:
     return df.repartition(max(partitions, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "article_id")
 
 
+def task_partitions(articles: DataFrame, html_col: str = "text") -> int:
+    """How many tasks the articles' node rows ask for, by ``TASK_CHARS``: a pass over the articles alone."""
+    return -(-(articles.agg(F.sum(F.length(html_col))).first()[0] or 0) // TASK_CHARS)
+
+
+def stage_cut(nodes: DataFrame, partitions: int) -> DataFrame:
+    """The rows dealt by article anew (into one partition more, or the exchange would be left out), so that a new stage begins.
+
+    A task compiles what its stage generates unless its executor still holds it, and Spark holds 100 classes
+    (``spark.sql.codegen.cache.maxEntries``) in four parts. A stage of more windows than that allows compiles all its classes in every task,
+    which costs more than the exchange of the rows.
+    """
+    return nodes.repartition(max(partitions, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1, "article_id")
+
+
 def tokenize(articles: DataFrame, html_col: str = "text", carry: list[str] | None = None,
-             keep_tags: frozenset[str] | None = None, grouped: bool = False) -> DataFrame:
+             keep_tags: frozenset[str] | None = None, grouped: bool = False, partitions: int | None = None) -> DataFrame:
     """DOC-1: articles (article_id, <html_col>, carried columns) -> node rows.
 
     Filters placed before this call are pushed to the scan; nothing is pushed through
@@ -306,7 +321,7 @@ def tokenize(articles: DataFrame, html_col: str = "text", carry: list[str] | Non
     belongs to the element around them.
 
     Node rows that windows sort take up to some hundred times their text, so a task gets the rows of ``TASK_CHARS`` characters on
-    average, whatever the input's size: the characters of ``grouped`` articles are summed first, by a pass over the articles alone.
+    average, whatever the input's size: the characters of ``grouped`` articles are summed first, unless ``partitions`` is given.
 
     The articles are dealt out first, as a small file is one task, whatever it grows to. ``grouped``
     rows are partitioned by article, which all windows and groups by article use: a few packed megabytes, to which adaptive
@@ -316,7 +331,7 @@ def tokenize(articles: DataFrame, html_col: str = "text", carry: list[str] | Non
     src = articles.select(F.col("article_id").cast("long").alias("article_id"),
                           F.coalesce(F.col(html_col), F.lit("")).alias("__html"), *carry)
     schema = node_schema(articles, carry)
-    partitions = -(-(src.agg(F.sum(F.length("__html"))).first()[0] or 0) // TASK_CHARS) if grouped else 0
+    partitions = (task_partitions(src, "__html") if partitions is None else partitions) if grouped else 0
     nodes = by_article(src, partitions).mapInArrow(lambda it: _tokenize_batches(it, carry, keep_tags), schema)
     return by_article(nodes, partitions) if grouped else nodes
 

@@ -102,7 +102,8 @@ def clean_nodes(articles: DataFrame, dims: Dims, opts: ConvertOptions, header: b
     if opts.html_encoding.lower() not in CHARSETS:
         raise ValueError(f"unsupported html encoding: {opts.html_encoding}")
     prep = prepare(articles)
-    nodes = N.tokenize(prep, "text", carry=["__title", "__ap", "__has_text", "__aliases"], keep_tags=C.KEPT_TAGS, grouped=True)
+    partitions = N.task_partitions(prep)
+    nodes = N.tokenize(prep, "text", carry=["__title", "__ap", "__has_text", "__aliases"], keep_tags=C.KEPT_TAGS, grouped=True, partitions=partitions)
     nodes = C.sanitise_rows(nodes)
     nodes = rewrite_node_links(nodes, dims, opts)
     doc = F.col("kind") == "doc"
@@ -113,7 +114,7 @@ def clean_nodes(articles: DataFrame, dims: Dims, opts: ConvertOptions, header: b
     nodes = C.geo_links(nodes)
     nodes = C.apply_rules(nodes, list(opts.rules), first_pass_hit=C.kill_hit() | F.coalesce(F.col("__geo_drop"), F.lit(False)))
     nodes = nodes.drop("__geo_drop", "__geo_fmt", "__geo_lat", "__geo_lon")
-    nodes = C.unwrap_rules(nodes)
+    nodes = N.stage_cut(C.unwrap_rules(nodes), partitions)
     nodes = C.strip_background(nodes, opts.remove_embedded_bg)
     nodes = swap_links(nodes)
     nodes = C.convert_maps(nodes)
@@ -123,6 +124,7 @@ def clean_nodes(articles: DataFrame, dims: Dims, opts: ConvertOptions, header: b
     nodes = C.strip_attributes(nodes)
     nodes = C.math_images(nodes)
     if header:
+        nodes = N.by_article(nodes, partitions)  # back to their number: a stage of its own too
         whole = Window.partitionBy("article_id")
         ap_article = F.coalesce(F.max(F.col("__ap")).over(whole), F.lit(dims.site.articlepath))
         nodes = X.article_header(nodes, dims.site.server, ap_article, dims.site.articlepath)

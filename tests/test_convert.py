@@ -245,3 +245,12 @@ def test_partitions_of_grouped_rows_follow_the_size_of_the_articles(spark, monke
     monkeypatch.setattr(N, "TASK_CHARS", 200, raising=False)
     at = lambda n: n.rdd.getNumPartitions()
     assert at(N.tokenize(df, grouped=True)) == 22 and at(N.tokenize(df.limit(3), grouped=True)) == 8
+
+
+def test_conversion_is_cut_into_stages_that_keep_their_classes(spark):
+    """No stage holds so many windows that an executor cannot hold the classes that it generates: every task would compile them anew."""
+    df = spark.createDataFrame([(1, "A", "<h2 id='x'>y</h2>")], "article_id long, title string, text string")
+    for header in (True, False):
+        plan = convert_articles(df, make_dims(spark), ConvertOptions(rules=[".x .y"]), header=header)._jdf.queryExecution().executedPlan().toString()
+        stages = plan.split("Exchange hashpartitioning(article_id")
+        assert max(s.count("- Window [") for s in stages) <= 12 and sum(s.count("- Window [") for s in stages) > 12 * header
