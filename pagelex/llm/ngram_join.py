@@ -98,11 +98,9 @@ def linked(docs: DataFrame) -> DataFrame:
     query = rows.where("prefix is not null").select("key", "n", "prefix").join(group.withColumnRenamed("node", "key"), "key", "left")
     query = query.select("key", "n", F.coalesce("component", "key").alias("g"), F.posexplode_outer("prefix").alias("pos", "tok"))
     token = Window.partitionBy("tok")
-    query = written(
-        query.withColumns({"least": F.min("g").over(token), "most": F.max("g").over(token)}).where("least < most").groupBy("tok", "key").agg(
-            F.first("n").alias("n"), F.first("g").alias("g"), F.first("pos").alias("pos")
-        ),
-        "matrix",
+    # not written: its rows are dealt by token once, for the window, the groups' rows and the join alike
+    query = query.withColumns({"least": F.min("g").over(token), "most": F.max("g").over(token)}).where("least < most").groupBy("tok", "key").agg(
+        F.first("n").alias("n"), F.first("g").alias("g"), F.first("pos").alias("pos")
     )
     matrix = query.groupBy("tok", F.col("g").alias("h")).agg(F.min("n").alias("smallest"), F.max("n").alias("largest"), F.min("pos").alias("at"))
     met = query.join(matrix, "tok").where(f"""g < h and 100 * n >= {PERCENT} * smallest and 100 * largest >= {PERCENT} * n

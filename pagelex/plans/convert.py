@@ -3,15 +3,15 @@
 ``articles(article_id, title, text, aliases, articlepath?)`` ->
 ``converted(article_id, title, aliases, content binary, n_bytes, has_math, error, status)``
 
-Plan shape (one Python step, one exchange of node rows)::
+Plan shape (one Python step, node rows exchanged by article, and anew at each stage cut)::
 
     scan -> newline collapse -> articles dealt out -> tokenize (Arrow) -> Exchange
     hashpartitioning(article_id) -> sanitise rows -> href/src/srcset rewrite (broadcast joins to
-    the dims) -> windows: online link, geo, rule passes, maps, autonumber, math, header ->
+    the dims) -> windows: online link, geo, rule passes -> stage cut -> maps, autonumber, math -> stage cut -> header ->
     ordered collect_list per article -> output assembly
 
 Every window shares ``partitionBy(article_id).orderBy(pos)``; inserted rows come from
-``explode``, so nothing re-shuffles.  A single article is the unit of skew: its node rows
+``explode``, so nothing but the cuts (``nodes.stage_cut``) re-shuffles.  A single article is the unit of skew: its node rows
 live in one task, bounded by the article's size.
 """
 
