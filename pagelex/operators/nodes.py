@@ -73,124 +73,148 @@ _unescape_attr = getattr(html.parser, "_unescape_attrvalue", html.unescape)
 
 _KINDS = ("doc", "open", "text", "comment", "doctype", "pi", "error", "text")
 _DOC, _OPEN, _TEXT, _COMMENT, _DOCTYPE, _PI, _ERROR, _RAW = range(8)  # _RAW: text that is not escaped
+_TEXTS = (_TEXT, _RAW)
 
 
 class _Tokenizer(HTMLParser):
-    """Token rows of documents, one after another, as column lists; parents by row number, so that a parent's columns are taken at the end."""
+    """Token rows of documents, one after another, a tuple each: (pos, kind, tag, text, parent, depth, class, where its attributes begin or None).
+    ``close_pos`` is a list beside them, as it is known later; parents are row numbers, so that a parent's columns are taken at the end."""
 
     def __init__(self, keep_tags: frozenset[str] | None = None):
         super().__init__(convert_charrefs=True)
         self.keep_tags = keep_tags
-        self.pos, self.kind, self.tag, self.text, self.close_pos, self.parent, self.depth, self.cls = self.lists = [[] for _ in range(8)]
-        self.n_attrs: list[int | None] = []  # of each row; None: no map
+        self.rows: list[tuple] = []
+        self.close_pos: list[int] = []
         self.keys: list[str] = []
         self.values: list[str] = []
         self._start()
 
     def _start(self):
-        self.reset()
         self.parents: list[int] = []  # rows of the open elements that have one
-        self.stack: list[tuple[str, int | None]] = []  # (tag, row or None)
+        self.tags: list[str] = []  # of all open elements
+        self.opened: list[int | None] = []  # their rows or None
         self.seq = 0
 
-    def _row(self, kind, tag=None, text=None, n_attrs=None, cls=None):
+    def _row(self, kind, tag=None, text=None, attrs=None, cls=None):
         pos, parents = self.seq * STEP, self.parents
         self.seq += 1
-        self.pos.append(pos)
-        self.kind.append(kind)
-        self.tag.append(tag)
-        self.text.append(text)
+        self.rows.append((pos, kind, tag, text, parents[-1] if parents else None, len(parents), cls, attrs))
         self.close_pos.append(pos)
-        self.parent.append(parents[-1] if parents else None)
-        self.depth.append(len(parents))
-        self.cls.append(cls)
-        self.n_attrs.append(n_attrs)
 
     def _single(self, kind, at, depth, text=None):
         """A row beside the tree."""
-        for column, value in zip(self.lists, (at, kind, None, text, at, None, depth, None)):
-            column.append(value)
-        self.n_attrs.append(None)
+        self.rows.append((at, kind, None, text, None, depth, None, None))
+        self.close_pos.append(at)
 
     def document(self, html_text: str | None):
         """The rows of one document: its own row and its tokens, or an error row (failure isolation per article, never a failed task)."""
         self._start()
         self._single(_DOC, -STEP, -1)
-        rows, attrs = len(self.pos), len(self.keys)
+        rows, attrs = len(self.rows), len(self.keys)
         try:
             at = self._scan(html_text)
             if at < len(html_text):
+                self.reset()
                 self.feed(html_text[at:])
                 self.close()
-            while self.stack:
+            while self.tags:
                 self._close()
         except Exception as ex:
-            for column in (*self.lists, self.n_attrs):
-                del column[rows:]
-            del self.keys[attrs:], self.values[attrs:]
+            del self.rows[rows:], self.close_pos[rows:], self.keys[attrs:], self.values[attrs:]
             self._single(_ERROR, 0, 0, f"{type(ex).__name__}: {ex}" or "error")
 
     def _scan(self, s: str) -> int:
-        """Reads plain tokens up to the returned place, which is the end or a token for the stdlib parser."""
-        at, n, token = 0, len(s), _TOKEN.match
+        """Reads plain tokens up to the returned place, which is the end or a token for the stdlib parser.
+
+        What is most frequent (text, tags and their attributes) is done in the loop itself: a call for each token costs as much as the rest."""
+        at, n = 0, len(s)
+        rows, close_pos, keys, values = self.rows, self.close_pos, self.keys, self.values
+        parents, tags, opened, keep = self.parents, self.tags, self.opened, self.keep_tags
+        unescape, add = html.unescape, rows.append
         while at < n:
-            m = token(s, at)
-            if m is None:
-                return at
-            what = m.lastindex
-            if what == 1:
-                text = m.group(1)
-                self.handle_data(html.unescape(text) if "&" in text else text)
-            elif what == 5:
-                self.handle_endtag(m.group(5).lower())
-            elif what == 4:
-                tag, attrs = m.group(2).lower(), m.group(3)
-                end = None
-                if tag in RAW_TEXT_TAGS:
-                    if m.group(4):
-                        return at
-                    end = _RAW_END[tag].search(s, m.end())
-                    if end is None or not s.startswith(">", end.end()) or end.end() - end.start() != len(tag) + 2 or "<!--" in s[m.end():end.start()]:
-                        return at
-                elif tag in _OTHER_MODE:
+            begin = at
+            for m in _TOKEN.finditer(s, at):
+                if m.start() != at:
                     return at
-                pairs = [(k.lower(), None if v is None else _unescape_attr(v) if "&" in v else v)
-                         for k, v in ((a.group(1), a.group(2) if a.group(3) is None else a.group(3)) for a in _ATTR.finditer(attrs))] if attrs else ()
-                if m.group(4):
-                    self.handle_startendtag(tag, pairs)
+                what = m.lastindex
+                if what == 1:
+                    text = m[1]
+                    if "&" in text:
+                        text = unescape(text)
+                    pos, last = self.seq * STEP, rows[-1]
+                    if not text or last[0] + STEP == pos and last[1] in _TEXTS:
+                        self.handle_data(text)
+                    else:
+                        add((pos, _TEXT, None, text, parents[-1] if parents else None, len(parents), None, None))
+                        close_pos.append(pos)
+                        self.seq += 1
+                elif what == 5:
+                    self.handle_endtag(m[5].lower())
+                elif what == 4:
+                    tag = m[2].lower()
+                    if tag in RAW_TEXT_TAGS:
+                        end = None if m[4] else _RAW_END[tag].search(s, m.end())
+                        if end is None or not s.startswith(">", end.end()) or end.end() - end.start() != len(tag) + 2 or "<!--" in s[m.end():end.start()]:
+                            return at
+                    elif tag in _OTHER_MODE:
+                        return at
+                    if keep is None or tag in keep:
+                        cls, first = None, len(keys)
+                        if m[3]:
+                            amap: dict[str, str] = {}
+                            for k, v, w in _ATTR.findall(m[3]):
+                                k = k.lower()
+                                if k not in amap:
+                                    v = v or w
+                                    amap[k] = _unescape_attr(v) if "&" in v else v
+                            cls = amap.get("class")
+                            keys.extend(amap)
+                            values.extend(amap.values())
+                        pos = self.seq * STEP
+                        self.seq += 1
+                        add((pos, _OPEN, tag, None, parents[-1] if parents else None, len(parents), cls, first))
+                        close_pos.append(pos)
+                        row = len(close_pos) - 1
+                    else:  # its children are its parent's
+                        row = None
+                    if tag not in VOID_TAGS:
+                        tags.append(tag)
+                        opened.append(row)
+                        if row is not None:
+                            parents.append(row)
+                        if m[4]:
+                            self._close()
+                    if tag in RAW_TEXT_TAGS:
+                        self.handle_data(s[m.end():end.start()])
+                        self.handle_endtag(tag)
+                        at = end.end() + 1
+                        break
+                elif what == 6:
+                    self._row(_COMMENT, None, m[6])
                 else:
-                    self.handle_starttag(tag, pairs)
-                if end is not None:
-                    self.handle_data(s[m.end():end.start()])
-                    self.handle_endtag(tag)
-                    at = end.end() + 1
-                    continue
-            elif what == 6:
-                self.handle_comment(m.group(6))
-            else:
-                self.handle_decl(m.group(7))
-            at = m.end()
+                    self._row(_DOCTYPE, None, m[7])
+                at = m.end()
+            if at == begin:
+                return at
         return at
 
     def handle_starttag(self, tag, attrs):
-        if self.keep_tags is not None and tag not in self.keep_tags:  # its children are its parent's
-            if tag not in VOID_TAGS:
-                self.stack.append((tag, None))
-            return
-        cls, n = None, 0
-        if attrs:
+        row = None
+        if self.keep_tags is None or tag in self.keep_tags:  # else its children are its parent's
             amap: dict[str, str] = {}
             for k, v in attrs:
                 if k not in amap:
                     amap[k] = "" if v is None else v
-            cls, n = amap.get("class"), len(amap)
+            first = len(self.keys)
             self.keys.extend(amap)
             self.values.extend(amap.values())
-        self._row(_OPEN, tag, None, n, cls)
+            self._row(_OPEN, tag, None, first, amap.get("class"))
+            row = len(self.rows) - 1
         if tag not in VOID_TAGS:
-            row = len(self.pos) - 1
-            self.stack.append((tag, row))
-            self.parents.append(row)
+            self.tags.append(tag)
+            self.opened.append(row)
+            if row is not None:
+                self.parents.append(row)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -198,28 +222,30 @@ class _Tokenizer(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        stack = self.stack
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == tag:
-                while len(stack) > i:
-                    self._close()
-                return
+        tags = self.tags
+        if tags and tags[-1] == tag:
+            self._close()
+        elif tag in tags:
+            while tags[-1] != tag:
+                self._close()
+            self._close()
 
     def _close(self):
-        _, row = self.stack.pop()
-        if row is None:
-            return
-        self.parents.pop()
-        self.close_pos[row] = self.seq * STEP
-        self.seq += 1
+        self.tags.pop()
+        row = self.opened.pop()
+        if row is not None:
+            self.parents.pop()
+            self.close_pos[row] = self.seq * STEP
+            self.seq += 1
 
     def handle_data(self, data):
         if not data:
             return
-        if self.kind[-1] in (_TEXT, _RAW) and self.seq * STEP == self.pos[-1] + STEP and self.parent[-1] == (self.parents[-1] if self.parents else None):
-            self.text[-1] += data
+        last, parents = self.rows[-1], self.parents
+        if last[1] in _TEXTS and self.seq * STEP == last[0] + STEP and last[4] == (parents[-1] if parents else None):
+            self.rows[-1] = (*last[:3], last[3] + data, *last[4:])
             return
-        self._row(_RAW if self.stack and self.stack[-1][0] in RAW_TEXT_TAGS else _TEXT, None, data)
+        self._row(_RAW if self.tags and self.tags[-1] in RAW_TEXT_TAGS else _TEXT, None, data)
 
     def handle_comment(self, data):
         self._row(_COMMENT, None, data)
@@ -238,15 +264,14 @@ class _Tokenizer(HTMLParser):
 
     def columns(self) -> list[pa.Array]:
         """The rows so far as Arrow columns in the order of ``NODE_FIELDS``."""
-        pos, tag, close_pos = pa.array(self.pos, pa.int64()), pa.array(self.tag, pa.string()), pa.array(self.close_pos, pa.int64())
-        kind, parent = pa.array(self.kind, pa.int8()), pa.array(self.parent, pa.int64())
-        ends = list(itertools.accumulate((n or 0 for n in self.n_attrs), initial=0))
-        starts = [None if n is None else at for n, at in zip(self.n_attrs, ends)] + ends[-1:]
-        attrs = pa.MapArray.from_arrays(pa.array(starts, pa.int32()), pa.array(self.keys, pa.string()), pa.array(self.values, pa.string()))
+        pos, kind, tag, text, parent, depth, cls, starts = zip(*self.rows) if self.rows else ((),) * 8
+        pos, tag, close_pos = pa.array(pos, pa.int64()), pa.array(tag, pa.string()), pa.array(self.close_pos, pa.int64())
+        kind, parent = pa.array(kind, pa.int8()), pa.array(parent, pa.int64())
+        attrs = pa.MapArray.from_arrays(pa.array((*starts, len(self.keys)), pa.int32()), pa.array(self.keys, pa.string()), pa.array(self.values, pa.string()))
         of_parent = lambda column, none=None: column.take(parent) if none is None else column.take(parent).fill_null(none)
         return [
-            pos, pa.array(_KINDS, pa.string()).take(kind), tag, attrs, pa.array(self.text, pa.string()), close_pos, of_parent(pos, -1),
-            pa.array(self.depth, pa.int32()), of_parent(tag), of_parent(pa.array(self.cls, pa.string())), pa.compute.equal(kind, _RAW),
+            pos, pa.array(_KINDS, pa.string()).take(kind), tag, attrs, pa.array(text, pa.string()), close_pos, of_parent(pos, -1),
+            pa.array(depth, pa.int32()), of_parent(tag), of_parent(pa.array(cls, pa.string())), pa.compute.equal(kind, _RAW),
             of_parent(close_pos, -1),
         ]
 
@@ -275,9 +300,9 @@ def _tokenize_batches(batches, carry: list[str], keep_tags: frozenset[str] | Non
     for batch in _small(batches):
         rows, take = _Tokenizer(keep_tags), []
         for i, html_text in enumerate(batch.column("__html").to_pylist()):
-            before = len(rows.pos)
+            before = len(rows.rows)
             rows.document(html_text)
-            take.extend([i] * (len(rows.pos) - before))
+            take.extend([i] * (len(rows.rows) - before))
         idx = pa.array(take, pa.int64())
         arrays = [batch.column("article_id").take(idx), *rows.columns(), *(batch.column(c).take(idx) for c in carry)]
         yield pa.RecordBatch.from_arrays(arrays, names=["article_id", *(k for k, _ in NODE_FIELDS), *carry])

@@ -224,6 +224,18 @@ def test_plain_markup_is_scanned_and_gives_the_rows_of_the_stdlib_parser(monkeyp
     assert N.tokenize_one(plain)["kind"] == ["doctype", "open", "text", "comment", "open", "open", "open", "text"]
 
 
+def test_plain_markup_takes_few_calls_a_token():
+    import sys
+
+    t, calls = N._Tokenizer(), []
+    sys.setprofile(lambda frame, event, arg: calls.append(frame.f_code.co_name) if event == "call" else None)
+    try:
+        t.document('<p class="a" id="b">x<br></p>' * 100)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 4 * 100 and len(t.columns()[0]) == 301
+
+
 def test_pieces_are_put_in_order_without_interpreted_functions(spark):
     df = spark.createDataFrame([(1, '<p id="a&lt;">x<br>&amp;<b></b></p>y')], "article_id long, text string")
     out = N.serialise(N.tokenize(df), wrap_tag=None)
