@@ -46,12 +46,10 @@ def clean_url(url) -> Column:
 
 def split_url(url) -> Column:
     """struct<scheme (lower-cased), netloc, path, query, fragment>; absent parts are ''."""
-
-    def parts(u: Column) -> Column:
-        return F.struct(*[(F.lower if name == "scheme" else lambda x: x)(F.regexp_extract(u, URL_SPLIT_RE, i + 1)).alias(name)
-                          for i, name in enumerate(("scheme", "netloc", "path", "query", "fragment"))])
-
-    return F.get(F.transform(F.array(clean_url(url)), parts), 0)  # cleaned once
+    # one match gives all parts: a cleaned URL has no line feed, so that these stand between them
+    cut = F.split(F.regexp_replace(clean_url(url), URL_SPLIT_RE, "$1\n$2\n$3\n$4\n$5"), "\n")
+    names = ("scheme", "netloc", "path", "query", "fragment")
+    return F.get(F.transform(F.array(cut), lambda p: F.struct(*[(F.lower if n == "scheme" else lambda x: x)(F.get(p, i)).alias(n) for i, n in enumerate(names)])), 0)
 
 
 def prefixed(sep: str, part: Column) -> Column:

@@ -49,34 +49,19 @@ class LinkParams:
         return cls(site.server, ap, site.articlepath, ensure_ext_image_urls)
 
 
-def _decide(raw: Column, parts: Column, title: Column | None, ns_hit: Column, iw: Column,
-            p: LinkParams) -> tuple[Column, Column]:
-    """(new_url, kind) for one URL given its split parts and the two dim probes."""
+def _decide(parts: Column, title: Column | None, ns_hit: Column, iw: Column, p: LinkParams) -> Column:
+    """The kind of one URL given its split parts and the two dim probes."""
     ap = U.col_or_lit(p.articlepath)
     srv = F.coalesce(U.col_or_lit(p.server), F.lit(""))
     ext = U.col_or_lit(p.ensure_ext_image_urls)
     scheme, netloc, path, query, frag = (parts[k] for k in ("scheme", "netloc", "path", "query", "fragment"))
-    qs, fs = U.prefixed("?", query), U.prefixed("#", frag)
-    path_q = F.concat(path, qs)
-    big = F.greatest(F.length(path_q), F.lit(1))
+    path_q = F.concat(path, U.prefixed("?", query))
     under = ap.isNotNull() & F.startswith(path_q, ap)
-    rest = F.when(under, path_q.substr(F.length(ap) + 1, big)).otherwise(path_q)
-    rest_noq = F.when(under, path.substr(F.length(ap) + 1, big)).otherwise(path)
-
-    absolute = F.concat(
-        F.coalesce(F.nullif(scheme, F.lit("")), F.lit("http")), F.lit("://"), netloc,
-        F.when(F.endswith(netloc, F.lit(U.THUMB_HOST_SUFFIX)), U.fix_thumb_width(path)).otherwise(path),
-        qs, fs,
-    )
-    ext_url = U.mk_ext_url(srv, ap, p.site_articlepath, raw)
-    iw_path = F.replace(iw["iw_path"], F.lit("$1"), path_q)
-    iw_path = F.when(iw["iw_slash"] & (iw_path != "") & ~F.startswith(iw_path, F.lit("/")),
-                     F.concat(F.lit("/"), iw_path)).otherwise(iw_path)
-    interwiki = F.concat(iw["iw_head"], iw_path, iw["iw_tail"], fs)
+    rest = F.when(under, path_q.substr(F.length(ap) + 1, F.greatest(F.length(path_q), F.lit(1)))).otherwise(path_q)
     is_self = F.lit(False) if title is None else (
         (F.coalesce(title, F.lit("")) != "") & (frag != "") & (F.replace(title, F.lit(" "), F.lit("_")) == rest)
     )
-    kind = (
+    return (
         F.when(netloc != "", F.lit("absolute"))
         .when(ext & U.is_image(path), F.lit("image"))
         .when(under & F.contains(rest, F.lit(":")) & F.coalesce(ns_hit, F.lit(False)) & (srv != ""), F.lit("namespace"))
@@ -85,15 +70,6 @@ def _decide(raw: Column, parts: Column, title: Column | None, ns_hit: Column, iw
         .when(is_self, F.lit("self"))
         .otherwise(F.lit("article"))
     )
-    out = (
-        F.when(kind == "absolute", absolute)
-        .when(kind.isin("image", "namespace"), ext_url)
-        .when(kind == "interwiki", interwiki)
-        .when(kind == "passthrough", raw)
-        .when(kind == "self", F.concat(qs, F.lit("#"), frag))
-        .otherwise(F.concat(U.encode_article_path(rest_noq), qs, fs))
-    )
-    return out, kind
 
 
 def _probe_keys(parts: Column, p: LinkParams) -> tuple[Column, Column]:
@@ -140,7 +116,7 @@ def rewrite_urls(df: DataFrame, url_col: str, out_col: str, dims: Dims, params:
         .join(iw, "__iwk", "left")
     )
     title = F.col(title_col) if title_col else None
-    _, kind = _decide(F.col(url_col), F.col("__u"), title, F.col("__ns_hit"), F.col("__iw"), p)
+    kind = _decide(F.col("__u"), title, F.col("__ns_hit"), F.col("__iw"), p)
     j = j.withColumn("__kind", F.when(F.col(url_col).isNotNull(), kind))
     out = _assemble(F.col(url_col), F.col("__u"), F.col("__iw"), F.col("__kind"), p)
     sel = [F.col(c) for c in cols] + [out.alias(out_col)]
@@ -199,7 +175,8 @@ def rewrite_srcset(df: DataFrame, srcset_col: str, out_col: str, dims: Dims, par
         ns_key, iw_key = _probe_keys(x["parts"], p)
         hits = F.struct(F.when(ns_key.isNotNull(), F.map_contains_key(ns_map, F.coalesce(ns_key, F.lit("")))).alias("ns"),
                         F.when(iw_key.isNotNull(), F.element_at(iw_map, F.coalesce(iw_key, F.lit("")))).alias("iw"))
-        return bound(hits, lambda h: F.concat(_decide(x["url"], x["parts"], None, h["ns"], h["iw"], p)[0], x["tail"]))
+        return bound(hits, lambda h: bound(_decide(x["parts"], None, h["ns"], h["iw"], p),
+                                           lambda kind: F.concat(_assemble(x["url"], x["parts"], h["iw"], kind, p), x["tail"])))
 
     def split(c: Column) -> Column:
         url = F.substring_index(c, " ", 1)

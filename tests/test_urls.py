@@ -105,3 +105,12 @@ def test_srcset(spark, value, expected):
     dims = make_dims(spark)
     df = spark.createDataFrame([(1, value)], "k int, s string")
     assert rewrite_srcset(df, "s", "t", dims).first().t == expected
+
+
+def test_a_url_is_split_by_one_match(spark):
+    urls = ["HTTP://h:1/p/a?q=1?2#f#g", "//h", "a:b:c", "1a:b", "?", "#", "", " \t/x\ny\u2028z", "x#a\u0085", None, "a//b", "s://?q", "é:x"]
+    out = spark.createDataFrame([(u,) for u in urls], "u string").select(U.split_url(F.col("u")).alias("p"))
+    want = [("http", "h:1", "/p/a", "q=1?2", "f#g"), ("", "h", "", "", ""), ("a", "", "b:c", "", ""), ("", "", "1a:b", "", ""), ("",) * 5, ("",) * 5, ("",) * 5,
+            ("", "", "/xy\u2028z", "", ""), ("", "", "x", "", "a\u0085"), (None,) * 5, ("", "", "a//b", "", ""), ("s", "", "", "q", ""), ("", "", "é:x", "", "")]
+    assert [tuple(r.p) for r in out.collect()] == want
+    assert "regexp_extract" not in out._jdf.queryExecution().optimizedPlan().toString()
