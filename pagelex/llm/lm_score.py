@@ -6,15 +6,21 @@ the token's rank in it. All others are the 32nd class, and go on with the first
 takes to number them all; those that still share a path are told apart by their share of it.
 
 Each bit is predicted from how often its node's two sides followed in the training documents, in four contexts: none, the
-classes of the two tokens before, the token before, both tokens before. Counts are kept by context and path as a
-table, summed over all training documents and joined by key: it grows with the corpus, and contexts share nothing.
-Log odds are mixed with weights that a gate picks by the bit and by how often the contexts were seen, and the
-result is refined by an adaptive table over bit and log odds. Weights and table learn online, block by block, each token from
-the counts without itself; they are summed over all tasks, weights averaged by the tokens that they saw. Scoring uses the
-finished model, so that a text's score depends on nothing but the text and the training documents.
-
-A training document is one whose crc32(doc_id as text) mod 10 is not 0 (null id: it is none). The frequent tokens and the
-weights are broadcast, of fixed size at most; all other counts stay distributed and are joined.
+classes of the two tokens before, the token before, both tokens before. Counts are summed over all training documents: they grow
+with the corpus, and contexts share nothing. Log odds are mixed with weights that a gate picks by the bit and by how often the
+contexts were seen, and the result is refined by an adaptive table over bit and log odds. Weights and table learn online, batch by
+batch, each token from the counts without itself; they are summed over all tasks, weights averaged by the tokens that they saw.
+Scoring uses the finished model, so that a text's score depends on nothing but the text and the training documents.
+
+Texts are written once as ranks of tokens, in blocks. The bits of the class and those after it are learned and scored one after
+the other. For the first, tokens are dealt by the token before (by both before, if it is heavy), for the others by the classes of
+the token before and of the token itself: so every count that a part needs stands in it, but for those by pairs of classes and by
+heavy tokens, which are broadcast. What is dealt are packed columns, a few bytes a token, and what comes back is a sum for each text and
+task. Nothing else is shuffled or written by token, and what was shuffled for one step goes before the next.
+
+A training document is one whose crc32(doc_id as text) mod 10 is not 0 (null id: it is none). Broadcast are, of fixed size at most:
+the frequent tokens, counts of the classes that follow a pair of classes or one of the at most ``HEAVY`` heavy tokens, and the weights. A
+part holds ``PART`` tokens or, of large inputs, a ``PARTS``-th of all; a pair of classes is in one part however large it is.
 
 Defined results: a null text is empty, its only token the end; without training documents base_score is 0 and an unknown
 token within its path costs nothing; repeated rows are scored each; extra columns are ignored.
@@ -28,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagelex.llm import tokens
-from pagelex.llm.common import fold_of, written
+from pagelex.llm.common import fold_of, shuffles_released, written
 
 WORDS = 1 << 18
 FLUSH = 400_000
@@ -37,9 +43,13 @@ END = U(0x452821E638D01377)
 BITS = 5
 CLASSES = 1 << BITS
 RARE = CLASSES - 1
-CONTEXTS = ("c0", "c1", "c2")
-INPUTS = len(CONTEXTS) + 2
-BLOCK = 100_000
+OTHER = U(1 << 63)
+INPUTS = 5  # four contexts, and one
+BLOCK = 1 << 20
+PART = 1 << 18
+PARTS = 1 << 10
+HEAVY = 1 << 10
+BATCH = 10_000
 STEPS = 24
 LIMIT = 8.0
 
@@ -83,8 +93,8 @@ def _step(n: str):
 
 
 def _vocabulary(counts: DataFrame, most: int) -> dict:
-    """The most frequent tokens: sorted hashes, counts, classes and codes; the bits of each class's paths,
-    the counts along the paths, and the totals."""
+    """The most frequent tokens: sorted hashes with their ranks and counts; by rank, classes and counts up to there; each class's first
+    rank, the bits of its paths and the counts along its own bits; the totals."""
     step = _step("n")
     steps = sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("v"), F.sum("n").alias("n")).collect(), reverse=True)
     n_all, v_all = sum(s["n"] for s in steps), sum(s["v"] for s in steps)
@@ -100,17 +110,17 @@ def _vocabulary(counts: DataFrame, most: int) -> dict:
     h, n = h[order], n[order]
     before = np.cumsum(n) - n
     kind = np.minimum(before * RARE // max(int(n.sum()), 1), RARE - 1).astype(np.int64)
-    rank = np.arange(len(n)) - np.searchsorted(kind, kind)
     v_rare = int(v_all - len(n))
-    bits = np.array([max(int(k) - 1, 0).bit_length() for k in [*np.bincount(kind, minlength=CLASSES)[:RARE], v_rare]])  # of the path in each class
-    code = (kind.astype(np.uint64) << U(64 - BITS)) | (rank.astype(np.uint64) << (64 - BITS - bits[kind]).astype(np.uint64))
-    by_code = np.argsort(code)
-    codes = np.append(code[by_code], U(RARE) << U(64 - BITS))
-    zero = _path_totals(np.zeros(len(codes), np.int64), codes, np.append(n[by_code], n_all - n.sum()), BITS + np.append(bits[kind[by_code]], 0))
+    bits = np.array([min(max(int(k) - 1, 0).bit_length(), 32) for k in [*np.bincount(kind, minlength=CLASSES)[:RARE], v_rare]])  # of the path in each class
+    mass = np.append(np.bincount(kind, n, RARE), n_all - n.sum())
+    zero = _path_totals(np.zeros(CLASSES), np.arange(CLASSES, dtype=U) << U(64 - BITS), mass, np.full(CLASSES, BITS))
     order = np.argsort(h)
+    end = np.flatnonzero(h == END)
     return {
-        "hash": h[order], "top": tokens.hash_index(h[order]), "n": n[order], "kind": kind[order], "code": code[order], "bits": bits,
-        "codes": codes, "zero": zero.astype(np.float32), "n_all": int(n_all), "v_all": int(v_all), "least": least,
+        "hash": h[order], "top": tokens.hash_index(h[order]), "n": n[order], "rank": order, "kinds": np.append(kind, RARE), "bits": bits,
+        "start": np.append(np.searchsorted(kind, np.arange(RARE)), len(kind)), "heavy": int((n * HEAVY > n_all).sum()),
+        "end": (U(end[0]), kind[end[0]]) if len(end) else (_others(END), RARE),
+        "zero": zero.astype(np.float32), "up_to": np.append(0, np.cumsum(n)), "n_all": int(n_all), "v_all": int(v_all), "least": least,
     }
 
 
@@ -131,21 +141,42 @@ def _path_totals(context: np.ndarray, code: np.ndarray, n: np.ndarray, length: n
     return out
 
 
-def _length(v: dict, code: np.ndarray) -> np.ndarray:
-    return BITS + v["bits"][(code >> U(64 - BITS)).astype(np.int64)]
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers, each byte of them a compressed plane of its own; a plane of zeros takes no room."""
+    codec, head, out = pa.Codec("zstd", compression_level=1), [len(columns)], []
+    for c in columns:
+        planes = np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T
+        made = [codec.compress(np.ascontiguousarray(x), asbytes=True) if x.any() else b"" for x in planes]
+        head += [c.itemsize, len(c), *map(len, made)]
+        out += made
+    return b"".join([np.array([len(head), *head], np.int32).tobytes(), *out])
+
+
+def _unpacked(data: pa.Scalar) -> list[np.ndarray]:
+    codec, data, out = pa.Codec("zstd"), data.as_buffer(), []
+    size = int(np.frombuffer(data, np.int32, 1)[0])
+    head = np.frombuffer(data, np.int32, size, 4).tolist()
+    at, k = 4 * (size + 1), 1
+    for _ in range(head[0]):
+        width, rows = head[k : k + 2]
+        column = np.zeros((rows, width), np.uint8)
+        for j, n in enumerate(head[k + 2 : k + 2 + width]):
+            if n:
+                column[:, j] = np.frombuffer(codec.decompress(data.slice(at, n), rows), np.uint8)
+            at += n
+        out.append(column.reshape(-1).view(f"<u{width}"))
+        k += 2 + width
+    return out
 
 
-def _contexts(v: dict, data: np.ndarray, offsets: np.ndarray):
-    """Hashes, places in the vocabulary, codes, first tokens, and each token's contexts."""
-    h, first = _tokens(data, offsets)
-    at = tokens.find(v["hash"], v["top"], h)
-    deep = int(v["bits"][RARE])
-    code = (U(RARE) << U(64 - BITS)) | (h >> U(64 - deep) << U(64 - BITS - deep) if deep else np.zeros(len(h), np.uint64))
-    kind = np.full(len(h), RARE)
-    known = at >= 0
-    code[known], kind[known] = v["code"][at[known]], v["kind"][at[known]]
-    close = tokens.find(v["hash"], v["top"], np.array([END]))[0]
-    close = v["kind"][close] if close >= 0 else RARE
+def _others(h: np.ndarray) -> np.ndarray:
+    """What stands for tokens beyond the frequent ones, whose own number is their rank: 63 bits of the hash."""
+    return (h >> U(1)) | OTHER
+
+
+def _before(v: dict, ids: np.ndarray, others: np.ndarray, sizes: np.ndarray):
+    """Of the tokens of a block: the token, the two before, and the classes of all three."""
+    first = np.append(0, np.cumsum(sizes, dtype=np.int64))
 
     def earlier(values, fill, n):
         out = np.full(len(values), fill, values.dtype)
@@ -155,108 +186,238 @@ def _contexts(v: dict, data: np.ndarray, offsets: np.ndarray):
             out[starts[starts < first[1:]]] = fill
         return out
 
-    one, two = earlier(h, END, 1), earlier(h, END, 2)
-    found = (
-        earlier(kind, close, 1) * CLASSES + earlier(kind, close, 2),
-        tokens.mix(one).view(np.int64),
-        tokens.mix(one * U(3) + tokens.mix(two)).view(np.int64),
-    )
-    return h, at, code, first, found
+    token, kind = ids.astype(U), v["kinds"][ids]
+    token[ids == len(v["hash"])] = _others(others)
+    end, close = v["end"]
+    return token, earlier(token, end, 1), earlier(token, end, 2), kind, earlier(kind, close, 1), earlier(kind, close, 2)
 
 
-def count_grams(texts: DataFrame, vocabulary) -> DataFrame:
-    """c2, code, c1, c0, n: what follows each context in ``texts`` (text, train), and how often in training texts;
-    one row for each, those of a context in one task, sorted."""
+def encoded(texts: DataFrame, vocabulary) -> DataFrame:
+    """``texts`` (text, text_hash, train) in blocks of about ``BLOCK`` tokens, training texts first: how many these are, ``texts``
+    (hashes and numbers of tokens), ``words`` (ranks, and the hashes of tokens that have none) and ``seen``: how many tokens there
+    are and, of training texts, how often each class follows each pair of classes and each heavy token."""
 
     def run(batches):
         v = vocabulary.value
+        rank_of_none = len(v["hash"])
+        held, size = ([], []), 0
+
+        def flushed():
+            hashes, sizes, ids, others = (np.concatenate(x) for x in zip(*held[1], *held[0], strict=True))
+            train = sum(len(x[0]) for x in held[1])
+            _, one, _, kind, kind_one, kind_two = (x[: sizes[:train].sum()] for x in _before(v, ids, others, sizes))
+            heavy = one < U(v["heavy"])
+            seen = np.bincount(np.concatenate([1 + (kind_one * CLASSES + kind_two) * CLASSES + kind, 1 + CLASSES**3 + one[heavy].astype(np.int64) * CLASSES + kind[heavy]]), minlength=1)
+            seen[0] = len(ids)
+            at = np.flatnonzero(seen)
+            made = (_packed(hashes, sizes.astype(np.uint32)), _packed(ids, others), _packed(at.astype(np.uint32), seen[at]))
+            return pa.RecordBatch.from_arrays([pa.array([train], pa.int32()), *(pa.array([x], pa.binary()) for x in made)], ["train", "texts", "words", "seen"])
+
         for part, data, offsets in tokens.blocks(batches):
-            _, _, code, first, (c0, c1, c2) = _contexts(v, data, offsets)
-            train = np.repeat(part.column("train").to_numpy(zero_copy_only=False), np.diff(first))
-            _, at, which = np.unique(tokens.mix(c2.view(np.uint64) + tokens.mix(code)), return_index=True, return_inverse=True)
-            n = np.bincount(which, train).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (c2[at], code[at].view(np.int64), c1[at], c0[at], n)], ["c2", "code", "c1", "c0", "n"])
+            h, first = _tokens(data, offsets)
+            at = tokens.find(v["hash"], v["top"], h)
+            known = at >= 0
+            ids = np.full(len(h), rank_of_none, np.uint32)
+            ids[known] = v["rank"][at[known]]
+            sizes, hashes = np.diff(first), part.column("text_hash").to_numpy()
+            train = part.column("train").to_numpy(zero_copy_only=False).astype(bool)
+            for which in (False, True):
+                if (train == which).any():
+                    mine = np.repeat(train == which, sizes)
+                    held[which].append((hashes[train == which], sizes[train == which], ids[mine], h[mine & ~known]))
+            size += len(h)
+            if size >= BLOCK:
+                yield flushed()
+                held, size = ([], []), 0
+        if size:
+            yield flushed()
 
-    made = texts.mapInArrow(run, "c2 long, code long, c1 long, c0 long, n long").repartition("c2")
-    return made.groupBy("c2", "code").agg(F.first("c1").alias("c1"), F.first("c0").alias("c0"), F.sum("n").alias("n")).sortWithinPartitions("c2", "code")
+    return texts.mapInArrow(run, "train int, texts binary, words binary, seen binary").withColumn("block", F.monotonically_increasing_id())
 
 
-def _paths(grams: DataFrame, context: str, vocabulary) -> DataFrame:
-    """The rows, those of a context in one task and sorted by code, with how often each node of the code's path occurs in
-    the context: ``p_`` and its name. A path is given up to its last change."""
+def _layout(store: DataFrame, v: dict) -> dict:
+    """The counts ``seen`` in all blocks, and the parts that the work is dealt into: of the class bits by the token before (and the
+    one before that, if it is heavy), of the others by the classes of the token before and of the token itself. Every context of
+    all others stands in one part, whole below these classes."""
 
-    def out(t: pa.Table) -> pa.RecordBatch:
-        code = t.column("code").to_numpy().view(np.uint64)
-        total = _path_totals(t.column(context).to_numpy(), code, t.column("n").to_numpy(), _length(vocabulary.value, code))
-        size = 1 + ((total[:, 1:] != total[:, :-1]) * np.arange(1, total.shape[1])).max(1, initial=0)
-        flat = total[np.arange(total.shape[1]) < size[:, None]].astype(np.float32)
-        path = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(flat))
-        return pa.RecordBatch.from_arrays([*(c.combine_chunks() for c in t.columns), path], [*t.column_names, f"p_{context}"])
+    def run(batches):
+        total = np.zeros(1 + CLASSES**3 + v_heavy * CLASSES, np.int64)
+        for batch in batches:
+            for x in batch.column("seen"):
+                at, n = _unpacked(x)
+                total[at] += n.astype(np.int64)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
+
+    v_heavy = v["heavy"]
+    got = store.select("seen").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    seen = np.zeros(1 + CLASSES**3 + v_heavy * CLASSES)
+    seen[got.column("at").to_numpy()] = got.column("n").to_numpy()
+    pairs, heavy = (np.stack([np.repeat(x.reshape(-1, 1 << b, CLASSES >> b).sum(2), CLASSES >> b, 1) for b in range(BITS + 1)], 2).astype(np.float32)
+                    for x in (seen[1 : 1 + CLASSES**3].reshape(-1, CLASSES), seen[1 + CLASSES**3 :].reshape(-1, CLASSES)))
+    cells = seen[1 : 1 + CLASSES**3].reshape(CLASSES, CLASSES, CLASSES).sum(1).ravel()
+    most = max(PART, seen[0] / PARTS)
+    part, held = np.zeros(len(cells), np.int64), 0.0
+    for i in range(1, len(cells)):
+        held += cells[i - 1]
+        new = held + cells[i] > most
+        part[i] = part[i - 1] + new
+        held *= not new
+    return {"pairs": pairs, "heavy": heavy, "part": part, "first": np.searchsorted(part, np.arange(part[-1] + 2)), "parts": int(min(max(-(-seen[0] // PART), 1), PARTS))}
+
+
+def dealt(store: DataFrame, vocabulary, layout, classes: bool) -> DataFrame:
+    """part, block, train, size, entries: what a part needs of a block (train, size: its training texts, all texts), those of a part in one task
+    and next to each other. Entries are the tokens before, the class (``classes``) or the bits after it, and the text."""
 
     def run(batches):
-        held, rows, enough = [], 0, BLOCK
+        v, a = vocabulary.value, layout.value
+        none, start = len(v["hash"]), v["start"].astype(np.uint32)
         for batch in batches:
-            held.append(batch)
-            rows += len(batch)
-            if rows < enough:
-                continue
-            t = pa.Table.from_batches(held).combine_chunks()
-            c = t.column(context).to_numpy()
-            cut = int(np.searchsorted(c, c[-1]))
-            if cut:
-                yield out(t.slice(0, cut))
-            held, rows = t.slice(cut).to_batches(), len(t) - cut
-            enough = max(BLOCK, 2 * rows)
-        if rows:
-            yield out(pa.Table.from_batches(held).combine_chunks())
-
-    kinds = ", ".join(f"{c} {t}" for c, t in grams.dtypes)
-    return grams.mapInArrow(run, f"{kinds}, p_{context} array<float>")
-
-
-def gathered(texts: DataFrame, vocabulary) -> DataFrame:
-    """c2, code, n, p_c0, p_c1, p_c2: each pair of context and code in ``texts`` and the counts along its path in
-    every context."""
-    grams = written(_paths(count_grams(texts, vocabulary), "c2", vocabulary), "grams")
-    out = grams
-    for c in CONTEXTS[:2]:
-        own = grams.groupBy(c, "code").agg(F.sum("n").alias("n")).repartition(c).sortWithinPartitions(c, "code")
-        out = out.join(_paths(own, c, vocabulary).drop("n"), [c, "code"])
-    return written(out.select("c2", "code", "n", *[f"p_{c}" for c in CONTEXTS]), "gathered")
-
-
-class _Inputs:
-    """Of a batch of ``gathered`` rows: the lengths of paths, and each bit with its inputs and gate. ``but``: rows
-    of which one occurrence is not counted."""
-
-    def __init__(self, v: dict, part: pa.RecordBatch, but: bool):
-        self.code = part.column("code").to_numpy().view(np.uint64)
-        self.length = _length(v, self.code)
-        self.levels = int(self.length.max(initial=0))
-        self.rare = self.code >> U(64 - BITS) == RARE
-        at = np.where(self.rare, len(v["codes"]) - 1, np.searchsorted(v["codes"], self.code))
-        self.totals = [v["zero"][at]]
-        for c in CONTEXTS:
-            lists = part.column(f"p_{c}")
-            first, flat = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
-            self.totals.append(flat[first[:-1, None] + np.minimum(np.arange(self.levels + 1), np.diff(first)[:, None] - 1)])
-        if but:
-            self.totals = [np.maximum(t - 1, 0) for t in self.totals]
-
-    def at(self, b: int):
-        """Rows whose path has a bit b, the bit, inputs and gate."""
-        rows = np.flatnonzero(self.length > b)
-        bit = ((self.code[rows] >> U(63 - b)) & U(1)).astype(np.int64)
-        x, gate = np.empty((INPUTS, len(rows)), np.float32), np.full(len(rows), b * 16)
-        for i, t in enumerate(self.totals):
-            here, taken = t[rows, min(b, t.shape[1] - 1)], t[rows, min(b + 1, t.shape[1] - 1)]
-            x[i] = (2 * bit - 1) * np.log((taken + np.float32(0.4)) / (here - taken + np.float32(0.4)))
-            if i >= 2:
-                gate += _level(here) * (4 if i == 2 else 1)
-        if b >= BITS:
-            x[0, self.rare[rows]] = 0  # nothing is known of a hash's bits
-        x[-1] = 1
-        return rows, bit, np.clip(x, -LIMIT, LIMIT, out=x), gate
+            for block, train, texts, words in zip(*(batch.column(c) for c in ("block", "train", "texts", "words")), strict=True):
+                sizes = _unpacked(texts)[1]
+                token, one, two, kind, kind_one, _ = _before(v, *_unpacked(words), sizes)
+                text = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
+                if classes:
+                    part = ((tokens.mix(one) + np.where(one < U(v["heavy"]), tokens.mix(two), U(0))) % U(a["parts"])).astype(np.uint16)
+                    order, last = np.argsort(part, kind="stable"), kind.astype(np.uint8)
+                    part = part[order]
+                else:
+                    order = np.flatnonzero(v["bits"][kind] > 0)
+                    cell = (kind_one[order] * CLASSES + kind[order]).astype(np.uint16)
+                    by = np.argsort(cell, kind="stable")
+                    order, cell = order[by], cell[by]
+                    part = a["part"][cell]
+                    last = np.minimum(token, U(none)).astype(np.uint32) - start[kind]
+                    if deep := int(v["bits"][RARE]):
+                        last[kind == RARE] = token[kind == RARE] << U(1) >> U(64 - deep)
+                one, two, last, text = one[order], two[order], last[order], text[order]
+                later = text.copy()
+                later[1:] -= text[:-1]
+                known = [np.minimum(x, U(none)).astype(np.uint32) for x in (one, two)]
+                if not classes:
+                    known[0] -= start[kind_one[order]]
+                cut = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part)) if len(part) else np.zeros(1, int)
+                later[cut[1:-1]] = text[cut[1:-1]]
+                made = []
+                for i, j in zip(cut[:-1], cut[1:], strict=True):
+                    columns = [known[0][i:j], known[1][i:j], *(x[i:j][x[i:j] >= OTHER] for x in (one, two)), last[i:j], later[i:j]]
+                    if not classes:
+                        first = a["first"][part[i] : part[i] + 2]
+                        columns.append(np.bincount(cell[i:j] - first[0], minlength=first[1] - first[0]).astype(np.uint32))
+                    made.append(_packed(*columns))
+                n = len(made)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(part[cut[:-1]].astype(np.int32)), *(pa.array([x] * n, k) for x, k in ((block.as_py(), pa.int64()), (train.as_py(), pa.int32()), (len(sizes), pa.int32()))), pa.array(made, pa.binary()),
+                ], ["part", "block", "train", "size", "entries"])
+
+    made = store.select("block", "train", "texts", "words").mapInArrow(run, "part int, block long, train int, size int, entries binary")
+    return made.repartition("part").sortWithinPartitions("part")
+
+
+class _Part:
+    """A part's different rows of two tokens before and path, each bit of theirs with its inputs and gate, and where they occur.
+    ``n``: how often in training texts; ``slot``: the text of each entry, numbered through the blocks; ``row``: its row."""
+
+    def __init__(self, v: dict, a: dict, rows: list[tuple], classes: bool):
+        none, deepest = len(v["hash"]), 0 if classes else int(v["bits"].max())
+        held, slots = [], 0
+        self.blocks = []
+        for part, block, train, size, data in rows:
+            known, other, last, text = (x := _unpacked(data))[:2], x[2:4], x[4].astype(np.int64), np.cumsum(x[5], dtype=np.uint32).astype(np.int64)
+            tokens_before = [y.astype(U) for y in known]
+            if classes:
+                path = last
+            else:
+                cell = np.repeat(np.arange(a["first"][part], a["first"][part + 1]), x[6])
+                tokens_before[0] += v["start"].astype(U)[cell // CLASSES]
+                kind = cell % CLASSES
+                path = kind << deepest | last << (deepest - v["bits"][kind])
+            for y, o in zip(tokens_before, other, strict=True):
+                y[y == none] = o
+            held.append((*tokens_before, path, slots + text, text < train))
+            self.blocks.append((block, slots, slots + size))
+            slots += size
+        one, two, path, self.slot, train = (np.concatenate(x) for x in zip(*held, strict=True))
+        both = np.concatenate([one, two])
+        rest = both >= OTHER
+        both[rest] = U(none) + np.unique(both[rest], return_inverse=True)[1].astype(U)
+        pair, at = np.unique(both[: len(one)] << U(32) | both[len(one) :], return_inverse=True)
+        self.deep = BITS + deepest
+        key, self.row = np.unique(at << self.deep | path, return_inverse=True)
+        self.n = np.bincount(self.row, train, len(key))
+        pair_of, self.path = key >> self.deep, key & ((1 << self.deep) - 1)
+        one, two = pair >> U(32), pair & U((1 << 32) - 1)
+        kind, kinds = self.path >> deepest, v["kinds"][np.minimum(one, U(none)).astype(np.int64)] * CLASSES + v["kinds"][np.minimum(two, U(none)).astype(np.int64)]
+        self.length = BITS + (np.zeros(len(key), np.int64) if classes else v["bits"][kind])
+        self.rare = kind == RARE
+        self.zero, self.up_to, self.kind, self.start, self.end = v["zero"], v["up_to"], kind, v["start"][kind], np.append(v["start"], none)[kind + 1]
+        changes = np.cumsum(np.append(0, one[1:] != one[:-1]))
+        self.contexts = [self._summed((changes[pair_of] << self.deep) | self.path), (key, self.n, None)]
+        self.tables = None
+        if classes:
+            one = one[pair_of]
+            heavy = np.flatnonzero(one < U(v["heavy"]))
+            self.tables = a["pairs"], kinds[pair_of], kind, a["heavy"], heavy, one[heavy].astype(np.int64)
+        else:
+            self.contexts.insert(0, self._summed((kinds[pair_of] << self.deep) | self.path))
+
+    def _summed(self, key: np.ndarray):
+        keys, at = np.unique(key, return_inverse=True)
+        return keys, np.bincount(at, self.n, len(keys)), at
+
+    def _totals(self, b: int) -> list[np.ndarray]:
+        """In each context, how often the row's node at depth b occurs."""
+        out = [self.zero[self.kind, min(b, BITS)]]
+        if b > BITS:  # a node holds the ranks that share the bits so far
+            known = np.flatnonzero(~self.rare & (self.length >= b))
+            left = self.length[known] - b
+            inside = (self.path[known] & ((1 << (self.deep - BITS)) - 1)) >> (self.deep - b) << left
+            first = self.start[known] + inside
+            out[0][known] = self.up_to[np.minimum(first + (1 << left), self.end[known])] - self.up_to[first]
+        for keys, n, at in self.contexts:
+            top = keys >> (self.deep - b)
+            first = np.flatnonzero(np.append(True, top[1:] != top[:-1]))
+            total = np.repeat(np.add.reduceat(n, first), np.diff(np.append(first, len(n)))).astype(np.float32)
+            out.append(total if at is None else total[at])
+        if self.tables:
+            pairs, pair, kind, counts, heavy, one = self.tables
+            out.insert(1, pairs[pair, kind, b])
+            out[2][heavy] = counts[one, kind[heavy], b]
+        return out
+
+    def bits(self, but: bool):
+        """For each bit, the rows whose path has it, the bit, inputs and gate. ``but``: rows of training texts, one
+        occurrence of which is not counted."""
+        first = 0 if self.tables else BITS
+        taken, less = self._totals(first), np.float32(but)
+        for b in range(first, int(self.length.max(initial=0))):
+            here, taken = taken, self._totals(b + 1)
+            rows = np.flatnonzero((self.length > b) & (self.n > 0) if but else self.length > b)
+            bit = (self.path[rows] >> (self.deep - 1 - b)) & 1
+            x, gate = np.empty((INPUTS, len(rows)), np.float32), np.zeros(len(rows), np.int64)
+            for i, (p, q) in enumerate(zip(here, taken, strict=True)):
+                p, q = np.maximum(p[rows] - less, 0), np.maximum(q[rows] - less, 0)
+                x[i] = (2 * bit - 1) * np.log((q + np.float32(0.4)) / (p - q + np.float32(0.4)))
+                if i >= 2:
+                    gate += _level(p) * (4 if i == 2 else 1)
+            if b >= BITS:
+                x[0, self.rare[rows]] = 0  # nothing is known of a hash's bits
+            x[-1] = 1
+            yield b, rows, bit, np.clip(x, -LIMIT, LIMIT, out=x), gate
+
+
+def _parts(v: dict, a: dict, batches, classes: bool):
+    rows = []
+    for batch in batches:
+        for part, block, train, size, data in zip(*batch.columns, strict=True):
+            part = part.as_py()
+            if rows and rows[-1][0] != part:
+                yield _Part(v, a, rows, classes)
+                rows = []
+            rows.append((part, block.as_py(), train.as_py(), size.as_py(), data))
+    if rows:
+        yield _Part(v, a, rows, classes)
 
 
 def _level(n: np.ndarray) -> np.ndarray:
@@ -271,39 +432,41 @@ def _step_of(x: np.ndarray) -> np.ndarray:
     return np.minimum(((x + LIMIT) * (STEPS / (2 * LIMIT))).astype(np.int64), STEPS - 1)
 
 
-def learn(grams: DataFrame, vocabulary, levels: int) -> dict:
-    """The weights and the table, from the ``gathered`` rows of training texts; ``vocabulary`` is broadcast."""
+def learn(store: DataFrame, vocabulary, layout, classes: bool, levels: int) -> tuple:
+    """The weights, how many tokens each saw, and the table, from training texts; of the class bits or of those after."""
     gates = 16 * levels
 
     def run(batches):
-        v = vocabulary.value
-        w = np.full((gates, INPUTS), 0.35)
-        w[:, -1] = 0
-        power = np.full((gates, INPUTS), 1.0)
-        hits = np.zeros((2, levels * STEPS))
-        learned = 0
-        for part in batches:
-            if not len(part):
-                continue
-            rows, times = _Inputs(v, part, True), part.column("n").to_numpy().astype(float)
-            for b in range(rows.levels):
-                which, bit, x, gate = rows.at(b)
-                n = times[which]
-                mixed = np.clip((w[gate].T * x).sum(0), -LIMIT, LIMIT)
-                error = (bit - _squash(mixed)) * n / n.sum()
-                for i in range(INPUTS):
-                    g = np.bincount(gate, error * x[i], gates)
-                    power[:, i] += (10 * g) ** 2
-                    w[:, i] += 0.5 * g / np.sqrt(power[:, i])
-                step = b * STEPS + _step_of(mixed)
-                hits += [np.bincount(step, (1 - bit) * n, levels * STEPS), np.bincount(step, bit * n, levels * STEPS)]
-            learned += times.sum()
-        if not learned:
-            return
-        for what, x in ((10, w.ravel() * learned), (11, np.array([learned], float)), (12, hits.ravel())):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), what), pa.int32()), pa.array(np.arange(len(x)), pa.int32()), pa.array(x)], ["what", "at", "x"])
-
-    got = grams.where("n > 0").mapInArrow(run, "what int, at int, x double").groupBy("what", "at").agg(F.sum("x").alias("x")).toArrow()
+        v, a = vocabulary.value, layout.value
+        w = np.full((levels, 16, INPUTS), 0.35)
+        w[:, :, -1] = 0
+        power = np.full((levels, 16, INPUTS), 1.0)
+        hits = np.zeros((2, levels, STEPS))
+        saw = np.zeros((levels, 16))
+        for part in _parts(v, a, batches, classes):
+            turn = np.random.default_rng(0).permutation(len(part.n))
+            blocks = -(-len(turn) // BATCH)
+            for b, rows, bits, inputs, gates_of in part.bits(True):
+                order = np.argsort(turn[rows])
+                rows, bits, inputs, gates_of = rows[order], bits[order], inputs[:, order], gates_of[order]
+                times = part.n[rows]
+                saw[b] += np.bincount(gates_of, times, 16)
+                cut = np.unique(np.linspace(0, len(rows), blocks + 1).astype(int))
+                for i, j in zip(cut[:-1], cut[1:], strict=True):
+                    n, bit, x, gate = times[i:j], bits[i:j], inputs[:, i:j], gates_of[i:j]
+                    mixed = np.clip((w[b].T[:, gate] * x).sum(0), -LIMIT, LIMIT)
+                    error = (bit - _squash(mixed)) * n / n.sum()
+                    for k in range(INPUTS):
+                        g = np.bincount(gate, error * x[k], 16)
+                        power[b, :, k] += (10 * g) ** 2
+                        w[b, :, k] += 0.5 * g / np.sqrt(power[b, :, k])
+                    step = _step_of(mixed)
+                    hits[:, b] += [np.bincount(step, (1 - bit) * n, STEPS), np.bincount(step, bit * n, STEPS)]
+        if saw.any():
+            for what, x in ((10, (w * saw[:, :, None]).ravel()), (11, saw.ravel()), (12, hits.ravel())):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), what), pa.int32()), pa.array(np.arange(len(x)), pa.int32()), pa.array(x)], ["what", "at", "x"])
+
+    got = dealt(store, vocabulary, layout, classes).mapInArrow(run, "what int, at int, x double").groupBy("what", "at").agg(F.sum("x").alias("x")).toArrow()
     what, at, x = (got.column(c).to_numpy() for c in ("what", "at", "x"))
 
     def filled(number: int, size: int) -> np.ndarray:
@@ -311,11 +474,58 @@ def learn(grams: DataFrame, vocabulary, levels: int) -> dict:
         out[at[what == number]] = x[what == number]
         return out
 
-    seen = filled(11, 1)[0]
-    w = filled(10, gates * INPUTS).reshape(gates, INPUTS) / seen if seen else np.full((gates, INPUTS), 0.35) * (np.arange(INPUTS) < INPUTS - 1)
-    zeros, ones = filled(12, 2 * levels * STEPS).reshape(2, -1)
-    middle = _squash(np.tile((np.arange(STEPS) + 0.5) * (2 * LIMIT / STEPS) - LIMIT, levels))
-    return {"w": w.astype(np.float32), "refined": (ones + 20 * middle) / (ones + zeros + 20)}
+    saw = filled(11, gates)[:, None]
+    w = np.where(saw > 0, filled(10, gates * INPUTS).reshape(gates, INPUTS) / np.maximum(saw, 1), np.full(INPUTS, 0.35) * (np.arange(INPUTS) < INPUTS - 1))
+    return w.reshape(levels, 16, INPUTS), filled(12, 2 * levels * STEPS).reshape(2, levels, STEPS)
+
+
+def _model(classes: tuple, after: tuple) -> dict:
+    w, hits = np.concatenate([classes[0][:BITS], after[0][BITS:]]), np.concatenate([classes[1][:, :BITS], after[1][:, BITS:]], 1)
+    middle = _squash((np.arange(STEPS) + 0.5) * (2 * LIMIT / STEPS) - LIMIT)
+    return {"w": w.astype(np.float32), "refined": (hits[1] + 20 * middle) / (hits.sum(0) + 20)}
+
+
+def costs(store: DataFrame, vocabulary, layout, model, classes: bool) -> DataFrame:
+    """block, sums: what the bits of the class, or those after, cost each of a block's texts in one of the tasks."""
+
+    def run(batches):
+        v, a, m = vocabulary.value, layout.value, model.value
+        held = {}
+
+        def flushed():
+            made = [_packed(x.astype(np.float32).view(np.uint32)) for x in held.values()]
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(made, pa.binary())], ["block", "sums"])
+
+        for part in _parts(v, a, batches, classes):
+            total = np.zeros(len(part.n))
+            for b, rows, bit, x, gate in part.bits(False):
+                mixed = np.clip((m["w"][b].T[:, gate] * x).sum(0), -LIMIT, LIMIT)
+                p = 0.5 * (_squash(mixed.astype(float)) + m["refined"][b, _step_of(mixed)])
+                total[rows] += np.log10(np.where(bit == 1, p, 1 - p))
+            sums = np.bincount(part.slot, total[part.row], part.blocks[-1][2])
+            for block, i, j in part.blocks:
+                held[block] = held.get(block, 0) + sums[i:j]
+            if sum(map(len, held.values())) > 4 * BLOCK:
+                yield flushed()
+                held.clear()
+        if held:
+            yield flushed()
+
+    return dealt(store, vocabulary, layout, classes).mapInArrow(run, "block long, sums binary")
+
+
+def _paths_of_texts(store: DataFrame, sums: DataFrame) -> DataFrame:
+    """text_hash, path: what the paths of each text cost; the mean over its copies is that of one."""
+
+    def run(batches):
+        for batch in batches:
+            for texts, parts in zip(batch.column("texts"), batch.column("sums"), strict=True):
+                hashes = _unpacked(texts)[0].view(np.int64)
+                path = sum((_unpacked(x)[0].view(np.float32).astype(float) for x in parts), np.zeros(len(hashes)))
+                yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(path)], ["text_hash", "path"])
+
+    met = store.select("block", "texts").join(sums.groupBy("block").agg(F.collect_list("sums").alias("sums")), "block")
+    return met.select("texts", "sums").mapInArrow(run, "text_hash long, path double").groupBy("text_hash").agg(F.avg("path").alias("path"))
 
 
 def score(docs: DataFrame, training: DataFrame | None = None, most: int = WORDS) -> DataFrame:
@@ -327,31 +537,18 @@ def score(docs: DataFrame, training: DataFrame | None = None, most: int = WORDS)
         texts, training = docs.select("text", is_training.alias("train")), docs.where(is_training)
     else:
         texts = docs.select("text", F.lit(False).alias("train")).union(training.select("text", F.lit(True)))
-    counts = written(count_tokens(training), "counts")
-    v = _vocabulary(counts, most)
-    held = context.broadcast(v)  # at most ``most`` tokens
-    grams = gathered(texts, held)
-    levels = BITS + int(v["bits"].max())
-    model = context.broadcast(learn(grams, held, levels))  # numbers of levels x gates and steps
+    with shuffles_released(docs.sparkSession):
+        counts = written(count_tokens(training), "counts")
+        v = _vocabulary(counts, most)
+        held = context.broadcast(v)  # at most ``most`` tokens
+        store = written(encoded(texts.withColumn("text_hash", F.xxhash64("text")), held), "texts")
+        layout = context.broadcast(_layout(store, v))  # numbers of pairs of classes, and of heavy tokens, times classes
+        levels = BITS + int(v["bits"].max())
+        model = context.broadcast(_model(*(learn(store, held, layout, x, levels) for x in (True, False))))  # numbers of levels x gates and steps
+        sums = [written(costs(store, held, layout, model, x), "costs") for x in (True, False)]
+    path = _paths_of_texts(store, sums[0].union(sums[1]))
     base_total = v["n_all"] + 0.1 * (v["v_all"] + 1)
 
-    def coded(batches):
-        v, m = held.value, model.value
-        for part in batches:
-            rows, total = _Inputs(v, part, False), np.zeros(len(part))
-            for b in range(rows.levels):
-                which, bit, x, gate = rows.at(b)
-                mixed = np.clip((m["w"][gate].T * x).sum(0), -LIMIT, LIMIT)
-                p = 0.5 * (_squash(mixed.astype(float)) + m["refined"][b * STEPS + _step_of(mixed)])
-                total[which] += np.log10(np.where(bit == 1, p, 1 - p))
-            yield pa.RecordBatch.from_arrays([part.column("c2"), part.column("code"), pa.array(total)], ["c2", "code", "path"])
-
-    def places(batches):
-        for part, data, offsets in tokens.blocks(batches):
-            _, _, code, first, (_, _, c2) = _contexts(held.value, data, offsets)
-            owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            yield pa.RecordBatch.from_arrays([part.column("text_hash").take(pa.array(owner)), pa.array(c2), pa.array(code.view(np.int64))], ["text_hash", "c2", "code"])
-
     def run(batches):
         v = held.value
         for part, data, offsets in tokens.blocks(batches):
@@ -382,10 +579,6 @@ def score(docs: DataFrame, training: DataFrame | None = None, most: int = WORDS)
         own.mapInArrow(run, "doc_id long, held_out boolean, text_hash long, bytes long, n_tokens long, known long, plain double, rest array<long>, times array<int>"),
         "scored",
     )
-    # each text's places, of all its copies, meet what their paths cost: the mean over them is that of one copy
-    path = docs.select(F.xxhash64("text").alias("text_hash"), "text").mapInArrow(places, "text_hash long, c2 long, code long").join(
-        grams.mapInArrow(coded, "c2 long, code long, path double"), ["c2", "code"]
-    ).groupBy("text_hash").agg(F.avg("path").alias("path"))
     # the counts of the other tokens, and of those that share a path, joined once for each text
     deep = int(v["bits"][RARE])
     leaf = F.shiftrightunsigned("h", 64 - deep) if deep else F.lit(0).cast("long")
@@ -399,7 +592,7 @@ def score(docs: DataFrame, training: DataFrame | None = None, most: int = WORDS)
         F.sum(F.col("times") * F.log10(n + 0.1)).alias("plain_rest"),
         F.sum(F.col("times") * F.log10((n + 0.1) / (n_leaf + 0.1 * (v_leaf + 1)))).alias("leaf_rest"),
     )
-    coded_all = F.col("n_tokens") * F.col("path") + F.coalesce("leaf_rest", F.lit(0.0))
+    coded_all = F.col("path") + F.coalesce("leaf_rest", F.lit(0.0))
     return rows.select("doc_id", "held_out", "text_hash", "bytes", "n_tokens", "known", "plain").join(found, "text_hash", "left").join(path, "text_hash").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("known_rest", F.lit(0))).alias("n_known"), F.lit(v["n_all"]).cast("long").alias("train_tokens"),
         (F.col("plain") + F.coalesce("plain_rest", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(base_total))).alias("base_score"),

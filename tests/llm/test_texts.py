@@ -6,12 +6,15 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
 from pagelex.llm import bpe, fingerprint, lm_score, tokens, warc
+from pagelex.llm.common import written
+from pagelex.session import ensure_checkpoint_dir
 from pyspark.sql import functions as F
 
 RANKS = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -169,6 +172,66 @@ def test_lm_score_knows_the_word_that_follows(spark):
         assert sum(got[i] for i in range(200)) / 200 > -4.5  # the first of 2000 words costs 3.3
 
 
+def test_lm_score_counts_in_every_context(spark, monkeypatch):
+    """Parts hold every occurrence once, with how often the nodes of its path follow in each context of training texts."""
+    rng = np.random.default_rng(5)
+    rows = [(" ".join(f"w{k}" for k in rng.zipf(1.3, rng.integers(0, 40)) % 300), bool(rng.integers(0, 4))) for _ in range(120)]
+    texts = spark.createDataFrame(rows, "text string, train boolean").withColumn("text_hash", F.xxhash64("text")).repartition(3)
+    monkeypatch.setattr(lm_score, "PART", 200)
+    for most, heavy in ((lm_score.WORDS, 300), (20, 3)):
+        v = lm_score._vocabulary(lm_score.count_tokens(texts.where("train")), most)
+        v["heavy"] = min(heavy, len(v["hash"]))
+        held = spark.sparkContext.broadcast(v)
+        store = written(lm_score.encoded(texts, held), "texts")
+        layout = lm_score._layout(store, v)
+        names = [t.split() for t, _ in rows]
+        hashes = lambda w: lm_score._tokens(np.frombuffer(" ".join(w).encode(), np.uint8), np.array([0, len(" ".join(w))]))[0]
+        for classes in (True, False):
+            deep = 0 if classes else int(v["bits"].max())
+            brute, counts = Counter(), [Counter(), Counter(), Counter()]
+            seen = []
+            for w, (_, train) in zip(names, rows, strict=True):
+                h = hashes(w)
+                at = lm_score.tokens.find(v["hash"], v["top"], h)
+                rank = [int(v["rank"][i]) if i >= 0 else len(v["hash"]) for i in at]
+                close = int(v["kinds"][rank[-1]])
+                before = ["", "", *[int(x) for x in h[:-1]]]
+                kinds = [close, close, *[int(v["kinds"][r]) for r in rank]]
+                for i, r in enumerate(rank):
+                    kind, bits = kinds[i + 2], int(v["bits"][kinds[i + 2]])
+                    if not classes and not bits:
+                        continue
+                    last = r - int(v["start"][kind]) if kind != lm_score.RARE else int(h[i]) >> (64 - bits) if bits else 0
+                    path = kind << deep | last << (deep - bits) if deep else kind
+                    contexts = (kinds[i + 1], kinds[i]), before[i + 1], (before[i], before[i + 1])
+                    seen.append((contexts, path, lm_score.BITS + (0 if classes else bits)))
+                    for c, n in zip(contexts, counts, strict=True):
+                        n.update((c, b, path >> (lm_score.BITS + deep - b)) for b in range(lm_score.BITS + deep + 1) if train)
+            for contexts, path, length in seen:
+                for b in range(0 if classes else lm_score.BITS, length + 1):
+                    brute[(b, *(n[c, b, path >> (lm_score.BITS + deep - b)] for c, n in zip(contexts, counts, strict=True)))] += 1
+            dealt = lm_score.dealt(store, held, spark.sparkContext.broadcast(layout), classes).toArrow()
+            got = Counter()
+            for part in lm_score._parts(v, layout, dealt.to_batches(), classes):
+                for b in range(0 if classes else lm_score.BITS, int(part.length.max()) + 1):
+                    _, *totals = part._totals(b)
+                    for row in part.row[part.length[part.row] >= b]:
+                        got[(b, *(int(t[row]) for t in totals))] += 1
+            assert got == brute
+
+
+def test_lm_score_writes_little(spark):
+    """What is kept between its steps is a few bytes a token; it was some 50."""
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 3000, 400))) for i in range(150)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    size = lambda: sum(p.stat().st_size for p in folder.rglob("*.parquet"))
+    before = size()
+    assert lm_score.score(texts).count() == 150
+    assert size() - before < 15 * 150 * 400
+
+
 def test_lm_score_counts_along_paths():
     rng = np.random.default_rng(4)
     rows = sorted({(int(c), int(k) << 56) for c, k in rng.integers(0, [5, 256], (300, 2))})
