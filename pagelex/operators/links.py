@@ -225,8 +225,9 @@ def dangling_links(links: DataFrame, keys: DataFrame) -> DataFrame:
     its own answers links to its target whatever their fragment, as a plain one does.
 
     The links are read once: they are dealt on (target, one of some parts) and each key is given to all parts, so that the links of
-    a hub, open or not, are dealt over many tasks.
+    a hub, open or not, are dealt over many tasks. Keys grow with the input and Spark, which takes their size from their files, does not see
+    that each is given to all parts: they are never broadcast.
     """
     targets = link_targets(links).withColumn("__part", F.pmod(F.xxhash64("article_id"), F.lit(DEALT)).cast("int"))
     answered = keys.select(F.col("key").alias("target")).distinct().withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
-    return targets.join(answered, ["target", "__part"], "left_anti").select("article_id", "target", "fragment", "n_links")
+    return targets.join(answered.hint("merge"), ["target", "__part"], "left_anti").select("article_id", "target", "fragment", "n_links")

@@ -197,6 +197,18 @@ def test_dangling_links_read_the_links_once(spark):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
 
 
+def test_dangling_links_do_not_broadcast_the_keys(spark, tmp_path):
+    """Spark takes the keys for as small as their file, though each is given to all parts."""
+    from pagelex.operators import links as L
+
+    spark.range(2000).select(F.concat(F.lit("P "), "id").alias("key")).write.parquet(f"{tmp_path}/keys")
+    pages = spark.createDataFrame([(i, f'<a href="/wiki/P_{i}">p</a>') for i in range(1990, 2010)], "article_id long, text string")
+    out = L.dangling_links(L.links_table(N.tokenize(pages), make_dims(spark)), spark.read.parquet(f"{tmp_path}/keys"))
+    assert {r.target for r in out.collect()} == {f"P {i}" for i in range(2000, 2010)}
+    joins = [x for x in out._jdf.queryExecution().executedPlan().toString().splitlines() if "LeftAnti" in x]
+    assert joins and not any("Broadcast" in x for x in joins)
+
+
 def test_windows_of_headings_see_headings_and_text_only(spark):
     from pagelex.operators import extract as X
 
