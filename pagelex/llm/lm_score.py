@@ -50,6 +50,7 @@ PART = 1 << 18
 PARTS = 1 << 10
 HEAVY = 1 << 10
 BATCH = 10_000
+RUN = 256
 STEPS = 24
 LIMIT = 8.0
 
@@ -169,6 +170,19 @@ def _unpacked(data: pa.Scalar) -> list[np.ndarray]:
     return out
 
 
+def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys, sorted, and which of them each is. Where a key and its place fit into 63 bits, both are sorted as one number."""
+    width = len(key).bit_length()
+    if not len(key) or int(key.max()).bit_length() + width > 63:
+        return np.unique(key, return_inverse=True)
+    both = np.sort(key << width | np.arange(len(key)))
+    key = both >> width
+    new = np.append(True, key[1:] != key[:-1])
+    at = np.empty(len(key), np.int64)
+    at[both & ((1 << width) - 1)] = np.cumsum(new) - 1
+    return key[new], at
+
+
 def _others(h: np.ndarray) -> np.ndarray:
     """What stands for tokens beyond the frequent ones, whose own number is their rank: 63 bits of the hash."""
     return (h >> U(1)) | OTHER
@@ -266,9 +280,10 @@ def _layout(store: DataFrame, v: dict) -> dict:
     return {"pairs": pairs, "heavy": heavy, "part": part, "first": np.searchsorted(part, np.arange(part[-1] + 2)), "parts": int(min(max(-(-seen[0] // PART), 1), PARTS))}
 
 
-def dealt(store: DataFrame, vocabulary, layout, classes: bool) -> DataFrame:
+def dealt(store: DataFrame, vocabulary, layout, classes: bool, learning: bool = False) -> DataFrame:
     """part, block, train, size, entries: what a part needs of a block (train, size: its training texts, all texts), those of a part in one task
-    and next to each other. Entries are the tokens before, the class (``classes``) or the bits after it, and the text."""
+    and next to each other. Entries are the tokens before, the class (``classes``) or the bits after it, and the text; for
+    ``learning``, of training texts."""
 
     def run(batches):
         v, a = vocabulary.value, layout.value
@@ -276,8 +291,9 @@ def dealt(store: DataFrame, vocabulary, layout, classes: bool) -> DataFrame:
         for batch in batches:
             for block, train, texts, words in zip(*(batch.column(c) for c in ("block", "train", "texts", "words")), strict=True):
                 sizes = _unpacked(texts)[1]
-                token, one, two, kind, kind_one, _ = _before(v, *_unpacked(words), sizes)
-                text = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
+                used = int(sizes[: train.as_py() if learning else None].sum())
+                token, one, two, kind, kind_one, _ = (x[:used] for x in _before(v, *_unpacked(words), sizes))
+                text = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)[:used]
                 if classes:
                     part = ((tokens.mix(one) + np.where(one < U(v["heavy"]), tokens.mix(two), U(0))) % U(a["parts"])).astype(np.uint16)
                     order, last = np.argsort(part, kind="stable"), kind.astype(np.uint8)
@@ -342,69 +358,120 @@ class _Part:
         both = np.concatenate([one, two])
         rest = both >= OTHER
         both[rest] = U(none) + np.unique(both[rest], return_inverse=True)[1].astype(U)
-        pair, at = np.unique(both[: len(one)] << U(32) | both[len(one) :], return_inverse=True)
+        one, two = both[: len(one)], both[len(one) :]
         self.deep = BITS + deepest
-        key, self.row = np.unique(at << self.deep | path, return_inverse=True)
+        width = int(both.max()).bit_length()
+        if 2 * width + self.deep < 64:  # a key holds both tokens and the path
+            key, self.row = _distinct((one << U(width) | two).astype(np.int64) << self.deep | path)
+            pair = (key >> self.deep).view(U)
+        else:
+            width = 32
+            pair, at = np.unique(one << U(32) | two, return_inverse=True)
+            key, self.row = np.unique(at << self.deep | path, return_inverse=True)
+            pair = pair[key >> self.deep]
         self.n = np.bincount(self.row, train, len(key))
-        pair_of, self.path = key >> self.deep, key & ((1 << self.deep) - 1)
-        one, two = pair >> U(32), pair & U((1 << 32) - 1)
-        kind, kinds = self.path >> deepest, v["kinds"][np.minimum(one, U(none)).astype(np.int64)] * CLASSES + v["kinds"][np.minimum(two, U(none)).astype(np.int64)]
+        self.path = key & ((1 << self.deep) - 1)
+        one, two = (pair >> U(width)).astype(np.int64), (pair & U((1 << width) - 1)).astype(np.int64)
+        kind, kinds = self.path >> deepest, v["kinds"][np.minimum(one, none)] * CLASSES + v["kinds"][np.minimum(two, none)]
         self.length = BITS + (np.zeros(len(key), np.int64) if classes else v["bits"][kind])
-        self.rare = kind == RARE
-        self.zero, self.up_to, self.kind, self.start, self.end = v["zero"], v["up_to"], kind, v["start"][kind], np.append(v["start"], none)[kind + 1]
-        changes = np.cumsum(np.append(0, one[1:] != one[:-1]))
-        self.contexts = [self._summed((changes[pair_of] << self.deep) | self.path), (key, self.n, None)]
-        self.tables = None
-        if classes:
-            one = one[pair_of]
-            heavy = np.flatnonzero(one < U(v["heavy"]))
-            self.tables = a["pairs"], kinds[pair_of], kind, a["heavy"], heavy, one[heavy].astype(np.int64)
-        else:
-            self.contexts.insert(0, self._summed((kinds[pair_of] << self.deep) | self.path))
-
-    def _summed(self, key: np.ndarray):
-        keys, at = np.unique(key, return_inverse=True)
-        return keys, np.bincount(at, self.n, len(keys)), at
-
-    def _totals(self, b: int) -> list[np.ndarray]:
-        """In each context, how often the row's node at depth b occurs."""
-        out = [self.zero[self.kind, min(b, BITS)]]
-        if b > BITS:  # a node holds the ranks that share the bits so far
-            known = np.flatnonzero(~self.rare & (self.length >= b))
-            left = self.length[known] - b
-            inside = (self.path[known] & ((1 << (self.deep - BITS)) - 1)) >> (self.deep - b) << left
-            first = self.start[known] + inside
-            out[0][known] = self.up_to[np.minimum(first + (1 << left), self.end[known])] - self.up_to[first]
-        for keys, n, at in self.contexts:
-            top = keys >> (self.deep - b)
-            first = np.flatnonzero(np.append(True, top[1:] != top[:-1]))
-            total = np.repeat(np.add.reduceat(n, first), np.diff(np.append(first, len(n)))).astype(np.float32)
-            out.append(total if at is None else total[at])
-        if self.tables:
-            pairs, pair, kind, counts, heavy, one = self.tables
-            out.insert(1, pairs[pair, kind, b])
-            out[2][heavy] = counts[one, kind[heavy], b]
-        return out
+        pairs = self._context(kinds << self.deep | self.path) if not classes else _Context(np.arange(CLASSES**3), None, kinds << self.deep | self.path, self.deep, a["pairs"].reshape(-1, BITS + 1))
+        paths, at = (np.arange(CLASSES), self.path) if classes else _distinct(pairs.keys & ((1 << self.deep) - 1))
+        self.contexts = [_Context(paths, None, at if classes else at[pairs.at], self.deep, _plain(v, paths, self.deep)), pairs]
+        self.contexts += [self._context(one << self.deep | self.path, a["heavy"] if classes else None), _Context(key, self.n, None, self.deep)]
+        self.first = 0 if classes else BITS
+
+    def _context(self, key: np.ndarray, heavy: np.ndarray | None = None):
+        keys, at = _distinct(key)
+        table = None
+        if heavy is not None:
+            mine = keys[: np.searchsorted(keys, len(heavy) << self.deep)]
+            table = heavy[mine >> self.deep, mine & (CLASSES - 1)]
+        return _Context(keys, np.bincount(at, self.n, len(keys)), at, self.deep, table)
 
     def bits(self, but: bool):
-        """For each bit, the rows whose path has it, the bit, inputs and gate. ``but``: rows of training texts, one
-        occurrence of which is not counted."""
-        first = 0 if self.tables else BITS
-        taken, less = self._totals(first), np.float32(but)
-        for b in range(first, int(self.length.max(initial=0))):
-            here, taken = taken, self._totals(b + 1)
-            rows = np.flatnonzero((self.length > b) & (self.n > 0) if but else self.length > b)
-            bit = (self.path[rows] >> (self.deep - 1 - b)) & 1
-            x, gate = np.empty((INPUTS, len(rows)), np.float32), np.zeros(len(rows), np.int64)
-            for i, (p, q) in enumerate(zip(here, taken, strict=True)):
-                p, q = np.maximum(p[rows] - less, 0), np.maximum(q[rows] - less, 0)
-                x[i] = (2 * bit - 1) * np.log((q + np.float32(0.4)) / (p - q + np.float32(0.4)))
+        """For each bit, the rows whose path has it, the bit, inputs and gate. ``but``: rows of training texts, one occurrence of which is
+        not counted."""
+        rows = np.flatnonzero(self.n > 0) if but else np.arange(len(self.n))
+        for c in self.contexts:
+            c.begin(self.first, but)
+        rows = rows[np.argsort(-self.length[rows].astype(np.int8), kind="stable")]  # the longest paths first
+        length, path, places = -self.length[rows], self.path[rows], [rows if c.at is None else c.at[rows] for c in self.contexts]
+        for b in range(self.first, -int(length.min(initial=0))):
+            m = int(np.searchsorted(length, -b))
+            bit = (path[:m] >> (self.deep - 1 - b)) & 1
+            sign = (2 * bit - 1).astype(np.float32)
+            x, gate = np.empty((INPUTS, m), np.float32), []
+            for i, (c, at) in enumerate(zip(self.contexts, places, strict=True)):
+                c.step(b)
+                np.multiply(c.odds[at[:m]], sign, out=x[i])
                 if i >= 2:
-                    gate += _level(p) * (4 if i == 2 else 1)
-            if b >= BITS:
-                x[0, self.rare[rows]] = 0  # nothing is known of a hash's bits
+                    gate.append(c.level[at[:m]])
             x[-1] = 1
-            yield b, rows, bit, np.clip(x, -LIMIT, LIMIT, out=x), gate
+            yield b, rows[:m], bit, x, (gate[0] * np.int8(4) + gate[1]).astype(np.int64)
+
+
+def _plain(v: dict, paths: np.ndarray, deep: int) -> np.ndarray:
+    """How often the nodes of the paths of some tokens occur, at each depth; nothing is known of a hash's bits."""
+    kind, after = paths >> (deep - BITS), deep - BITS
+    out = np.repeat(v["zero"][kind, BITS:], deep + 1, 1)
+    out[:, : BITS + 1] = v["zero"][kind]
+    bits, start, end = v["bits"][kind], v["start"][kind], np.append(v["start"], len(v["hash"]))[kind + 1]
+    for b in range(1, after + 1):
+        left = np.maximum(bits - b, 0)
+        first = start + ((paths & ((1 << after) - 1)) >> (after - bits) >> left << left)
+        inside = v["up_to"].take(np.minimum(first + (1 << left), end), mode="clip") - v["up_to"].take(first, mode="clip")
+        out[:, BITS + b] = np.where(kind == RARE, np.nan, inside)
+    return out
+
+
+class _Context:
+    """Sorted keys of a context and path, how often each occurs, and which of them each row has; ``table`` has the totals of the first
+    ones at each depth. A key that is alone at its node stays so: from depth to depth only the others' totals are made. ``odds`` and
+    ``level``: of a key's node, the log odds that its own side follows, and how often it was seen."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray | None, at: np.ndarray | None, deep: int, table: np.ndarray | None = None):
+        self.keys, self.at, self.table, self.given = keys, at, table, 0 if table is None else len(table)
+        self.n = np.zeros(len(keys)) if n is None else n
+        self.up_to = np.append(0, np.cumsum(self.n))
+        differ = np.frexp((keys[1:] ^ keys[:-1]).astype(float))[1]  # the highest bit, above which they agree
+        self.agree = np.append(-1, deep - np.minimum(differ, deep + 1)).astype(np.int8)
+
+    def _set(self, which, here: np.ndarray, taken: np.ndarray) -> None:
+        here, taken = np.maximum(here - self.less, 0), np.maximum(taken - self.less, 0)
+        self.odds[which] = np.clip(np.log((taken + np.float32(0.4)) / (here - taken + np.float32(0.4))), -LIMIT, LIMIT)
+        self.level[which] = _level(here)
+
+    def begin(self, b: int, but: bool) -> None:
+        self.less, self.total = np.float32(but), self.n.astype(np.float32)
+        self.odds, self.level = np.zeros(len(self.n), np.float32), np.zeros(len(self.n), np.int8)
+        self._set(slice(None), self.total, self.total)
+        self.open, self.closed = np.arange(self.given, len(self.n)), np.arange(0)
+        self._go(b)
+        self.closed = np.arange(0)
+
+    def _go(self, b: int) -> None:
+        """Totals at depth b."""
+        if len(self.open):
+            first = np.flatnonzero(self.agree[self.open] < b)
+            size = np.diff(np.append(first, len(self.open)))
+            at = self.open[first]  # the keys of a node stand next to each other
+            self.total[self.open] = np.repeat((self.up_to[at + size] - self.up_to[at]).astype(np.float32), size)
+            self.open, self.closed = self.open[np.repeat(size > 1, size)], at[size == 1]
+        if self.given:
+            self.total[: self.given] = self.table[:, min(b, self.table.shape[1] - 1)]
+
+    def step(self, b: int) -> None:
+        """From depth b to the next."""
+        if len(self.closed):
+            self._set(self.closed, n := self.total[self.closed], n)
+        which, given, self.closed = self.open, self.given, np.arange(0)
+        here, before = self.total[which], self.total[:given].copy()
+        self._go(b + 1)
+        if len(which):
+            self._set(which, here, self.total[which])
+        if given:
+            self._set(slice(given), before, self.total[:given])
+            np.nan_to_num(self.odds[:given], copy=False)
 
 
 def _parts(v: dict, a: dict, batches, classes: bool):
@@ -421,7 +488,15 @@ def _parts(v: dict, a: dict, batches, classes: bool):
 
 
 def _level(n: np.ndarray) -> np.ndarray:
-    return ((n >= 1).astype(np.int64) + (n >= 7)) + (n >= 63)
+    return (n >= 1).astype(np.int8) + (n >= 7) + (n >= 63)
+
+
+def _mixed(w: np.ndarray, gate: np.ndarray, x: np.ndarray) -> np.ndarray:
+    w = np.ascontiguousarray(w.T)
+    out = w[0][gate] * x[0]
+    for i in range(1, INPUTS):
+        out += w[i][gate] * x[i]
+    return np.clip(out, -LIMIT, LIMIT, out=out)
 
 
 def _squash(x: np.ndarray) -> np.ndarray:
@@ -429,7 +504,17 @@ def _squash(x: np.ndarray) -> np.ndarray:
 
 
 def _step_of(x: np.ndarray) -> np.ndarray:
-    return np.minimum(((x + LIMIT) * (STEPS / (2 * LIMIT))).astype(np.int64), STEPS - 1)
+    return np.minimum(((x + np.float32(LIMIT)) * np.float32(STEPS / (2 * LIMIT))).astype(np.int64), STEPS - 1)
+
+
+def _batches(blocks: int, *columns: np.ndarray):
+    """The rows in so many batches, each of every blocks-th run of some rows; what is left of them is a batch of its own."""
+    whole = columns[0].shape[-1] // (RUN * blocks) * RUN * blocks
+    dealt_out = [c[..., :whole].reshape(*c.shape[:-1], -1, blocks, RUN) for c in columns]
+    for k in range(blocks if whole else 0):
+        yield [np.ascontiguousarray(d[..., k, :]).reshape(*c.shape[:-1], -1) for c, d in zip(columns, dealt_out, strict=True)]
+    if whole < columns[0].shape[-1]:
+        yield [np.ascontiguousarray(c[..., whole:]) for c in columns]
 
 
 def learn(store: DataFrame, vocabulary, layout, classes: bool, levels: int) -> tuple:
@@ -444,29 +529,22 @@ def learn(store: DataFrame, vocabulary, layout, classes: bool, levels: int) -> t
         hits = np.zeros((2, levels, STEPS))
         saw = np.zeros((levels, 16))
         for part in _parts(v, a, batches, classes):
-            turn = np.random.default_rng(0).permutation(len(part.n))
-            blocks = -(-len(turn) // BATCH)
+            blocks = -(-len(part.n) // BATCH)
             for b, rows, bits, inputs, gates_of in part.bits(True):
-                order = np.argsort(turn[rows])
-                rows, bits, inputs, gates_of = rows[order], bits[order], inputs[:, order], gates_of[order]
                 times = part.n[rows]
                 saw[b] += np.bincount(gates_of, times, 16)
-                cut = np.unique(np.linspace(0, len(rows), blocks + 1).astype(int))
-                for i, j in zip(cut[:-1], cut[1:], strict=True):
-                    n, bit, x, gate = times[i:j], bits[i:j], inputs[:, i:j], gates_of[i:j]
-                    mixed = np.clip((w[b].T[:, gate] * x).sum(0), -LIMIT, LIMIT)
-                    error = (bit - _squash(mixed)) * n / n.sum()
-                    for k in range(INPUTS):
-                        g = np.bincount(gate, error * x[k], 16)
-                        power[b, :, k] += (10 * g) ** 2
-                        w[b, :, k] += 0.5 * g / np.sqrt(power[b, :, k])
-                    step = _step_of(mixed)
-                    hits[:, b] += [np.bincount(step, (1 - bit) * n, STEPS), np.bincount(step, bit * n, STEPS)]
+                for n, bit, x, gate in _batches(blocks, times, bits, inputs, gates_of):
+                    mixed = _mixed(w[b].astype(np.float32), gate, x)
+                    error = (bit - _squash(mixed)) * (n / n.sum())
+                    g = np.stack([np.bincount(gate, error * y, 16) for y in x], 1)
+                    power[b] += (10 * g) ** 2
+                    w[b] += 0.5 * g / np.sqrt(power[b])
+                    hits[:, b] += np.bincount(bit * STEPS + _step_of(mixed), n, 2 * STEPS).reshape(2, STEPS)
         if saw.any():
             for what, x in ((10, (w * saw[:, :, None]).ravel()), (11, saw.ravel()), (12, hits.ravel())):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), what), pa.int32()), pa.array(np.arange(len(x)), pa.int32()), pa.array(x)], ["what", "at", "x"])
 
-    got = dealt(store, vocabulary, layout, classes).mapInArrow(run, "what int, at int, x double").groupBy("what", "at").agg(F.sum("x").alias("x")).toArrow()
+    got = dealt(store, vocabulary, layout, classes, True).mapInArrow(run, "what int, at int, x double").groupBy("what", "at").agg(F.sum("x").alias("x")).toArrow()
     what, at, x = (got.column(c).to_numpy() for c in ("what", "at", "x"))
 
     def filled(number: int, size: int) -> np.ndarray:
@@ -499,9 +577,9 @@ def costs(store: DataFrame, vocabulary, layout, model, classes: bool) -> DataFra
         for part in _parts(v, a, batches, classes):
             total = np.zeros(len(part.n))
             for b, rows, bit, x, gate in part.bits(False):
-                mixed = np.clip((m["w"][b].T[:, gate] * x).sum(0), -LIMIT, LIMIT)
-                p = 0.5 * (_squash(mixed.astype(float)) + m["refined"][b, _step_of(mixed)])
-                total[rows] += np.log10(np.where(bit == 1, p, 1 - p))
+                mixed = _mixed(m["w"][b], gate, x)
+                refined = np.concatenate([1 - m["refined"][b], m["refined"][b]]).astype(np.float32)[bit * STEPS + _step_of(mixed)]
+                total[rows] += np.log10(np.float32(0.5) * (_squash(np.where(bit == 1, mixed, -mixed)) + refined))
             sums = np.bincount(part.slot, total[part.row], part.blocks[-1][2])
             for block, i, j in part.blocks:
                 held[block] = held.get(block, 0) + sums[i:j]
@@ -551,40 +629,38 @@ def score(docs: DataFrame, training: DataFrame | None = None, most: int = WORDS)
 
     def run(batches):
         v = held.value
-        for part, data, offsets in tokens.blocks(batches):
-            h, first = _tokens(data, offsets)
-            at = tokens.find(v["hash"], v["top"], h)
-            texts = len(first) - 1
-            owner = np.repeat(np.arange(texts), np.diff(first))
-            known = at >= 0
-            if known.any():
-                plain = np.bincount(owner[known], np.log10(v["n"][at[known]] + 0.1), texts)
-            else:
-                plain = np.zeros(texts)
-            rest = np.flatnonzero(~known)
-            order = rest[np.lexsort((h[rest], owner[rest]))]
-            new = np.ones(len(order), bool)
-            new[1:] = (h[order][1:] != h[order][:-1]) | (owner[order][1:] != owner[order][:-1])
-            head = np.flatnonzero(new)
-            times = np.diff(np.append(head, len(order)))
-            cut = pa.array(np.searchsorted(owner[order][head], np.arange(texts + 1)), pa.int32())
-            yield pa.RecordBatch.from_arrays([
-                part.column("doc_id"), part.column("held_out"), part.column("text_hash"), pa.array(np.diff(offsets)), pa.array(np.diff(first)),
-                pa.array(np.bincount(owner[known], minlength=texts)), pa.array(plain),
-                pa.ListArray.from_arrays(cut, pa.array(h[order][head].view(np.int64))), pa.ListArray.from_arrays(cut, pa.array(times, pa.int32())),
-            ], ["doc_id", "held_out", "text_hash", "bytes", "n_tokens", "known", "plain", "rest", "times"])
-
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold_of(F.col("doc_id"), 10) == 0).alias("held_out"), F.xxhash64("text").alias("text_hash"), "text")
-    rows = written(
-        own.mapInArrow(run, "doc_id long, held_out boolean, text_hash long, bytes long, n_tokens long, known long, plain double, rest array<long>, times array<int>"),
-        "scored",
-    )
+        cost = np.log10(np.diff(v["up_to"]) + 0.1)
+        for batch in batches:
+            for texts, words in zip(*batch.columns, strict=True):
+                (hashes, sizes), (ids, h) = _unpacked(texts), _unpacked(words)
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                known = ids < len(cost)
+                plain = np.bincount(owner[known], cost[ids[known]], len(sizes)).astype(float)
+                count, owner = np.bincount(owner[known], minlength=len(sizes)), owner[~known]
+                order = np.lexsort((h, owner))
+                h, owner = h[order], owner[order]
+                new = np.ones(len(order), bool)
+                new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+                head = np.flatnonzero(new)
+                times = np.diff(np.append(head, len(order)))
+                cut = pa.array(np.searchsorted(owner[head], np.arange(len(sizes) + 1)), pa.int32())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(hashes.view(np.int64)), pa.array(sizes.astype(np.int64)), pa.array(count), pa.array(plain),
+                    pa.ListArray.from_arrays(cut, pa.array(h[head].view(np.int64))), pa.ListArray.from_arrays(cut, pa.array(times, pa.int32())),
+                ], ["text_hash", "n_tokens", "known", "plain", "rest", "times"])
+
+    of_text = store.select("texts", "words").mapInArrow(run, "text_hash long, n_tokens long, known long, plain double, rest array<long>, times array<int>")
+    of_text = written(of_text.dropDuplicates(["text_hash"]), "scored")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), (fold_of(F.col("doc_id"), 10) == 0).alias("held_out"), F.xxhash64("text").alias("text_hash"),
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"),
+    ).join(of_text.drop("rest", "times"), "text_hash")
     # the counts of the other tokens, and of those that share a path, joined once for each text
     deep = int(v["bits"][RARE])
     leaf = F.shiftrightunsigned("h", 64 - deep) if deep else F.lit(0).cast("long")
     rare = counts.where(_step("n") < v["least"])
     leaves = rare.groupBy(leaf.alias("leaf")).agg(F.sum("n").alias("n_leaf"), F.count("*").alias("v_leaf"))
-    rest = rows.where(F.size("rest") > 0).select("text_hash", "rest", "times").dropDuplicates(["text_hash"])
+    rest = of_text.where(F.size("rest") > 0)
     rest = rest.select("text_hash", F.explode_outer(F.arrays_zip("rest", "times")).alias("r")).select("text_hash", F.col("r.rest").alias("h"), F.col("r.times").alias("times"))
     n, n_leaf, v_leaf = (F.coalesce(c, F.lit(0)) for c in ("n", "n_leaf", "v_leaf"))
     found = rest.withColumn("leaf", leaf).join(rare, "h", "left").join(leaves, "leaf", "left").groupBy("text_hash").agg(

@@ -213,10 +213,13 @@ def test_lm_score_counts_in_every_context(spark, monkeypatch):
             dealt = lm_score.dealt(store, held, spark.sparkContext.broadcast(layout), classes).toArrow()
             got = Counter()
             for part in lm_score._parts(v, layout, dealt.to_batches(), classes):
-                for b in range(0 if classes else lm_score.BITS, int(part.length.max()) + 1):
-                    _, *totals = part._totals(b)
-                    for row in part.row[part.length[part.row] >= b]:
-                        got[(b, *(int(t[row]) for t in totals))] += 1
+                for c in part.contexts:
+                    c.begin(part.first, False)
+                for b in range(part.first, int(part.length.max()) + 1):
+                    at = part.row[part.length[part.row] >= b]
+                    got.update((b, *map(int, x)) for x in zip(*(c.total[at if c.at is None else c.at[at]] for c in part.contexts[1:]), strict=True))
+                    for c in part.contexts:
+                        c.step(b)
             assert got == brute
 
 
